@@ -32,14 +32,14 @@ def _codes(spark, sf):
     return sm.code_tables(spark, sf)
 
 
-def _conformed(spark, sf) -> DataFrame:
-    c = _codes(spark, sf)
+def _conformed(spark, sf, codes=None) -> DataFrame:
+    c = codes or _codes(spark, sf)
     return facts.conform_arrivals(sm.arrivals(spark, sf), c["i94mode"], c["i94visa"],
                                   c["us_state"], c["country"], mode_label=sm.MODE_LABEL)
 
 
-def _dims(spark, sf):
-    c = _codes(spark, sf)
+def _dims(spark, sf, codes=None):
+    c = codes or _codes(spark, sf)
     (supplier,) = sm.tables(spark, sf, "supplier")
     airports = dims.build_airports(sm.airport_rows(supplier), c["us_ports"])
     city = dims.build_city(sm.demographic_rows(supplier), c["us_state"])
@@ -47,8 +47,9 @@ def _dims(spark, sf):
 
 
 def _mart(spark, sf) -> DataFrame:
-    airports, city = _dims(spark, sf)
-    return marts.mart_from_conformed(_conformed(spark, sf), airports, city)
+    codes = _codes(spark, sf)
+    airports, city = _dims(spark, sf, codes)
+    return marts.mart_from_conformed(_conformed(spark, sf, codes), airports, city)
 
 
 def _written_immigration(spark, sf) -> str:
@@ -204,8 +205,9 @@ def multi_key_join(spark, sf):
 
 
 def replace_side_columns(spark, sf):
-    airports, city = _dims(spark, sf)
-    events = facts.build_immigration(_conformed(spark, sf)).withColumnRenamed(
+    codes = _codes(spark, sf)
+    airports, city = _dims(spark, sf, codes)
+    events = facts.build_immigration(_conformed(spark, sf, codes)).withColumnRenamed(
         "port_of_entry", "airport_code")
     ac = airports.withColumn("city", F.lower("city"))
     ac = E.multi_key_join(ac, city, ["city", "state_code", "state_name"])
@@ -365,8 +367,9 @@ def arrivals_by_city(spark, sf):
 
 def arrivals_by_city_joined(spark, sf):
     """G12 as the two fact tables joined back on (cicid, i94dt)."""
-    conformed = _conformed(spark, sf)
-    airports_df, city_df = _dims(spark, sf)
+    codes = _codes(spark, sf)
+    conformed = _conformed(spark, sf, codes)
+    airports_df, city_df = _dims(spark, sf, codes)
     return marts.build_immigration_demographics(facts.build_immigration(conformed),
                                                 facts.build_immigrant(conformed),
                                                 airports_df, city_df)

@@ -9,6 +9,8 @@ broadcast when the actual size turns out small).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -20,10 +22,25 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when ``dim`` provably has at most ``max_rows`` rows."""
-    if max_rows is None:
-        return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return bounded_broadcasts([dim], max_rows)[0]
+
+
+def bounded_broadcasts(dims: list[DataFrame], max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
+                       ) -> list[DataFrame]:
+    """Size-check several lookup tables in one job; hint those within the bound.
+
+    Each table contributes at most ``max_rows + 1`` probe rows, so the check
+    never reads more than the bound from any side, and one job replaces one
+    job per table.  Tables above the bound are returned unchanged (the planner
+    then picks a shuffle join, or AQE a runtime broadcast).
+    """
+    if max_rows is None or not dims:
+        return list(dims)
+    probes = [d.limit(max_rows + 1).select(F.lit(i).alias("probe")) for i, d in enumerate(dims)]
+    union = reduce(DataFrame.unionAll, probes)
+    sizes = {r["probe"]: r["n"] for r in
+             union.groupBy("probe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(d) if sizes.get(i, 0) <= max_rows else d for i, d in enumerate(dims)]
 
 
 def _dtype(df: DataFrame, column: str):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import day_number_to_iso
 from ..operators.columns import cast_columns, rename
 from ..operators.filters import label_filter
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, coerced_lookup, named_lookup, role_lookup
+from ..operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcasts, coerced_lookup,
+                               named_lookup, role_lookup)
 
 ARRIVAL_RENAMES = {"i94yr": "year", "i94mon": "month", "i94port": "port_of_entry",
                    "arrdate": "arrival_date", "depdate": "departure_date", "i94bir": "age"}
@@ -30,7 +31,10 @@ def conform_arrivals(arrivals: DataFrame, modes: DataFrame, visas: DataFrame,
     the source ETL.  ``period`` stamps ``i94dt``; without it the period comes
     from each record's year and month, which lets one job conform many months.
     """
-    mb = max_broadcast_rows
+    # One job proves the size of all four code tables; lookups then reuse the hints.
+    modes, visas, states, countries = bounded_broadcasts([modes, visas, states, countries],
+                                                         max_broadcast_rows)
+    mb = None
     df = arrivals.withColumns({"arrdate": day_number_to_iso("arrdate"),
                                "depdate": day_number_to_iso("depdate")})
     df = rename(df, ARRIVAL_RENAMES)

@@ -39,8 +39,18 @@ EPOCH = "1960-01-01"
 MODE_LABEL = "URGENT"
 
 
+_READS: dict = {}
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(table_path(sf_dir, n)) for n in names]
+    """The named test tables; each file is listed and its footer read once per session."""
+    out = []
+    for n in names:
+        key = (id(spark), spark.sparkContext.applicationId, table_path(sf_dir, n))
+        if key not in _READS:
+            _READS[key] = spark.read.parquet(key[2])
+        out.append(_READS[key])
+    return out
 
 
 def nation_code(k) -> Column:
