@@ -1,0 +1,53 @@
+"""G1-G5 against hand-typed label files (golden facts)."""
+
+import os
+
+import pytest
+
+from tests.fixtures import COUNTRY_LINES, MODE_LINES, PORT_LINES, STATE_LINES, VISA_LINES, write_text
+from wayfare.plans import dictionary as d
+from wayfare.sources.labels import read_labels
+
+
+@pytest.fixture()
+def labels(spark, tmp_root):
+    def load(lines, name):
+        path = os.path.join(tmp_root, name)
+        write_text(path, lines)
+        return read_labels(spark, path)
+    return load
+
+
+def test_label_scan_keeps_whitespace_and_quotes(labels):
+    rows = [tuple(r) for r in labels(STATE_LINES, "s.txt").collect()]
+    assert rows[0] == ("\t'AL'", "'ALABAMA'")
+    assert len(rows) == 4  # blank line skipped
+
+
+def test_us_state(labels):
+    out = {tuple(r) for r in d.build_us_state(labels(STATE_LINES, "s.txt")).collect()}
+    assert out == {("AL", "ALABAMA"), ("AK", "ALASKA"), ("NY", "NEW YORK"),
+                   ("", "All Other Codes ;")}
+
+
+def test_country_relabels_invalid(labels):
+    out = dict(tuple(r) for r in d.build_country(labels(COUNTRY_LINES, "c.txt")).collect())
+    assert len(out) == len(COUNTRY_LINES)
+    assert out["0"] == out["103"] == out["730"] == "INVALID"
+    assert out["438"] == "AUSTRALIA" and out["582"] == "MEXICO, LAND ONLY"
+
+
+def test_us_ports(labels):
+    states = d.build_us_state(labels(STATE_LINES, "s.txt"))
+    ports = d.build_us_ports(labels(PORT_LINES, "p.txt"), states)
+    assert ports.columns == ["state_code", "port_code", "city", "state_name"]
+    out = sorted(tuple(r) for r in ports.collect())
+    assert out == [("AK", "ALC", "\tALCAN", "ALASKA"), ("AK", "KE", "\tKETCHIKAN", "ALASKA"),
+                   ("NY", "CP", "\tCAPE POINT", "NEW YORK"), ("NY", "NYC", "\tNEW YORK", "NEW YORK")]
+
+
+def test_mode_and_visa(labels):
+    modes = sorted(tuple(r) for r in d.build_mode(labels(MODE_LINES, "m.txt")).collect())
+    assert modes == [("\t1 ", "Air"), ("\t2 ", "Sea"), ("\t3 ", "Land"), ("\t9 ", "Notreported")]
+    visas = sorted(tuple(r) for r in d.build_visa(labels(VISA_LINES, "v.txt")).collect())
+    assert visas == [("   1 ", "Business"), ("   2 ", "Pleasure"), ("   3 ", "Student")]

@@ -9,16 +9,21 @@ from ._util import as_col
 
 # Fixed value: day numbers in the arrivals files count from this epoch.
 DAY_NUMBER_EPOCH = "1960-01-01"
+_MICROS_PER_DAY = 86_400_000_000.0
 
 
 def day_number_to_iso(c) -> Column:
     """epoch-1960 day number (double) -> ISO date text.
 
     Null and 0 give null (the source treats 0 as 'no date'); fractional days
-    floor; negative days are allowed.  Out-of-range values give null.
+    floor; negative days are allowed.  Out-of-range values give null.  As with
+    a Python timedelta, the fraction of a day is first rounded (half-even) to
+    whole microseconds, so -1e-12 is day 0, not day -1.
     """
     c = as_col(c)
-    days = F.floor(c).try_cast("int")
+    whole = F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c)).cast("double")
+    frac_micros = F.bround((c - whole) * _MICROS_PER_DAY, 0)
+    days = (whole + F.floor(frac_micros / _MICROS_PER_DAY)).try_cast("int")
     as_date = F.date_add(F.lit(DAY_NUMBER_EPOCH).cast("date"), days)
     return F.when(c != 0, as_date.cast("string"))
 
