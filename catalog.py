@@ -474,3 +474,20 @@ QUERIES = {
     # R reports
     "r1": r1, "r2": r2, "r3": r3, "r4": r4, "r5": r5,
 }
+
+
+# ------------------------------------------------------------ streaming
+def stream_ingest(spark, sf):
+    """Arrival month files picked up by a file stream and loaded as facts."""
+    from wayfare.config import Options
+    from wayfare.streaming import ingest_available
+    root = scratch_path(spark, "stream")
+    layout = sm.analog_layout(root)
+    sm.stage_raw(spark, sf, layout)
+    pipeline.build_code_tables(spark, layout)
+    ingest_available(spark, layout, Options(mode_label=sm.MODE_LABEL),
+                     checkpoint=f"{root}/_stream_checkpoint")
+    return read_table(spark, layout.table("immigration"), "immigration")
+
+
+QUERIES["stream_ingest"] = stream_ingest

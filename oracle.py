@@ -417,3 +417,5 @@ FROM weather GROUP BY city, Month"""),
     "r5": w(MART, """SELECT visa, visatype, city, CAST(count(*) AS BIGINT) AS travellers,
        avg(age) AS avg_age FROM mart GROUP BY visa, visatype, city"""),
 }
+
+ORACLES["stream_ingest"] = w(FACTS, "SELECT * FROM immigration")

@@ -20,6 +20,12 @@ class Period:
         t = text.replace("-", "")
         return cls(int(t[:4]), int(t[4:6]))
 
+    @classmethod
+    def from_token(cls, token: str) -> "Period":
+        """``jan16`` -> 2016-01 (two-digit years as in strptime's %y)."""
+        d = _dt.datetime.strptime(token.title(), "%b%y")
+        return cls(d.year, d.month)
+
     @property
     def key(self) -> str:
         """``yyyyMM`` partition value, e.g. 201601."""
