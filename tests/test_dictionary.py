@@ -51,3 +51,11 @@ def test_mode_and_visa(labels):
     assert modes == [("\t1 ", "Air"), ("\t2 ", "Sea"), ("\t3 ", "Land"), ("\t9 ", "Notreported")]
     visas = sorted(tuple(r) for r in d.build_visa(labels(VISA_LINES, "v.txt")).collect())
     assert visas == [("   1 ", "Business"), ("   2 ", "Pleasure"), ("   3 ", "Student")]
+
+
+def test_us_ports_lenient_option(labels):
+    states = d.build_us_state(labels(STATE_LINES, "s.txt"))
+    ports = d.build_us_ports(labels(PORT_LINES, "p.txt"), states, lenient=True)
+    out = sorted((r.port_code, r.state_code) for r in ports.collect())
+    assert out == [("ALC", "AK"), ("ARP", "AL"), ("BPS", "AL"), ("CP", "NY"), ("DBL", "NY"),
+                   ("KE", "AK"), ("NYC", "NY")]

@@ -120,3 +120,17 @@ def test_lookup_rejects_duplicate_columns(spark):
     dim = spark.createDataFrame([("1", "Air")], "k string, mode string")
     with pytest.raises(ValueError):
         E.coerced_lookup(fact, dim, "k")
+
+
+def test_airport_coordinate_order(spark):
+    from wayfare.plans.dims import build_airports
+    raw = spark.createDataFrame(
+        [("K1", "small", "A", "US", "ABC", "1.5, 2.5")],
+        "ident string, type string, name string, iso_country string, iata_code string, coordinates string"
+    ).withColumns({"gps_code": F.lit("g"), "local_code": F.lit("l")})
+    ports = spark.createDataFrame([("NY", "ABC", "\tX", "N")],
+                                  "state_code string, port_code string, city string, state_name string")
+    a = build_airports(raw, ports).first()
+    b = build_airports(raw, ports, coord_order="lon_lat").first()
+    assert (a.latitude, a.longitude) == (1.5, 2.5) and (b.latitude, b.longitude) == (2.5, 1.5)
+    assert a.city == "x"

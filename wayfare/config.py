@@ -56,5 +56,7 @@ class Options:
     weather_country: str = "United States"
     write_mode: str = "dynamic"          # "dynamic" (idempotent reruns) or "append"
     distinct_city: bool = False           # Q6: keep city x race fan-out by default
+    lenient_ports: bool = False           # Q1: last two-letter word as the port state
+    coord_order: str = "lat_lon"          # F11: positional coordinate order
     max_broadcast_rows: int = 200_000
     extra: dict = field(default_factory=dict)

@@ -26,18 +26,26 @@ def build_country(raw: DataFrame) -> DataFrame:
                       invalid_labels(trim_spaces(strip_quotes("raw_label"))).alias("country_name"))
 
 
-def build_us_ports(raw: DataFrame, us_state: DataFrame) -> DataFrame:
+def build_us_ports(raw: DataFrame, us_state: DataFrame, lenient: bool = False) -> DataFrame:
     """(state_code, port_code, city, state_name) for ports in a known state.
 
     The label is ``CITY, ST``: item 0 of the comma split is the city (blank-
     trimmed only, a leading tab stays), item 1 reduced to A-Z is the state.
-    Labels without a comma have no state and drop out in the state join.
+    Labels without a comma have no state and drop out in the state join, as do
+    labels such as ``X, AL (BPS)``.  ``lenient=True`` instead takes the last
+    two-letter word of the label as the state (``X, AL (BPS)`` -> AL,
+    ``MARIPOSA AZ`` -> AZ).
     """
     label = strip_quotes("raw_label")
+    if lenient:
+        last_pair = F.regexp_extract(label, r".*\b([A-Z]{2})\b", 1)
+        state = F.when(last_pair != "", last_pair)
+    else:
+        state = keep_class(split_item(label, ",", 1), UPPER)
     ports = raw.select(
         keep_class(strip_quotes("raw_code"), UPPER).alias("port_code"),
         trim_spaces(split_item(label, ",", 0)).alias("city"),
-        keep_class(split_item(label, ",", 1), UPPER).alias("state_code"))
+        state.alias("state_code"))
     return using_join(ports, us_state, "state_code").select(
         "state_code", "port_code", "city", "state_name")
 

@@ -30,15 +30,20 @@ AIRPORT_KEEP = ["ident", "type", "name", "gps_code", "airport_code", "local_code
                 "latitude", "longitude"]
 
 
-def build_airports(raw: DataFrame, us_ports: DataFrame) -> DataFrame:
+def build_airports(raw: DataFrame, us_ports: DataFrame, coord_order: str = "lat_lon") -> DataFrame:
     """Open US airports with an IATA code that is a known port of entry.
 
-    Coordinates ``"a, b"`` give latitude=a, longitude=b (positional); the
-    city and state come from the port table (tabs removed, lower-cased).
+    Coordinates ``"a, b"`` give latitude=a, longitude=b (positional, the
+    default); ``coord_order="lon_lat"`` reads them the other way round, for
+    files that store longitude first.  The city and state come from the port
+    table (tabs removed, lower-cased).
     """
+    if coord_order not in ("lat_lon", "lon_lat"):
+        raise ValueError(f"unknown coord_order {coord_order!r}")
+    first, second = coord_first("coordinates"), coord_second("coordinates")
+    lat, lon = (first, second) if coord_order == "lat_lon" else (second, first)
     a = open_us_airports(raw)
-    a = a.withColumns({"latitude": coord_first("coordinates"),
-                       "longitude": coord_second("coordinates")})
+    a = a.withColumns({"latitude": lat, "longitude": lon})
     a = rename(a, {"iata_code": "airport_code"}).select(*AIRPORT_KEEP)
     ports = rename(us_ports, {"port_code": "airport_code"})
     joined = using_join(a, ports, "airport_code")

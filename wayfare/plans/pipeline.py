@@ -22,13 +22,13 @@ from . import dictionary, dims, facts, marts, quality
 CODE_TABLES = ["us_state", "country", "us_ports", "i94mode", "i94visa"]
 
 
-def build_code_tables(spark: SparkSession, layout: Layout) -> None:
+def build_code_tables(spark: SparkSession, layout: Layout, options: Options = Options()) -> None:
     """G1-G5 written as full refreshes; ports join the state table just built."""
     states = dictionary.build_us_state(read_labels(spark, layout.label_path("us_state")))
     write_full(states, layout.table("us_state"))
     states = read_table(spark, layout.table("us_state"), "us_state")
-    write_full(dictionary.build_us_ports(read_labels(spark, layout.label_path("us_ports")), states),
-               layout.table("us_ports"))
+    write_full(dictionary.build_us_ports(read_labels(spark, layout.label_path("us_ports")), states,
+                                         options.lenient_ports), layout.table("us_ports"))
     write_full(dictionary.build_country(read_labels(spark, layout.label_path("country"))),
                layout.table("country"))
     write_full(dictionary.build_mode(read_labels(spark, layout.label_path("i94mode"))),
@@ -44,8 +44,8 @@ def build_dimensions(spark: SparkSession, layout: Layout, options: Options = Opt
     write_full(weather, layout.table("weather"), partition_by="Month")
     ports = read_table(spark, layout.table("us_ports"), "us_ports")
     states = read_table(spark, layout.table("us_state"), "us_state")
-    write_full(dims.build_airports(read_airports(spark, layout.raw(layout.airports_file)), ports),
-               layout.table("airports"))
+    write_full(dims.build_airports(read_airports(spark, layout.raw(layout.airports_file)), ports,
+                                   options.coord_order), layout.table("airports"))
     write_full(dims.build_city(read_demographics(spark, layout.raw(layout.demographics_file)),
                                states, options.distinct_city), layout.table("city"))
 
@@ -132,7 +132,7 @@ def backfill(spark: SparkSession, layout: Layout, start: Period | str, end: Peri
     """
     periods = month_range(start, end)
     if refresh_reference:
-        build_code_tables(spark, layout)
+        build_code_tables(spark, layout, options)
         build_dimensions(spark, layout, options)
     load_facts(spark, layout, periods, options)
     load_mart(spark, layout, periods, options)
