@@ -29,11 +29,14 @@ def iso_day(x: str) -> str:
             f"AS VARCHAR) END")
 
 
+# nations referenced by a customer or a supplier
+ACTIVE = "n_nationkey IN (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier)"
+
 STATE_LINES = f"""state_lines AS (
   SELECT chr(9) || '''' || CASE WHEN n_regionkey = 4 THEN CAST(n_nationkey AS VARCHAR)
                               ELSE {nc('n_nationkey')} || CAST(n_regionkey AS VARCHAR) END || '''' AS raw_code,
          '''' || n_name || '''' AS raw_label
-  FROM nation)"""
+  FROM nation WHERE {ACTIVE})"""
 
 US_STATE = f"""{STATE_LINES},
 us_state AS (
@@ -41,13 +44,21 @@ us_state AS (
          trim(replace(raw_label, '''', '')) AS state_name
   FROM state_lines)"""
 
-COUNTRY_LINES = """country_lines AS (
+COUNTRY_LINES = f"""country_lines AS (
   SELECT '   ' || CAST(n_nationkey AS VARCHAR) || ' ' AS raw_code,
          '  ''' || CASE WHEN n_regionkey = 3 THEN 'Collapsed (' || n_name || ')'
                        WHEN n_regionkey = 4 THEN 'No Country Code (' || n_name || ')'
                        WHEN n_nationkey % 10 = 7 THEN 'INVALID: ' || n_name
                        ELSE n_name END || ' ''' AS raw_label
-  FROM nation)"""
+  FROM nation WHERE {ACTIVE})"""
+
+CUSTOMER_LINES = """customer_lines AS (
+  SELECT '   ' || CAST(c_custkey AS VARCHAR) || ' ' AS raw_code,
+         '  ''' || CASE WHEN c_custkey % 10 = 3 THEN 'Collapsed (' || c_name || ')'
+                       WHEN c_custkey % 10 = 4 THEN 'No Country Code (' || c_name || ')'
+                       WHEN c_custkey % 10 = 7 THEN 'INVALID: ' || c_name
+                       ELSE c_name END || ' ''' AS raw_label
+  FROM customer)"""
 
 COUNTRY = f"""{COUNTRY_LINES},
 country AS (
@@ -294,8 +305,8 @@ PERIOD_KEY = "199701"
 
 ORACLES = {
     # A sources
-    "label_scan": w(COUNTRY_LINES, """SELECT trim(raw_code) AS code,
-       trim(replace(raw_label, '''', '')) AS label FROM country_lines"""),
+    "label_scan": w(CUSTOMER_LINES, """SELECT trim(raw_code) AS code,
+       trim(replace(raw_label, '''', '')) AS label FROM customer_lines"""),
     "csv_semicolon_scan": w(DEMOGRAPHIC_ROWS, """SELECT City AS city, state_code, median_age,
        population, race FROM demographic_rows"""),
     "csv_comma_scan": w(AIRPORT_ROWS, """SELECT ident, type, iso_country, iata_code,
@@ -340,13 +351,16 @@ FROM airports a JOIN city c
     "replace_side_columns": w(MART, """SELECT cicid, airport_code, city, state_code, state_name,
        i94dt FROM events"""),
     # F
-    "strip_quotes": w(COUNTRY_LINES, "SELECT replace(raw_label, '''', '') AS label FROM country_lines"),
+    "strip_quotes": w(CUSTOMER_LINES, "SELECT replace(raw_label, '''', '') AS label FROM customer_lines"),
     "keep_class": """SELECT p_partkey,
        regexp_replace(p_brand, '[^A-Z]', '', 'g') AS upper_only,
        regexp_replace(p_name, '[^A-Za-z]', '', 'g') AS letters_only,
        regexp_replace(p_brand || ' ' || p_type, '[^A-Za-z0-9]', '', 'g') AS alnum_only
 FROM part""",
-    "invalid_labels": w(COUNTRY, "SELECT * FROM country"),
+    "invalid_labels": w(CUSTOMER_LINES, """SELECT trim(raw_code) AS country_code,
+       regexp_replace(trim(replace(raw_label, '''', '')),
+                      '^INVALID.*|Collapsed.*|No Country.*', 'INVALID', 'g') AS country_name
+FROM customer_lines"""),
     "trim_spaces": """SELECT s_suppkey, trim('  ' || s_name || chr(9) || '  ') AS trimmed,
        trim(chr(9) || ' ' || s_name || ' ') AS tab_kept FROM supplier""",
     "split_item": """SELECT p_partkey, string_split(p_name, ' ')[1] AS word0,

@@ -68,6 +68,14 @@ def _days_since_epoch(c: str) -> Column:
 
 
 # ---------------------------------------------------------------- label lines
+def active_nations(nation: DataFrame, customer: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Nations referenced by a customer or a supplier (the label files list the
+    codes in use).  Keys are de-duplicated map-side before the semi join."""
+    keys = (customer.select(F.col("c_nationkey").alias("k"))
+            .unionByName(supplier.select(F.col("s_nationkey").alias("k"))).distinct())
+    return nation.join(keys, nation.n_nationkey == keys.k, "left_semi")
+
+
 def state_labels(nation: DataFrame) -> DataFrame:
     code = F.when(F.col("n_regionkey") == 4, F.col("n_nationkey").cast("string")).otherwise(
         F.concat(nation_code("n_nationkey"), F.col("n_regionkey").cast("string")))
@@ -75,6 +83,19 @@ def state_labels(nation: DataFrame) -> DataFrame:
                          F.concat(F.lit("'"), F.col("n_name"), F.lit("'")).alias("raw_label"))
 
 
+def customer_labels(customer: DataFrame) -> DataFrame:
+    """Country-style label lines, one per customer: ``   <key> =  '<label> '``;
+    some labels are unusable (Collapsed / No Country Code / INVALID)."""
+    k = F.col("c_custkey") % 10
+    label = (F.when(k == 3, F.concat(F.lit("Collapsed ("), "c_name", F.lit(")")))
+             .when(k == 4, F.concat(F.lit("No Country Code ("), "c_name", F.lit(")")))
+             .when(k == 7, F.concat(F.lit("INVALID: "), "c_name"))
+             .otherwise(F.col("c_name")))
+    return customer.select(
+        F.concat(F.lit("   "), F.col("c_custkey").cast("string"), F.lit(" ")).alias("raw_code"),
+        F.concat(F.lit("  '"), label, F.lit(" '")).alias("raw_label"))
+
+
 def country_labels(nation: DataFrame) -> DataFrame:
     label = (F.when(F.col("n_regionkey") == 3, F.concat(F.lit("Collapsed ("), "n_name", F.lit(")")))
              .when(F.col("n_regionkey") == 4, F.concat(F.lit("No Country Code ("), "n_name", F.lit(")")))
@@ -211,6 +232,7 @@ def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from .plans import dictionary as d
     nation, supplier, orders, customer = tables(spark, sf_dir, "nation", "supplier", "orders",
                                                 "customer")
+    nation = active_nations(nation, customer, supplier)
     states = d.build_us_state(state_labels(nation))
     return {
         "us_state": states,
@@ -241,6 +263,7 @@ def stage_raw(spark: SparkSession, sf_dir: str, layout) -> None:
     into ``layout.raw_root`` (label files, three CSVs, arrivals by month)."""
     nation, supplier, orders, customer, lineitem = tables(
         spark, sf_dir, "nation", "supplier", "orders", "customer", "lineitem")
+    nation = active_nations(nation, customer, supplier)
     _write_lines(state_labels(nation), layout.label_path("us_state"))
     _write_lines(country_labels(nation), layout.label_path("country"))
     _write_lines(port_labels(supplier), layout.label_path("us_ports"))
