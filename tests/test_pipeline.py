@@ -163,3 +163,21 @@ def test_lookups_are_broadcast_and_udf_free(spark, run):
     assert plan.count("BroadcastHashJoin") == 5
     assert "SortMergeJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_command_line_run(spark, tmp_root, capsys):
+    from wayfare.__main__ import main
+    layout = stage(spark, tmp_root)
+    assert main(["run-month", "--raw", layout.raw_root, "--processed", layout.processed_root,
+                 "--period", "2016-02"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert out == ["immigrant\t201602\t2", "immigration\t201602\t2"]
+    assert main(["check", "--raw", layout.raw_root, "--processed", layout.processed_root,
+                 "--start", "2016-02"]) == 0
+
+
+def test_read_arrivals_by_template(spark, run):
+    from wayfare.sources.arrivals import read_arrivals
+    layout, _ = run
+    assert read_arrivals(spark, layout, Period(2016, 1)).count() == 11
+    assert read_arrivals(spark, layout, Period(2016, 2)).count() == 2

@@ -6,29 +6,35 @@ from dataclasses import dataclass, field
 
 from .periods import Period
 
-# The five label files, in the layout of the raw landing zone.
-LABEL_FILES = {
-    "us_state": "i94addrl.txt",
-    "country": "i94cntyl.txt",
-    "us_ports": "i94prtl.txt",
-    "i94mode": "i94model.txt",
-    "i94visa": "i94visa.txt",
+# Default names of the five label files in the raw landing zone (configurable).
+DEFAULT_LABEL_FILES = {
+    "us_state": "states.txt",
+    "country": "countries.txt",
+    "us_ports": "ports.txt",
+    "i94mode": "modes.txt",
+    "i94visa": "visas.txt",
 }
+CODE_TABLES = tuple(DEFAULT_LABEL_FILES)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where raw inputs live and where processed tables are written."""
+    """Where raw inputs live and where processed tables are written.
+
+    Every raw location is relative to ``raw_root`` and can be overridden; the
+    arrivals template must contain ``{token}`` (lower-case ``MMMyy``).
+    """
 
     raw_root: str
     processed_root: str
-    arrivals_template: str = "i94_immigration_data/i94_{token}_sub.parquet"
-    weather_file: str = "globaltemperatures/GlobalLandTemperaturesByCity.csv"
-    airports_file: str = "airportcode/airport-codes_csv.csv"
-    demographics_file: str = "demographics/us-cities-demographics.csv"
+    arrivals_template: str = "arrivals/i94_{token}_sub.parquet"
+    weather_file: str = "weather/temperatures_by_city.csv"
+    airports_file: str = "airports/airport_codes.csv"
+    demographics_file: str = "demographics/us_cities_demographics.csv"
+    label_files: dict = field(default_factory=lambda: dict(DEFAULT_LABEL_FILES))
 
     def label_path(self, table: str) -> str:
-        return f"{self.raw_root.rstrip('/')}/codes/{LABEL_FILES[table]}"
+        return f"{self.raw_root.rstrip('/')}/codes/{self.label_files[table]}"
 
     def raw(self, relative: str) -> str:
         return f"{self.raw_root.rstrip('/')}/{relative}"
@@ -43,13 +49,13 @@ class Layout:
         return re.escape(pre.split("/")[-1]) + r"([a-z]{3}[0-9]{2})" + re.escape(post.split("/")[0])
 
     def table(self, name: str) -> str:
-        sub = "codes/" if name in LABEL_FILES else ""
+        sub = "codes/" if name in CODE_TABLES else ""
         return f"{self.processed_root.rstrip('/')}/{sub}{name}"
 
 
 @dataclass(frozen=True)
 class Options:
-    """Behaviour switches.  Defaults reproduce the reference's results except
+    """Behaviour switches.  Defaults reproduce the source ETL's results except
     where it crashes or corrupts (see README, fidelity decisions)."""
 
     mode_label: str = "Air"
@@ -59,4 +65,4 @@ class Options:
     lenient_ports: bool = False           # Q1: last two-letter word as the port state
     coord_order: str = "lat_lon"          # F11: positional coordinate order
     max_broadcast_rows: int = 200_000
-    extra: dict = field(default_factory=dict)
+    parallel_tables: int = 3              # independent tables built concurrently

@@ -6,6 +6,8 @@ spark-submit.  No driver-side data loops: every step is a distributed job.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,32 +24,51 @@ from . import dictionary, dims, facts, marts, quality
 CODE_TABLES = ["us_state", "country", "us_ports", "i94mode", "i94visa"]
 
 
+def run_concurrently(tasks: list, workers: int) -> None:
+    """Run independent Spark jobs from a small thread pool (each thread submits
+    its own job; the cluster schedules them side by side).  Errors propagate."""
+    if workers <= 1 or len(tasks) <= 1:
+        for task in tasks:
+            task()
+        return
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        for future in [pool.submit(t) for t in tasks]:
+            future.result()
+
+
 def build_code_tables(spark: SparkSession, layout: Layout, options: Options = Options()) -> None:
     """G1-G5 written as full refreshes; ports join the state table just built."""
     states = dictionary.build_us_state(read_labels(spark, layout.label_path("us_state")))
     write_full(states, layout.table("us_state"))
     states = read_table(spark, layout.table("us_state"), "us_state")
-    write_full(dictionary.build_us_ports(read_labels(spark, layout.label_path("us_ports")), states,
-                                         options.lenient_ports), layout.table("us_ports"))
-    write_full(dictionary.build_country(read_labels(spark, layout.label_path("country"))),
-               layout.table("country"))
-    write_full(dictionary.build_mode(read_labels(spark, layout.label_path("i94mode"))),
-               layout.table("i94mode"))
-    write_full(dictionary.build_visa(read_labels(spark, layout.label_path("i94visa"))),
-               layout.table("i94visa"))
+    run_concurrently([
+        lambda: write_full(dictionary.build_us_ports(
+            read_labels(spark, layout.label_path("us_ports")), states, options.lenient_ports),
+            layout.table("us_ports")),
+        lambda: write_full(dictionary.build_country(
+            read_labels(spark, layout.label_path("country"))), layout.table("country")),
+        lambda: write_full(dictionary.build_mode(
+            read_labels(spark, layout.label_path("i94mode"))), layout.table("i94mode")),
+        lambda: write_full(dictionary.build_visa(
+            read_labels(spark, layout.label_path("i94visa"))), layout.table("i94visa")),
+    ], options.parallel_tables)
 
 
 def build_dimensions(spark: SparkSession, layout: Layout, options: Options = Options()) -> None:
-    """G6-G8."""
-    weather = dims.build_weather(read_weather(spark, layout.raw(layout.weather_file)),
-                                 options.weather_country)
-    write_full(weather, layout.table("weather"), partition_by="Month")
+    """G6-G8, built side by side (they only share the code tables)."""
     ports = read_table(spark, layout.table("us_ports"), "us_ports")
     states = read_table(spark, layout.table("us_state"), "us_state")
-    write_full(dims.build_airports(read_airports(spark, layout.raw(layout.airports_file)), ports,
-                                   options.coord_order), layout.table("airports"))
-    write_full(dims.build_city(read_demographics(spark, layout.raw(layout.demographics_file)),
-                               states, options.distinct_city), layout.table("city"))
+    run_concurrently([
+        lambda: write_full(dims.build_weather(read_weather(spark, layout.raw(layout.weather_file)),
+                                              options.weather_country),
+                           layout.table("weather"), partition_by="Month"),
+        lambda: write_full(dims.build_airports(read_airports(spark, layout.raw(layout.airports_file)),
+                                               ports, options.coord_order),
+                           layout.table("airports")),
+        lambda: write_full(dims.build_city(read_demographics(spark, layout.raw(layout.demographics_file)),
+                                           states, options.distinct_city),
+                           layout.table("city")),
+    ], options.parallel_tables)
 
 
 def _code(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

@@ -244,7 +244,7 @@ def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------------ raw landing zone
-ANALOG_ARRIVALS_TEMPLATE = "i94_immigration_data/file_month={token}"
+ANALOG_ARRIVALS_TEMPLATE = "arrivals/file_month={token}"
 
 
 def _write_lines(df: DataFrame, path: str) -> None:
@@ -263,16 +263,19 @@ def stage_raw(spark: SparkSession, sf_dir: str, layout) -> None:
     into ``layout.raw_root`` (label files, three CSVs, arrivals by month)."""
     nation, supplier, orders, customer, lineitem = tables(
         spark, sf_dir, "nation", "supplier", "orders", "customer", "lineitem")
+    from .plans.pipeline import run_concurrently
     nation = active_nations(nation, customer, supplier)
-    _write_lines(state_labels(nation), layout.label_path("us_state"))
-    _write_lines(country_labels(nation), layout.label_path("country"))
-    _write_lines(port_labels(supplier), layout.label_path("us_ports"))
-    _write_lines(mode_labels(orders), layout.label_path("i94mode"))
-    _write_lines(visa_labels(customer), layout.label_path("i94visa"))
-    _write_csv(weather_rows(orders), layout.raw(layout.weather_file), ",")
-    _write_csv(airport_rows(supplier), layout.raw(layout.airports_file), ",")
-    _write_csv(demographic_rows(supplier), layout.raw(layout.demographics_file), ";")
-    write_arrival_months(arrival_rows(orders, customer, lineitem, supplier), layout)
+    run_concurrently([
+        lambda: _write_lines(state_labels(nation), layout.label_path("us_state")),
+        lambda: _write_lines(country_labels(nation), layout.label_path("country")),
+        lambda: _write_lines(port_labels(supplier), layout.label_path("us_ports")),
+        lambda: _write_lines(mode_labels(orders), layout.label_path("i94mode")),
+        lambda: _write_lines(visa_labels(customer), layout.label_path("i94visa")),
+        lambda: _write_csv(weather_rows(orders), layout.raw(layout.weather_file), ","),
+        lambda: _write_csv(airport_rows(supplier), layout.raw(layout.airports_file), ","),
+        lambda: _write_csv(demographic_rows(supplier), layout.raw(layout.demographics_file), ";"),
+        lambda: write_arrival_months(arrival_rows(orders, customer, lineitem, supplier), layout),
+    ], 4)
 
 
 def write_arrival_months(arrivals_df: DataFrame, layout) -> None:
