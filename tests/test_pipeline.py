@@ -181,3 +181,23 @@ def test_read_arrivals_by_template(spark, run):
     layout, _ = run
     assert read_arrivals(spark, layout, Period(2016, 1)).count() == 11
     assert read_arrivals(spark, layout, Period(2016, 2)).count() == 2
+
+
+def test_salted_period_write_spreads_one_hot_month(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from wayfare.sinks.parquet import write_period
+    # one month holds every row and one visa class almost all of them
+    df = spark.range(4000).select(F.col("id").cast("int").alias("cicid"),
+                                  F.lit("201601").alias("i94dt"),
+                                  F.when(F.col("id") % 100 == 0, "Student").otherwise("Pleasure").alias("visa"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the case the salt is for
+    try:
+        write_period(df.coalesce(1), f"{tmp_root}/salted", spread="visa", salt_buckets=8)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    back = read_table(spark, f"{tmp_root}/salted")
+    assert back.count() == 4000 and back.columns == ["cicid", "visa", "i94dt"]
+    # the hot (month, visa) group alone is written by several tasks
+    per_file = (back.filter(F.col("visa") == "Pleasure")
+                .groupBy(F.input_file_name()).count().collect())
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) < 3960

@@ -66,3 +66,4 @@ class Options:
     coord_order: str = "lat_lon"          # F11: positional coordinate order
     max_broadcast_rows: int = 200_000
     parallel_tables: int = 3              # independent tables built concurrently
+    salt_buckets: int | None = None       # explicit write salt where AQE is off

@@ -101,6 +101,9 @@ def named_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
     """
     fk, dk = _aligned_keys(fact, fact_key, dim, dim_key)
     dim_cols = [c for c in dim.columns if keep_dim_key or c != dim_key]
+    clash = set(fact.columns) & set(dim_cols)
+    if clash:
+        raise ValueError(f"lookup would duplicate columns {sorted(clash)}; rename one side first")
     d = dim.select(dk.alias("__lookup_key"), *dim_cols)
     f = fact.withColumn("__fact_key", fk)
     joined = f.join(bounded_broadcast(d, max_rows), F.col("__fact_key") == F.col("__lookup_key"), "inner")

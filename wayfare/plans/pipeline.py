@@ -98,9 +98,10 @@ def load_facts(spark: SparkSession, layout: Layout, periods: list[Period],
     conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_period(facts.build_immigrant(conformed), layout.table("immigrant"),
-                     spread="visa", mode=options.write_mode)
+                     spread="visa", mode=options.write_mode, salt_buckets=options.salt_buckets)
         write_period(facts.build_immigration(conformed), layout.table("immigration"),
-                     spread="state_code", mode=options.write_mode)
+                     spread="state_code", mode=options.write_mode,
+                     salt_buckets=options.salt_buckets)
     finally:
         conformed.unpersist()
 
@@ -116,7 +117,8 @@ def load_mart(spark: SparkSession, layout: Layout, periods: list[Period],
     mart = marts.build_immigration_demographics(
         immigration, immigrant, _code(spark, layout, "airports"), _code(spark, layout, "city"),
         max_broadcast_rows=options.max_broadcast_rows)
-    write_period(mart, layout.table("immigration_demographics"), mode=options.write_mode)
+    write_period(mart, layout.table("immigration_demographics"), mode=options.write_mode,
+                 salt_buckets=options.salt_buckets)
 
 
 def check_periods(spark: SparkSession, layout: Layout, periods: list[Period],

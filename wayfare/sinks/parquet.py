@@ -10,6 +10,7 @@ single write task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SUCCESS_MARKER = "_SUCCESS"
 
@@ -55,15 +56,28 @@ def write_full(df: DataFrame, path: str, partition_by: str | None = None,
 
 def write_period(df: DataFrame, path: str, period_column: str = "i94dt",
                  spread: str | None = None, mode: str = "dynamic",
-                 max_records_per_file: int | None = None) -> None:
+                 max_records_per_file: int | None = None,
+                 salt_buckets: int | None = None) -> None:
     """Write the periods present in ``df``.
 
     ``mode="dynamic"`` (default) overwrites exactly the periods being written,
     so a retried or repeated run leaves one copy of the rows; ``mode="append"``
     reproduces plain appends.
+
+    Clustering uses the ``rebalance`` hint, which AQE sizes and splits at run
+    time; Spark ignores that hint when AQE is off.  For such clusters
+    ``salt_buckets`` switches to an explicit hash repartition on (period,
+    spread, salt), spreading every (period, spread) group over up to that many
+    tasks.
     """
     keys = [period_column] + ([spread] if spread else [])
-    w = _clustered(df, keys).write.partitionBy(period_column)
+    if salt_buckets:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+        clustered = (df.withColumn("__salt", salt)
+                     .repartition(*[F.col(k) for k in keys], F.col("__salt")).drop("__salt"))
+    else:
+        clustered = _clustered(df, keys)
+    w = clustered.write.partitionBy(period_column)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if mode == "dynamic":
