@@ -134,3 +134,13 @@ def test_airport_coordinate_order(spark):
     b = build_airports(raw, ports, coord_order="lon_lat").first()
     assert (a.latitude, a.longitude) == (1.5, 2.5) and (b.latitude, b.longitude) == (2.5, 1.5)
     assert a.city == "x"
+
+
+def test_row_bound_probe_stops_early(spark):
+    import time
+    huge = spark.range(0, 1_000_000_000, 1, 1000)  # would take minutes to scan fully
+    t = time.perf_counter()
+    assert E.exceeds_rows(huge, 100_000)
+    assert time.perf_counter() - t < 30
+    assert not E.exceeds_rows(spark.range(100_000), 100_000)
+    assert E.exceeds_rows(spark.range(100_001), 100_000)

@@ -2,14 +2,14 @@
 
 Code tables come from label files and are tiny, but the same operators run on
 dimensions that grow with the data.  ``bounded_broadcast`` therefore proves a
-row bound with a bounded ``limit(n + 1).count()`` before hinting; above the
-bound the join is left to the planner (shuffle join, or AQE's runtime
-broadcast when the actual size turns out small).
+row bound (reading at most bound + 1 rows) before hinting; above the bound the
+join is left to the planner (shuffle join, or AQE's runtime broadcast when the
+actual size turns out small).
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,22 +25,32 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCA
     return bounded_broadcasts([dim], max_rows)[0]
 
 
+def exceeds_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has more than ``max_rows`` rows, reading at most ``max_rows + 1``.
+
+    ``offset(n).limit(1)`` is executed as an incremental collect-limit: the
+    partitions are scanned a few at a time and the job stops as soon as row
+    ``n + 1`` is seen, with no shuffle and at most one row returned, so the
+    check stays cheap even when the table is huge.
+    """
+    return len(df.select(F.lit(1).alias("probe")).offset(max_rows).limit(1).collect()) > 0
+
+
 def bounded_broadcasts(dims: list[DataFrame], max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
                        ) -> list[DataFrame]:
-    """Size-check several lookup tables in one job; hint those within the bound.
+    """Size-check several lookup tables (concurrently); hint those within the bound.
 
-    Each table contributes at most ``max_rows + 1`` probe rows, so the check
-    never reads more than the bound from any side, and one job replaces one
-    job per table.  Tables above the bound are returned unchanged (the planner
-    then picks a shuffle join, or AQE a runtime broadcast).
+    Tables above the bound are returned unchanged: the planner then picks a
+    shuffle join, or AQE a runtime broadcast when the actual size is small.
     """
     if max_rows is None or not dims:
         return list(dims)
-    probes = [d.limit(max_rows + 1).select(F.lit(i).alias("probe")) for i, d in enumerate(dims)]
-    union = reduce(DataFrame.unionAll, probes)
-    sizes = {r["probe"]: r["n"] for r in
-             union.groupBy("probe").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(d) if sizes.get(i, 0) <= max_rows else d for i, d in enumerate(dims)]
+    if len(dims) == 1:
+        too_big = [exceeds_rows(dims[0], max_rows)]
+    else:
+        with ThreadPoolExecutor(max_workers=min(4, len(dims))) as pool:
+            too_big = list(pool.map(lambda d: exceeds_rows(d, max_rows), dims))
+    return [d if big else F.broadcast(d) for d, big in zip(dims, too_big)]
 
 
 def _dtype(df: DataFrame, column: str):
