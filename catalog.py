@@ -7,7 +7,7 @@ shared checkpoint folder, then read it back with the operator under test.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import starmap as sm
@@ -81,7 +81,7 @@ def _written_immigration(spark, sf) -> str:
 def label_scan(spark, sf):
     (customer,) = sm.tables(spark, sf, "customer")
     path = scratch_path(spark, "labels")
-    sm._write_lines(sm.customer_labels(customer), path)
+    sm.write_lines(sm.customer_labels(customer), path)
     raw = read_labels(spark, path)
     return raw.select(text.trim_spaces("raw_code").alias("code"),
                       text.trim_spaces(text.strip_quotes("raw_label")).alias("label"))
@@ -90,7 +90,7 @@ def label_scan(spark, sf):
 def csv_semicolon_scan(spark, sf):
     (supplier,) = sm.tables(spark, sf, "supplier")
     path = scratch_path(spark, "demographics")
-    sm._write_csv(sm.demographic_rows(supplier), path, ";")
+    sm.write_csv(sm.demographic_rows(supplier), path, ";")
     d = read_demographics(spark, path)
     return d.select(F.col("City").alias("city"), F.col("State Code").alias("state_code"),
                     F.col("Median Age").alias("median_age"),
@@ -100,7 +100,7 @@ def csv_semicolon_scan(spark, sf):
 def csv_comma_scan(spark, sf):
     (supplier,) = sm.tables(spark, sf, "supplier")
     path = scratch_path(spark, "airports")
-    sm._write_csv(sm.airport_rows(supplier), path, ",")
+    sm.write_csv(sm.airport_rows(supplier), path, ",")
     return read_airports(spark, path).select(
         "ident", "type", "iso_country", "iata_code",
         geo.coord_first("coordinates").alias("latitude"),

@@ -1,7 +1,5 @@
 """End-to-end monthly runs on hand-typed sources."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 

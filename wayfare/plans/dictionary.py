@@ -61,7 +61,3 @@ def build_visa(raw: DataFrame) -> DataFrame:
     return raw.select(strip_quotes("raw_code").alias("i94visa"),
                       keep_class(strip_quotes("raw_label"), ALNUM).alias("visa"))
 
-
-def distinct_codes(table: DataFrame, key: str) -> DataFrame:
-    """Helper for callers that want one row per code (not used by the defaults)."""
-    return table.dropDuplicates([key]).filter(F.col(key).isNotNull())

@@ -17,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # target ~256 MB per post-shuffle partition and per rebalanced output file
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",

@@ -247,12 +247,12 @@ def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 ANALOG_ARRIVALS_TEMPLATE = "arrivals/file_month={token}"
 
 
-def _write_lines(df: DataFrame, path: str) -> None:
+def write_lines(df: DataFrame, path: str) -> None:
     df.select(F.concat("raw_code", F.lit("="), "raw_label").alias("value")).write.mode(
         "overwrite").text(path)
 
 
-def _write_csv(df: DataFrame, path: str, sep: str) -> None:
+def write_csv(df: DataFrame, path: str, sep: str) -> None:
     (df.write.mode("overwrite").option("header", "true").option("sep", sep)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
@@ -266,14 +266,14 @@ def stage_raw(spark: SparkSession, sf_dir: str, layout) -> None:
     from .plans.pipeline import run_concurrently
     nation = active_nations(nation, customer, supplier)
     run_concurrently([
-        lambda: _write_lines(state_labels(nation), layout.label_path("us_state")),
-        lambda: _write_lines(country_labels(nation), layout.label_path("country")),
-        lambda: _write_lines(port_labels(supplier), layout.label_path("us_ports")),
-        lambda: _write_lines(mode_labels(orders), layout.label_path("i94mode")),
-        lambda: _write_lines(visa_labels(customer), layout.label_path("i94visa")),
-        lambda: _write_csv(weather_rows(orders), layout.raw(layout.weather_file), ","),
-        lambda: _write_csv(airport_rows(supplier), layout.raw(layout.airports_file), ","),
-        lambda: _write_csv(demographic_rows(supplier), layout.raw(layout.demographics_file), ";"),
+        lambda: write_lines(state_labels(nation), layout.label_path("us_state")),
+        lambda: write_lines(country_labels(nation), layout.label_path("country")),
+        lambda: write_lines(port_labels(supplier), layout.label_path("us_ports")),
+        lambda: write_lines(mode_labels(orders), layout.label_path("i94mode")),
+        lambda: write_lines(visa_labels(customer), layout.label_path("i94visa")),
+        lambda: write_csv(weather_rows(orders), layout.raw(layout.weather_file), ","),
+        lambda: write_csv(airport_rows(supplier), layout.raw(layout.airports_file), ","),
+        lambda: write_csv(demographic_rows(supplier), layout.raw(layout.demographics_file), ";"),
         lambda: write_arrival_months(arrival_rows(orders, customer, lineitem, supplier), layout),
     ], 4)
 

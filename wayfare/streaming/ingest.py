@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import Layout, Options
 from ..periods import Period
 from ..plans import pipeline
-from ..schemas import ARRIVALS
+from ..sources.arrivals import read_arrival_stream
 from ..session import ensure_checkpoint_dir
 
 
@@ -40,8 +40,7 @@ def start_arrivals_ingest(spark: SparkSession, layout: Layout, options: Options
                           processing_time: str | None = None) -> StreamingQuery:
     """Start the ingest stream; code tables must already be built."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/wayfare-arrivals-ingest"
-    stream = (spark.readStream.schema(ARRIVALS).format("parquet")
-              .load(_landing_glob(layout)).select("cicid", "_metadata"))
+    stream = read_arrival_stream(spark, _landing_glob(layout)).select("cicid", "_metadata")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         periods = _touched_periods(batch, layout)
