@@ -409,7 +409,8 @@ def _run(spark, sf, start: Period, end: Period):
 
 
 def publication_check(spark, sf):
-    layout, _ = _run(spark, sf, PERIOD, PERIOD)
+    lo, hi = sm.arrival_months(spark, sf)
+    layout, _ = _run(spark, sf, lo, hi)
     tables = {n: layout.table(n) for n in ("weather", "airports", "city", "immigration",
                                            "immigrant")}
     return quality.publication_check(spark, tables)

@@ -408,8 +408,8 @@ SELECT c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment
        (SELECT count(*) > 0 FROM weather) AS has_rows
 UNION ALL SELECT 'airports', true, (SELECT count(*) > 0 FROM airports)
 UNION ALL SELECT 'city', true, (SELECT count(*) > 0 FROM city)
-UNION ALL SELECT 'immigration', true, (SELECT count(*) > 0 FROM immigration WHERE i94dt = '""" + PERIOD_KEY + """')
-UNION ALL SELECT 'immigrant', true, (SELECT count(*) > 0 FROM immigrant WHERE i94dt = '""" + PERIOD_KEY + """')"""),
+UNION ALL SELECT 'immigration', true, (SELECT count(*) > 0 FROM immigration)
+UNION ALL SELECT 'immigrant', true, (SELECT count(*) > 0 FROM immigrant)"""),
     "preview": w(FACTS, "SELECT * FROM immigration ORDER BY cicid LIMIT 5"),
     "period_params": """SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS period_key,
        lower(strftime(o_orderdate, '%b%y')) AS period_token FROM orders""",

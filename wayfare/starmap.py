@@ -68,12 +68,24 @@ def _days_since_epoch(c: str) -> Column:
 
 
 # ---------------------------------------------------------------- label lines
-def active_nations(nation: DataFrame, customer: DataFrame, supplier: DataFrame) -> DataFrame:
+def active_nations(nation: DataFrame, customer: DataFrame, supplier: DataFrame,
+                   materialize: bool = True) -> DataFrame:
     """Nations referenced by a customer or a supplier (the label files list the
-    codes in use).  Keys are de-duplicated map-side before the semi join."""
+    codes in use).  Keys are de-duplicated map-side before the semi join.
+
+    Several code tables derive from this small set; it is materialized once
+    with a reliable checkpoint (shared checkpoint folder), the way the real
+    pipeline writes its code tables once, instead of rescanning customer and
+    supplier for every table that uses it.
+    """
     keys = (customer.select(F.col("c_nationkey").alias("k"))
             .unionByName(supplier.select(F.col("s_nationkey").alias("k"))).distinct())
-    return nation.join(keys, nation.n_nationkey == keys.k, "left_semi")
+    active = nation.join(keys, nation.n_nationkey == keys.k, "left_semi")
+    if materialize:
+        from .session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(active.sparkSession)
+        active = active.checkpoint(eager=True)
+    return active
 
 
 def state_labels(nation: DataFrame) -> DataFrame:
@@ -165,17 +177,17 @@ def airport_rows(supplier: DataFrame) -> DataFrame:
 
 
 def demographic_rows(supplier: DataFrame) -> DataFrame:
+    """One row per supplier city, and a second ("race B") row when key % 4 = 0,
+    produced in one scan by exploding a one- or two-element array."""
     k = F.col("s_suppkey")
-
-    def rows(race: str, extra: int) -> DataFrame:
-        return supplier.select(
-            F.concat(F.lit("  Supplier "), F.substr(F.col("s_name"), F.lit(10)), F.lit(" ")).alias("City"),
-            F.when(k % 9 == 1, F.lit("ZZ")).otherwise(nation_code("s_nationkey")).alias("State Code"),
-            F.concat((k % 40 + 20).cast("string"), F.lit(".5")).alias("Median Age"),
-            (k * 1000 + extra).cast("string").alias("Total Population"),
-            F.lit(race).alias("Race"))
-
-    return rows("A", 17).unionByName(rows("B", 18).filter(k % 4 == 0))
+    extra = F.explode(F.when(k % 4 == 0, F.array(F.lit(17), F.lit(18))).otherwise(F.array(F.lit(17))))
+    rows = supplier.select("s_suppkey", "s_name", "s_nationkey", extra.alias("extra"))
+    return rows.select(
+        F.concat(F.lit("  Supplier "), F.substr(F.col("s_name"), F.lit(10)), F.lit(" ")).alias("City"),
+        F.when(k % 9 == 1, F.lit("ZZ")).otherwise(nation_code("s_nationkey")).alias("State Code"),
+        F.concat((k % 40 + 20).cast("string"), F.lit(".5")).alias("Median Age"),
+        (k * 1000 + F.col("extra")).cast("string").alias("Total Population"),
+        F.when(F.col("extra") == 17, F.lit("A")).otherwise(F.lit("B")).alias("Race"))
 
 
 # ------------------------------------------------------------------- arrivals
