@@ -199,3 +199,13 @@ def test_salted_period_write_spreads_one_hot_month(spark, tmp_root):
     per_file = (back.filter(F.col("visa") == "Pleasure")
                 .groupBy(F.input_file_name()).count().collect())
     assert len(per_file) > 1 and max(r["count"] for r in per_file) < 3960
+
+
+def test_distinct_city_option(spark, run):
+    from wayfare.plans.dims import build_city
+    from wayfare.sources.csv import read_demographics
+    layout, _ = run
+    raw = read_demographics(spark, layout.raw(layout.demographics_file))
+    states = table(spark, layout, "us_state")
+    assert build_city(raw, states).count() == 4
+    assert build_city(raw, states, distinct=True).count() == 3

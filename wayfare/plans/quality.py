@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +37,13 @@ def publication_check(spark: SparkSession, tables: dict[str, str], *, raise_on_f
     A marker alone is not enough for appended tables (an old marker stays), so
     the row check always runs too.  Returns (table, has_marker, has_rows).
     """
-    rows = []
-    for name, path in tables.items():
+    def check(item):
+        name, path = item
         has_marker = marker_exists(spark, path)
-        has_rows = has_marker and not spark.read.parquet(path).isEmpty()
-        rows.append((name, has_marker, has_rows))
+        return name, has_marker, has_marker and not spark.read.parquet(path).isEmpty()
+
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(tables)))) as pool:
+        rows = list(pool.map(check, tables.items()))
     failed = [n for n, m, r in rows if not (m and r)]
     if failed and raise_on_fail:
         raise DataQualityError(f"publication check failed for: {', '.join(failed)}")
