@@ -39,15 +39,23 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, int(cpus) * 2))
     # warm-up: JVM start, first file listing
     catalog.us_state(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    timings = {}
+    timings, errors = {}, {}
     for name in only:
         t0 = time.perf_counter()
-        df = catalog.QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            df = catalog.QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as ex:  # noqa: BLE001 - report and keep measuring the rest
+            timings[name] = None
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:300]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_wall_time", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf}))
+    out = {"metric": "total_wall_time",
+           "value": round(sum(v for v in timings.values() if v is not None), 3),
+           "unit": "sec", "queries": timings, "sf": sf}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
