@@ -209,3 +209,18 @@ def test_distinct_city_option(spark, run):
     states = table(spark, layout, "us_state")
     assert build_city(raw, states).count() == 4
     assert build_city(raw, states, distinct=True).count() == 3
+
+
+def test_csv_month_files(spark, tmp_root):
+    from dataclasses import replace
+    from wayfare.plans import pipeline as pl
+    parquet_layout = stage(spark, f"{tmp_root}/p")
+    layout = replace(parquet_layout, arrivals_template="arrivals_csv/i94_{token}_sub.csv",
+                     arrivals_format="csv")
+    for month in (1, 2):
+        rows = [r for r in ARRIVAL_ROWS if r[2] == float(month)]
+        (arrivals_df(spark, rows).write.option("header", "true")
+         .csv(layout.arrivals_path(Period(2016, month))))
+    checks = pl.backfill(spark, layout, "2016-01", "2016-02")
+    counts = {(r.table, r.i94dt): r.rows for r in checks.collect()}
+    assert counts[("immigration", "201601")] == 5 and counts[("immigrant", "201602")] == 2

@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--lenient-ports", action="store_true")
         s.add_argument("--distinct-city", action="store_true")
         s.add_argument("--coord-order", default="lat_lon", choices=["lat_lon", "lon_lat"])
+        s.add_argument("--arrivals-format", default="parquet", choices=["parquet", "csv"])
         s.add_argument("--skip-reference", action="store_true",
                        help="do not rebuild code tables and dimensions")
         if name == "run-month":
@@ -54,7 +55,9 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    layout = Layout(raw_root=args.raw, processed_root=args.processed)
+    layout = Layout(raw_root=args.raw, processed_root=args.processed,
+                    arrivals_format=args.arrivals_format,
+                    arrivals_template="arrivals/i94_{token}_sub." + args.arrivals_format)
     options = Options(mode_label=args.mode_label, write_mode="append" if args.append else "dynamic",
                       lenient_ports=args.lenient_ports, distinct_city=args.distinct_city,
                       coord_order=args.coord_order)

@@ -28,6 +28,7 @@ class Layout:
     raw_root: str
     processed_root: str
     arrivals_template: str = "arrivals/i94_{token}_sub.parquet"
+    arrivals_format: str = "parquet"      # or "csv" (header row, explicit schema)
     weather_file: str = "weather/temperatures_by_city.csv"
     airports_file: str = "airports/airport_codes.csv"
     demographics_file: str = "demographics/us_cities_demographics.csv"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import Layout, Options
 from ..periods import Period, month_range
-from ..schemas import ARRIVALS
+from ..sources.arrivals import read_arrival_months
 from ..sinks.parquet import write_full, write_period
 from ..sources.csv import read_airports, read_demographics, read_weather
 from ..sources.labels import read_labels
@@ -79,7 +79,7 @@ def _arrivals_for(spark: SparkSession, layout: Layout, periods: list[Period]) ->
     """All requested month files in one scan; each row is stamped with the
     period of the file it came from (``_metadata.file_path``)."""
     paths = [layout.arrivals_path(p) for p in periods]
-    df = spark.read.schema(ARRIVALS).parquet(*paths)
+    df = read_arrival_months(spark, paths, layout.arrivals_format)
     token = F.regexp_extract(F.col("_metadata.file_path"), layout.arrivals_token_regex(), 1)
     mapping = F.create_map(*[x for p in periods for x in (F.lit(p.token), F.lit(p.key))])
     return df.withColumn("__period", mapping[token])

@@ -9,17 +9,22 @@ from ..periods import Period
 from ..schemas import ARRIVALS
 
 
-def read_arrivals(spark: SparkSession, layout: Layout, period: Period, fmt: str = "parquet"
+def read_arrivals(spark: SparkSession, layout: Layout, period: Period, fmt: str | None = None
                   ) -> DataFrame:
     """Read one month's arrivals file (Parquet or header CSV) with the explicit schema.
 
     Numeric fields are double and text fields string, as in the source files.
     """
-    path = layout.arrivals_path(period)
+    return read_arrival_months(spark, [layout.arrivals_path(period)],
+                               fmt or layout.arrivals_format)
+
+
+def read_arrival_months(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> DataFrame:
+    """Several month files in one scan (explicit schema, no inference pass)."""
     reader = spark.read.schema(ARRIVALS)
     if fmt == "csv":
-        return reader.option("header", "true").csv(path)
-    return reader.format(fmt).load(path)
+        return reader.option("header", "true").csv(paths)
+    return reader.format(fmt).load(paths)
 
 
 def read_arrival_stream(spark: SparkSession, folder: str, fmt: str = "parquet",

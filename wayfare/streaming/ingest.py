@@ -41,7 +41,8 @@ def start_arrivals_ingest(spark: SparkSession, layout: Layout, options: Options
     """Start the ingest stream; code tables must already be built."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/wayfare-arrivals-ingest"
     # only the file paths are needed to find the touched months (no data columns read)
-    stream = read_arrival_stream(spark, _landing_glob(layout)).select("_metadata")
+    stream = read_arrival_stream(spark, _landing_glob(layout),
+                                 layout.arrivals_format).select("_metadata")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         periods = _touched_periods(batch, layout)
