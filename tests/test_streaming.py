@@ -39,3 +39,12 @@ def test_stream_ingest_late_file_and_replay(spark):
     # a fresh checkpoint replays everything and still leaves one copy
     ingest_available(spark, layout, checkpoint=f"{root}/ckpt2")
     assert read_table(spark, layout.table("immigration"), "immigration").count() == 8
+
+
+def test_command_line_ingest(spark):
+    from wayfare.__main__ import main
+    root = tempfile.mkdtemp(prefix="wayfare-cli-stream-")
+    layout = stage(spark, root)
+    assert main(["ingest", "--raw", layout.raw_root, "--processed", layout.processed_root,
+                 "--checkpoint", f"{root}/ckpt"]) == 0
+    assert read_table(spark, layout.table("immigrant"), "immigrant").count() == 7

@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # target ~256 MB per post-shuffle partition and per rebalanced output file
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # fewer, larger scan tasks on very large inputs (~200k tasks per 100 TB)
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
