@@ -114,7 +114,7 @@ def period_source(spark, sf):
     sm.write_arrival_months(sm.arrivals(spark, sf), layout)
     lo, hi = sm.arrival_months(spark, sf)
     from wayfare.periods import month_range
-    df = pipeline._arrivals_for(spark, layout, month_range(lo, hi))
+    df = pipeline.arrivals_for_periods(spark, layout, month_range(lo, hi))
     return df.select(F.col("cicid").cast("long").alias("cicid"), F.col("__period").alias("i94dt"),
                      "i94port", "arrdate")
 

@@ -154,7 +154,7 @@ def test_lookups_are_broadcast_and_udf_free(spark, run):
     layout, _ = run
     from wayfare.plans import facts
     codes = {n: read_table(spark, layout.table(n), n) for n in pipeline.CODE_TABLES}
-    arr = pipeline._arrivals_for(spark, layout, [Period(2016, 1)])
+    arr = pipeline.arrivals_for_periods(spark, layout, [Period(2016, 1)])
     conf = facts.conform_arrivals(arr, codes["i94mode"], codes["i94visa"], codes["us_state"],
                                   codes["country"])
     plan = conf._jdf.queryExecution().executedPlan().toString()

@@ -75,7 +75,7 @@ def _code(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return read_table(spark, layout.table(name), name)
 
 
-def _arrivals_for(spark: SparkSession, layout: Layout, periods: list[Period]) -> DataFrame:
+def arrivals_for_periods(spark: SparkSession, layout: Layout, periods: list[Period]) -> DataFrame:
     """All requested month files in one scan; each row is stamped with the
     period of the file it came from (``_metadata.file_path``)."""
     paths = [layout.arrivals_path(p) for p in periods]
@@ -88,7 +88,7 @@ def _arrivals_for(spark: SparkSession, layout: Layout, periods: list[Period]) ->
 def load_facts(spark: SparkSession, layout: Layout, periods: list[Period],
                options: Options = Options()) -> None:
     """G9-G11 for the given months in one job pair; reruns replace those months."""
-    arrivals = _arrivals_for(spark, layout, periods)
+    arrivals = arrivals_for_periods(spark, layout, periods)
     conformed = facts.conform_arrivals(
         arrivals, _code(spark, layout, "i94mode"), _code(spark, layout, "i94visa"),
         _code(spark, layout, "us_state"), _code(spark, layout, "country"),
