@@ -224,3 +224,11 @@ def test_csv_month_files(spark, tmp_root):
     checks = pl.backfill(spark, layout, "2016-01", "2016-02")
     counts = {(r.table, r.i94dt): r.rows for r in checks.collect()}
     assert counts[("immigration", "201601")] == 5 and counts[("immigrant", "201602")] == 2
+
+
+def test_mart_can_be_gated(spark, run):
+    layout, _ = run
+    out = pipeline.check_periods(spark, layout, [Period(2016, 1), Period(2016, 2)],
+                                 ("immigration", "immigrant", "immigration_demographics"))
+    counts = {(r.table, r.i94dt): r.rows for r in out.collect()}
+    assert counts[("immigration_demographics", "201601")] == 10

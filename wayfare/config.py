@@ -68,3 +68,4 @@ class Options:
     max_broadcast_rows: int = 200_000
     parallel_tables: int = 3              # independent tables built concurrently
     salt_buckets: int | None = None       # explicit write salt where AQE is off
+    check_tables: tuple = ("immigration", "immigrant")  # H1 tables; add the mart to gate it too

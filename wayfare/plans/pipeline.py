@@ -164,7 +164,7 @@ def backfill(spark: SparkSession, layout: Layout, start: Period | str, end: Peri
     tables = {n: layout.table(n) for n in ("weather", "airports", "city", "immigration",
                                               "immigrant")}
     quality.publication_check(spark, tables)
-    return check_periods(spark, layout, periods)
+    return check_periods(spark, layout, periods, tuple(options.check_tables))
 
 
 def read_mart_period(spark: SparkSession, layout: Layout, period: Period) -> DataFrame:
