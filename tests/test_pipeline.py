@@ -232,3 +232,34 @@ def test_mart_can_be_gated(spark, run):
                                  ("immigration", "immigrant", "immigration_demographics"))
     counts = {(r.table, r.i94dt): r.rows for r in out.collect()}
     assert counts[("immigration_demographics", "201601")] == 10
+
+
+def test_full_refresh_replaces_every_partition(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from wayfare.sinks.parquet import write_full
+    df = spark.range(24).select((F.col("id") % 12 + 1).cast("int").alias("Month"), F.col("id"))
+    path = f"{tmp_root}/w"
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    write_full(df, path, partition_by="Month")
+    write_full(df.filter(F.col("Month") == 1), path, partition_by="Month")
+    back = spark.read.parquet(path)
+    assert back.count() == 2 and {str(r.Month) for r in back.collect()} == {"1"}
+
+
+def test_reports_on_the_mart(spark, run):
+    from wayfare.plans import reports
+    layout, _ = run
+    mart = table(spark, layout, "immigration_demographics")
+    r1 = {(r.i94dt, r.residence_country): r.visitors for r in reports.visitors_by_country(mart).collect()}
+    assert r1[("201601", "ALBANIA")] == 4 and r1[("201601", "INVALID")] == 1
+    r2 = {(r.i94dt, r.city): (r.visitors, r.airports) for r in reports.visitors_by_city(mart).collect()}
+    assert r2[("201601", "new york")] == (8, 1)  # two airports share the IATA code NYC
+    r3 = {r.city: (r.visitors, r.population, r.median_age)
+          for r in reports.city_demographics(mart).collect()}
+    assert r3["alcan"] == (1, 120, 40.0)
+    r4 = {(r.city, r.Month): (r.avg_temperature, r.readings)
+          for r in reports.monthly_temperature(table(spark, layout, "weather")).collect()}
+    assert r4[("New york", 11)] == (6.068, 1) and r4[("New york", 1)] == (None, 0)
+    r5 = {(r.visa, r.visatype, r.city): (r.travellers, r.avg_age)
+          for r in reports.traveller_types(mart).collect()}
+    assert r5[("Business", "B1", "new york")] == (8, 30.0)
