@@ -263,3 +263,14 @@ def test_reports_on_the_mart(spark, run):
     r5 = {(r.visa, r.visatype, r.city): (r.travellers, r.avg_age)
           for r in reports.traveller_types(mart).collect()}
     assert r5[("Business", "B1", "new york")] == (8, 30.0)
+
+
+def test_mart_sources_agree(spark, tmp_root):
+    results = {}
+    for source in ("conformed", "tables"):
+        layout = stage(spark, f"{tmp_root}/{source}")
+        pipeline.backfill(spark, layout, "2016-01", "2016-02", Options(mart_source=source))
+        mart = table(spark, layout, "immigration_demographics")
+        results[source] = sorted(tuple(r) for r in mart.collect())
+    assert len(results["conformed"]) == 14
+    assert results["conformed"] == results["tables"]

@@ -48,3 +48,13 @@ def test_command_line_ingest(spark):
     assert main(["ingest", "--raw", layout.raw_root, "--processed", layout.processed_root,
                  "--checkpoint", f"{root}/ckpt"]) == 0
     assert read_table(spark, layout.table("immigrant"), "immigrant").count() == 7
+
+
+def test_stream_ingest_with_mart(spark):
+    root = tempfile.mkdtemp(prefix="wayfare-stream-mart-")
+    layout = stage(spark, root)
+    pipeline.build_code_tables(spark, layout)
+    pipeline.build_dimensions(spark, layout)
+    ingest_available(spark, layout, checkpoint=f"{root}/ckpt", with_mart=True)
+    mart = read_table(spark, layout.table("immigration_demographics"), "immigration_demographics")
+    assert mart.count() == 14

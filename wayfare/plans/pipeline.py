@@ -22,6 +22,7 @@ from ..sources.tables import read_period, read_table
 from . import dictionary, dims, facts, marts, quality
 
 CODE_TABLES = ["us_state", "country", "us_ports", "i94mode", "i94visa"]
+MART_STORED_ORDER = list(marts.MART_COLUMNS)
 
 
 def run_concurrently(tasks: list, workers: int) -> None:
@@ -86,8 +87,9 @@ def arrivals_for_periods(spark: SparkSession, layout: Layout, periods: list[Peri
 
 
 def load_facts(spark: SparkSession, layout: Layout, periods: list[Period],
-               options: Options = Options()) -> None:
-    """G9-G11 for the given months in one job pair; reruns replace those months."""
+               options: Options = Options(), *, with_mart: bool = False) -> None:
+    """G9-G11 (and with ``with_mart`` G12) for the given months from one conform;
+    reruns replace those months."""
     arrivals = arrivals_for_periods(spark, layout, periods)
     conformed = facts.conform_arrivals(
         arrivals, _code(spark, layout, "i94mode"), _code(spark, layout, "i94visa"),
@@ -102,6 +104,12 @@ def load_facts(spark: SparkSession, layout: Layout, periods: list[Period],
         write_period(facts.build_immigration(conformed), layout.table("immigration"),
                      spread="state_code", mode=options.write_mode,
                      salt_buckets=options.salt_buckets)
+        if with_mart:
+            mart = marts.mart_from_conformed(conformed, _code(spark, layout, "airports"),
+                                             _code(spark, layout, "city"),
+                                             max_broadcast_rows=options.max_broadcast_rows)
+            write_period(mart.select(*MART_STORED_ORDER), layout.table("immigration_demographics"),
+                         mode=options.write_mode, salt_buckets=options.salt_buckets)
     finally:
         conformed.unpersist()
 
@@ -159,8 +167,11 @@ def backfill(spark: SparkSession, layout: Layout, start: Period | str, end: Peri
     if refresh_reference:
         build_code_tables(spark, layout, options)
         build_dimensions(spark, layout, options)
-    load_facts(spark, layout, periods, options)
-    load_mart(spark, layout, periods, options)
+    if options.mart_source not in ("conformed", "tables"):
+        raise ValueError(f"unknown mart_source {options.mart_source!r}")
+    load_facts(spark, layout, periods, options, with_mart=options.mart_source == "conformed")
+    if options.mart_source == "tables":
+        load_mart(spark, layout, periods, options)
     tables = {n: layout.table(n) for n in ("weather", "airports", "city", "immigration",
                                               "immigrant")}
     quality.publication_check(spark, tables)

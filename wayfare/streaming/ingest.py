@@ -37,8 +37,11 @@ def _touched_periods(batch: DataFrame, layout: Layout) -> list[Period]:
 
 def start_arrivals_ingest(spark: SparkSession, layout: Layout, options: Options = Options(), *,
                           checkpoint: str | None = None, available_now: bool = True,
-                          processing_time: str | None = None) -> StreamingQuery:
-    """Start the ingest stream; code tables must already be built."""
+                          processing_time: str | None = None,
+                          with_mart: bool = False) -> StreamingQuery:
+    """Start the ingest stream; code tables (and, ``with_mart``, the airports and
+    city tables) must already be built.  ``with_mart`` also rewrites the mart of
+    the touched months from the same conformed rows."""
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/wayfare-arrivals-ingest"
     # only the file paths are needed to find the touched months (no data columns read)
     stream = read_arrival_stream(spark, _landing_glob(layout),
@@ -47,7 +50,7 @@ def start_arrivals_ingest(spark: SparkSession, layout: Layout, options: Options
     def load(batch: DataFrame, batch_id: int) -> None:
         periods = _touched_periods(batch, layout)
         if periods:
-            pipeline.load_facts(batch.sparkSession, layout, periods, options)
+            pipeline.load_facts(batch.sparkSession, layout, periods, options, with_mart=with_mart)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if available_now:
@@ -58,9 +61,10 @@ def start_arrivals_ingest(spark: SparkSession, layout: Layout, options: Options
 
 
 def ingest_available(spark: SparkSession, layout: Layout, options: Options = Options(), *,
-                     checkpoint: str | None = None) -> None:
+                     checkpoint: str | None = None, with_mart: bool = False) -> None:
     """Process every file currently in the landing folder, then stop."""
-    q = start_arrivals_ingest(spark, layout, options, checkpoint=checkpoint, available_now=True)
+    q = start_arrivals_ingest(spark, layout, options, checkpoint=checkpoint, available_now=True,
+                              with_mart=with_mart)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
