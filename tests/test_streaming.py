@@ -58,3 +58,14 @@ def test_stream_ingest_with_mart(spark):
     ingest_available(spark, layout, checkpoint=f"{root}/ckpt", with_mart=True)
     mart = read_table(spark, layout.table("immigration_demographics"), "immigration_demographics")
     assert mart.count() == 14
+
+
+def test_token_regex_is_anchored_to_path_segments():
+    import re
+    from wayfare.config import Layout
+    bare = Layout("r", "p", arrivals_template="arrivals/{token}/data.parquet")
+    rx = bare.arrivals_token_regex()
+    assert re.search(rx, "s3a://b/abc12x/arrivals/jan16/data.parquet/part-0").group(1) == "jan16"
+    default = Layout("r", "p")
+    assert re.search(default.arrivals_token_regex(),
+                     "file:/x/arrivals/i94_feb16_sub.parquet/part-0.parquet").group(1) == "feb16"

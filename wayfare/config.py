@@ -47,7 +47,9 @@ class Layout:
         """Regex whose group 1 is the period token inside an arrivals file path."""
         import re
         pre, _, post = self.arrivals_template.partition("{token}")
-        return re.escape(pre.split("/")[-1]) + r"([a-z]{3}[0-9]{2})" + re.escape(post.split("/")[0])
+        # anchored to whole path segments, so no other folder name can match
+        return (r"(?:^|/)" + re.escape(pre.split("/")[-1]) + r"([a-z]{3}[0-9]{2})"
+                + re.escape(post.split("/")[0]) + r"(?:/|$)")
 
     def table(self, name: str) -> str:
         sub = "codes/" if name in CODE_TABLES else ""
