@@ -274,3 +274,17 @@ def test_mart_sources_agree(spark, tmp_root):
         results[source] = sorted(tuple(r) for r in mart.collect())
     assert len(results["conformed"]) == 14
     assert results["conformed"] == results["tables"]
+
+
+def test_mart_drops_records_whose_cicid_is_not_an_int(spark, tmp_root):
+    rows = [r for r in ARRIVAL_ROWS if r[2] == 1.0] + [(3.0e9,) + ARRIVAL_ROWS[0][1:]]
+    results = {}
+    for source in ("conformed", "tables"):
+        layout = stage(spark, f"{tmp_root}/{source}")
+        arrivals_df(spark, rows).write.mode("overwrite").parquet(layout.arrivals_path(Period(2016, 1)))
+        pipeline.backfill(spark, layout, "2016-01", "2016-01", Options(mart_source=source))
+        imm = table(spark, layout, "immigration")
+        assert imm.filter(F.col("cicid").isNull()).count() == 1  # kept in the facts
+        mart = table(spark, layout, "immigration_demographics")
+        results[source] = sorted(tuple(r) for r in mart.collect())
+    assert len(results["conformed"]) == 10 and results["conformed"] == results["tables"]
