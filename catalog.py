@@ -404,7 +404,10 @@ def _run(spark, sf, start: Period, end: Period):
     layout = sm.analog_layout(root)
     sm.stage_raw(spark, sf, layout)
     from wayfare.config import Options
-    checks = pipeline.backfill(spark, layout, start, end, Options(mode_label=sm.MODE_LABEL))
+    # The analog may leave a month without rows (no URGENT arrival in it at the
+    # smallest scale); these queries report the gate's counts instead of aborting.
+    checks = pipeline.backfill(spark, layout, start, end,
+                               Options(mode_label=sm.MODE_LABEL, strict_checks=False))
     return layout, checks
 
 

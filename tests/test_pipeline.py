@@ -288,3 +288,10 @@ def test_mart_drops_records_whose_cicid_is_not_an_int(spark, tmp_root):
         mart = table(spark, layout, "immigration_demographics")
         results[source] = sorted(tuple(r) for r in mart.collect())
     assert len(results["conformed"]) == 10 and results["conformed"] == results["tables"]
+
+
+def test_non_strict_gate_reports_gaps(spark, run):
+    layout, _ = run
+    out = pipeline.check_periods(spark, layout, [Period(2016, 1), Period(2016, 3)], strict=False)
+    assert {(r.table, r.i94dt) for r in out.collect()} == {("immigration", "201601"),
+                                                          ("immigrant", "201601")}

@@ -71,6 +71,7 @@ class Options:
     parallel_tables: int = 3              # independent tables built concurrently
     salt_buckets: int | None = None       # explicit write salt where AQE is off
     check_tables: tuple = ("immigration", "immigrant")  # H1 tables; add the mart to gate it too
+    strict_checks: bool = True            # H1: raise on a period without rows (else report)
     # "conformed": write the mart in the same pass as the facts (one broadcast
     # lookup, no fact x fact join; assumes cicid identifies a record within a
     # month, as in the arrivals files).  "tables": re-read the stored facts and
