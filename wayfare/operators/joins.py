@@ -28,12 +28,13 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCA
 def exceeds_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has more than ``max_rows`` rows, reading at most ``max_rows + 1``.
 
-    ``offset(n).limit(1)`` is executed as an incremental collect-limit: the
-    partitions are scanned a few at a time and the job stops as soon as row
-    ``n + 1`` is seen, with no shuffle and at most one row returned, so the
-    check stays cheap even when the table is huge.
+    ``offset(n).limit(1)`` over ``coalesce(1)`` runs as one collect-limit task
+    that reads the partitions in turn and stops as soon as row ``n + 1`` is
+    seen: one job, no extra shuffle, at most one row returned, so the check
+    stays cheap even when the table is huge.
     """
-    return len(df.select(F.lit(1).alias("probe")).offset(max_rows).limit(1).collect()) > 0
+    probe = df.select(F.lit(1).alias("probe")).coalesce(1).offset(max_rows).limit(1)
+    return len(probe.collect()) > 0
 
 
 def bounded_broadcasts(dims: list[DataFrame], max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
