@@ -93,12 +93,11 @@ def coerced_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     fk, dk = _aligned_keys(fact, fact_key, dim, dim_key)
     fact_cols = [c for c in fact.columns if keep_key or c != fact_key]
     dim_cols = [c for c in dim.columns if c != dim_key]
-    clash = set(fact_cols) & set(dim_cols)
+    clash = set(fact.columns) & set(dim_cols)
     if clash:
         raise ValueError(f"lookup would duplicate columns {sorted(clash)}; rename one side first")
     d = dim.select(dk.alias("__lookup_key"), *dim_cols)
-    f = fact.withColumn("__fact_key", fk)
-    joined = f.join(bounded_broadcast(d, max_rows), F.col("__fact_key") == F.col("__lookup_key"), "inner")
+    joined = fact.join(bounded_broadcast(d, max_rows), fk == F.col("__lookup_key"), "inner")
     return joined.select(*fact_cols, *dim_cols)
 
 
@@ -116,8 +115,7 @@ def named_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
     if clash:
         raise ValueError(f"lookup would duplicate columns {sorted(clash)}; rename one side first")
     d = dim.select(dk.alias("__lookup_key"), *dim_cols)
-    f = fact.withColumn("__fact_key", fk)
-    joined = f.join(bounded_broadcast(d, max_rows), F.col("__fact_key") == F.col("__lookup_key"), "inner")
+    joined = fact.join(bounded_broadcast(d, max_rows), fk == F.col("__lookup_key"), "inner")
     return joined.select(*fact.columns, *dim_cols)
 
 
