@@ -1,0 +1,21 @@
+"""Shared storage: scratch data goes below the session's checkpoint folder."""
+
+from wayfare.session import RECOMMENDED_CONF, ensure_checkpoint_dir, scratch_path
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    current = spark.sparkContext.getCheckpointDir()
+    assert current  # set by the cluster's spark.checkpoint.dir, or once for tests
+    assert ensure_checkpoint_dir(spark) == current  # never replaced once set
+
+
+def test_scratch_paths_are_unique_and_below_the_checkpoint_dir(spark):
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root + "/") and b.startswith(root + "/")
+
+
+def test_recommended_settings_keep_ui_off_and_aqe_on():
+    assert RECOMMENDED_CONF["spark.ui.enabled"] == "false"
+    assert RECOMMENDED_CONF["spark.sql.adaptive.enabled"] == "true"
+    assert RECOMMENDED_CONF["spark.sql.sources.partitionOverwriteMode"] == "dynamic"
