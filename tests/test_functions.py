@@ -122,3 +122,27 @@ def test_no_python_udf_in_plans(spark):
                      dates.day_number_to_iso(F.lit(3.0))).select("*")
     s = plan._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in s and "ArrowEvalPython" not in s
+
+
+def _py_coords(text):
+    # the source logic on well-formed input: strip, cut at the first comma, float()
+    first, rest = text.strip().split(",", 1)
+    return float(first), float(rest)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.floats(-180, 180, allow_nan=False), st.floats(-90, 90, allow_nan=False),
+                          st.sampled_from(["", " ", "  ", "\t"])), min_size=1, max_size=15))
+def test_coordinates_match_python_on_well_formed_text(spark, items):
+    texts = [f"{pad}{a!r}, {b!r}{pad}" for a, b, pad in items]
+    df = one_col(spark, texts)
+    got = df.select(geo.coord_first("v"), geo.coord_second("v")).collect()
+    assert [tuple(r) for r in got] == [_py_coords(t) for t in texts]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ABCXYZ-", min_size=0, max_size=6), min_size=1, max_size=15))
+def test_region_state_matches_python_when_a_dash_is_present(spark, suffixes):
+    texts = [f"US-{s}" for s in suffixes]
+    df = one_col(spark, texts)
+    assert col_values(df, geo.region_state("v")) == [t.strip().split("-", 1)[1] for t in texts]
