@@ -31,11 +31,11 @@ def summarize(name, df):
     counts = Counter()
     for op in OPS:
         counts[op] = len(re.findall(rf"\b{op}\b", plan))
-    counts["Exchange"] -= counts["BroadcastExchange"]
+    # "\bExchange\b" already excludes BroadcastExchange: Exchange counts shuffles only
     print(f"== {name}: " + ", ".join(f"{k}={v}" for k, v in counts.items() if v))
     for line in plan.splitlines():
         if "FileScan" in line or "Scan parquet" in line or "Scan csv" in line:
-            loc = re.search(r"Location: \w+ \[([^\]]*)\]", line)
+            loc = re.search(r"Location: \w+(?:\([^)]*\))? ?\[([^\]]*)\]", line)
             pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
             part = re.search(r"PartitionFilters: (\[[^\]]*\])", line)
             schema = re.search(r"ReadSchema: (struct<[^>]*>)", line)
