@@ -295,3 +295,9 @@ def test_non_strict_gate_reports_gaps(spark, run):
     out = pipeline.check_periods(spark, layout, [Period(2016, 1), Period(2016, 3)], strict=False)
     assert {(r.table, r.i94dt) for r in out.collect()} == {("immigration", "201601"),
                                                           ("immigrant", "201601")}
+
+
+def test_missing_month_file_is_reported(spark, run):
+    layout, _ = run
+    with pytest.raises(FileNotFoundError, match="201603"):
+        pipeline.arrivals_for_periods(spark, layout, [Period(2016, 2), Period(2016, 3)])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import Layout, Options
 from ..periods import Period, month_range
 from ..sources.arrivals import read_arrival_months
-from ..sinks.parquet import write_full, write_period
+from ..sinks.parquet import path_exists, write_full, write_period
 from ..sources.csv import read_airports, read_demographics, read_weather
 from ..sources.labels import read_labels
 from ..sources.tables import read_period, read_table
@@ -80,6 +80,10 @@ def arrivals_for_periods(spark: SparkSession, layout: Layout, periods: list[Peri
     """All requested month files in one scan; each row is stamped with the
     period of the file it came from (``_metadata.file_path``)."""
     paths = [layout.arrivals_path(p) for p in periods]
+    missing = [p.key for p, path in zip(periods, paths) if not path_exists(spark, path)]
+    if missing:
+        raise FileNotFoundError(f"no arrivals file for {', '.join(missing)} "
+                                f"(template {layout.raw(layout.arrivals_template)})")
     df = read_arrival_months(spark, paths, layout.arrivals_format)
     token = F.regexp_extract(F.col("_metadata.file_path"), layout.arrivals_token_regex(), 1)
     mapping = F.create_map(*[x for p in periods for x in (F.lit(p.token), F.lit(p.key))])

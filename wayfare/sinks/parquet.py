@@ -21,6 +21,12 @@ def _fs_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when a file or folder exists on the (shared) file system."""
+    p, fs = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def marker_exists(spark: SparkSession, table_path: str) -> bool:
     """True when the table folder holds a commit marker (shared file system)."""
     p, fs = _fs_path(spark, f"{table_path.rstrip('/')}/{SUCCESS_MARKER}")
