@@ -3,8 +3,9 @@
 Rare-first prefix filtering: the n-grams of a text are ordered by how rare
 their hash bucket is in the whole corpus; two texts whose Jaccard similarity
 reaches the threshold must share one of the first few.  Texts meet on those
-prefix n-grams, under a length and a positional filter, and each pair that is
-left is verified once on its whole n-gram sets, after a suffix filter.
+prefix n-grams, under a length and a positional filter; a suffix filter bounds
+their overlap by small counts of the sets' parts; each pair that is left is
+verified once on its whole n-gram sets.
 
 Equal sets are one class and meet as one.  Within the list of texts that share
 a prefix n-gram, all texts are first compared with the one that holds it
@@ -31,6 +32,7 @@ from .staging import stage
 FREQUENCY_BITS = 20      # hash buckets of the corpus-wide n-gram counts: 2**20
 FREQUENCY_SLICES = 256   # the counts travel in so many slices
 CANDIDATE_BITS = 26      # bits of the candidate filter (8 MB)
+PARTS = 128              # parts of the hash range that the suffix filter counts in
 
 
 def _sets(batch: pa.RecordBatch, text_at: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -51,36 +53,65 @@ def _bucket(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
 
 
+def _parts(grams: np.ndarray) -> bytes:
+    """How many n-grams lie in each of ``PARTS`` equal parts of the hash range; 255 means at least that."""
+    own = np.bincount((grams >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=PARTS)
+    return np.minimum(own, 255).astype(np.uint8).tobytes()
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as they need: few of them one by one, many as an array."""
+    at = np.flatnonzero(counts)
+    if not len(at):
+        return b""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max()) < 1 << 8 * w)
+    if len(at) * (width + 2) < len(counts) * width:
+        return bytes([width, 1]) + at.astype("<u2").tobytes() + counts[at].astype(f"<u{width}").tobytes()
+    return bytes([width, 0]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _add_packed(total: np.ndarray, packed: bytes) -> None:
+    width, sparse = packed[0], packed[1]
+    if sparse:
+        size = (len(packed) - 2) // (width + 2)
+        total[np.frombuffer(packed, "<u2", size, 2)] += np.frombuffer(packed, f"<u{width}", size, 2 + 2 * size).astype(
+            np.int64)
+    else:
+        total += np.frombuffer(packed, f"<u{width}", offset=2).astype(np.int64)
+
+
 def _survey(docs: DataFrame, n: int) -> DataFrame:
-    """One scan: a row per text (set size and digest), and n-gram counts by bucket."""
-    schema = f"doc_id {docs.schema[0].dataType.simpleString()}, n int, hi long, lo long, slice int, counts binary"
+    """One scan: a row per text (set size, digest, sizes of parts), and n-gram counts by bucket."""
+    schema = (f"doc_id {docs.schema[0].dataType.simpleString()}, n int, hi long, lo long, parts binary, "
+              "slice int, counts binary")
     width = (1 << FREQUENCY_BITS) // FREQUENCY_SLICES
 
     def scan(batches):
         counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
         for batch in batches:
-            sizes, his, los = [], [], []
+            sizes, his, los, cuts = [], [], [], []
             for _, grams in _sets(batch, 1, n):
                 hi, lo = _digest(grams)
                 sizes.append(len(grams))
+                cuts.append(_parts(grams))
                 his.append(hi)
                 los.append(lo)
                 np.add.at(counts, _bucket(grams), 1)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int32()), pa.array(his, pa.int64()),
-                 pa.array(los, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                names=["doc_id", "n", "hi", "lo", "slice", "counts"])
-        parts = [(s, np.flatnonzero(counts[s * width:(s + 1) * width])) for s in range(FREQUENCY_SLICES)]
-        parts = [(s, at.astype("<i4").tobytes() + counts[s * width + at].astype("<i8").tobytes())
-                 for s, at in parts if len(at)]
+                 pa.array(los, pa.int64()), pa.array(cuts, pa.binary()), pa.nulls(rows, pa.int32()),
+                 pa.nulls(rows, pa.binary())],
+                names=["doc_id", "n", "hi", "lo", "parts", "slice", "counts"])
+        parts = [(s, _packed(counts[s * width:(s + 1) * width])) for s in range(FREQUENCY_SLICES)]
+        parts = [(s, p) for s, p in parts if p]
         if parts:
             rows = len(parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(rows, batch.schema.field(0).type), pa.nulls(rows, pa.int32()),
-                 pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
+                 pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()),
                  pa.array([s for s, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary())],
-                names=["doc_id", "n", "hi", "lo", "slice", "counts"])
+                names=["doc_id", "n", "hi", "lo", "parts", "slice", "counts"])
 
     return docs.mapInArrow(scan, schema)
 
@@ -93,9 +124,7 @@ def _frequencies(survey: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                size = len(packed) // 12
-                at = np.frombuffer(packed, "<i4", size)
-                sums.setdefault(s, np.zeros(width, np.int64))[at] += np.frombuffer(packed, "<i8", size, 4 * size)
+                _add_packed(sums.setdefault(s, np.zeros(width, np.int64)), packed)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(sums.keys(), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
@@ -153,25 +182,36 @@ def _may_link(percent: int, size_a, pos_a, size_b, pos_b) -> Column:
     return fits & (rest * (100 + percent) >= (size_a + size_b) * percent)
 
 
-def overlap_bound(a: np.ndarray, b: np.ndarray, depth: int = 3) -> int:
-    """Suffix filter: most common values of two sorted arrays, by halving them at a pivot."""
-    if not depth or len(a) < 2 or len(b) < 2:
-        return min(len(a), len(b))
-    pivot = a[len(a) // 2]
-    i, j = np.searchsorted(a, pivot), np.searchsorted(b, pivot)
-    return overlap_bound(a[:i], b[:j], depth - 1) + overlap_bound(a[i:], b[j:], depth - 1)
-
-
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * |a & b| >= percent * |a | b|, for sorted arrays of distinct values."""
     if len(a) > len(b):
         a, b = b, a
-    needed = percent * (len(a) + len(b))
-    if overlap_bound(a, b) * (100 + percent) < needed:
-        return False
     at = np.searchsorted(b, a)
     common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-    return common * (100 + percent) >= needed
+    return common * (100 + percent) >= percent * (len(a) + len(b))
+
+
+def _may_overlap(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter: pairs whose parts could have enough n-grams in common.
+
+    A part has at most the smaller of its two counts in common.
+    """
+    narrow = classes.select("cid", "n", "parts")
+    both = (pairs.join(narrow.toDF("a", "size_a", "parts_a"), "a").join(narrow.toDF("b", "size_b", "parts_b"), "b")
+            .select("a", "b", "size_a", "size_b", "parts_a", "parts_b"))
+
+    def check(batches):
+        for batch in batches:
+            sizes = [batch.column(k).to_numpy().astype(np.int64) for k in (2, 3)]
+            left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, PARTS)
+                           for k in (4, 5))
+            least = np.minimum(left, right)
+            bound = least.sum(axis=1, dtype=np.int64)
+            full = (least == 255).any(axis=1)  # a count that is not exact bounds nothing
+            keep = full | (bound * (100 + percent) >= percent * (sizes[0] + sizes[1]))
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return both.mapInArrow(check, "a long, b long")
 
 
 def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
@@ -198,7 +238,7 @@ def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
 
     table = np.zeros(((1 << CANDIDATE_BITS) // 8 // width, width), np.uint8)
     marked = wanted.select(bit.alias("bit")).distinct().repartition((F.col("bit") / (width * 8)).cast("int"))
-    for row in marked.mapInArrow(bits, "slice int, bits binary").toLocalIterator():
+    for row in marked.mapInArrow(bits, "slice int, bits binary").collect():
         table[row["slice"]] |= np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
 
@@ -222,8 +262,9 @@ def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
                 yield _set_batch(out)
 
     sets = docs.mapInArrow(scan, "hi long, lo long, grams binary")
-    found = sets.join(wanted.select("cid", "hi", "lo"), ["hi", "lo"])
-    return found.groupBy("cid").agg(F.first("grams").alias("grams"))
+    one = Window.partitionBy("hi", "lo").orderBy("lo")  # copies of a text are met by several tasks
+    return (sets.join(wanted.select("cid", "hi", "lo"), ["hi", "lo"])
+            .withColumn("k", F.row_number().over(one)).filter("k = 1").select("cid", "grams"))
 
 
 def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -234,6 +275,7 @@ def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _verified(docs: DataFrame, n: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of class ids that link; each is verified once."""
+    pairs = stage(_may_overlap(pairs, classes, percent), "jaccard-pairs")
     ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     sets = stage(_candidate_sets(docs, n, stage(classes.join(ids, "cid"), "jaccard-wanted")), "jaccard-sets")
     both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("left")), "a")
@@ -266,9 +308,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     survey = stage(_survey(docs, n), "jaccard-survey")
-    rows = survey.filter("slice is null").select("doc_id", "n", "hi", "lo")
+    rows = survey.filter("slice is null").select("doc_id", "n", "hi", "lo", "parts")
     classes = stage(rows.filter("n > 0").groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("first_id")).withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.min("parts").alias("parts"))
+        .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
     prefixes = _prefixes(docs, n, percent, _frequencies(survey))
     same_token = Window.partitionBy("token")
@@ -298,11 +341,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = stage(_verified(docs, n, percent, further, classes), "jaccard-links")
 
     roots = stage(connected_components(links.unionByName(more)), "jaccard-roots")
-    in_groups = classes.join(roots, classes["cid"] == roots["node"], "left").select(
+    in_groups = classes.drop("n", "parts").join(roots, classes["cid"] == roots["node"], "left").select(
         "hi", "lo", "first_id", F.coalesce("root", "cid").alias("root"))
     lowest = in_groups.groupBy("root").agg(F.min("first_id").alias("lowest"))
     of_class = in_groups.join(lowest, "root").select("hi", "lo", "lowest")
-    own = rows.join(of_class, ["hi", "lo"], "left")
+    own = rows.drop("parts").join(of_class, ["hi", "lo"], "left")
     component = F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
     return own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
