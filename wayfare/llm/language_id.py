@@ -28,6 +28,7 @@ ORDER = 4                   # symbols of an n-gram; 16 bits each
 MAX_NGRAMS = 200_000        # n-grams kept for a language, the most frequent ones
 MAX_LANGUAGES = 200         # languages learned, those with the most n-grams
 CALIBRATION_ROWS = 20_000   # about so many training texts set the rejection thresholds
+SLICE_BYTES = 1 << 20       # text that a task turns into arrays at a time
 REJECT_DEVIATIONS = 6.0     # standard deviations above the mean cross-entropy
 UNDETERMINED = "und"
 
@@ -165,7 +166,7 @@ def _count_grams(train: DataFrame) -> DataFrame:
         size = 0
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            for row, end, data, offsets in ws.text_slices(batch.column(1)):
+            for row, end, data, offsets in ws.text_slices(batch.column(1), SLICE_BYTES):
                 keys, first = _grams(data, offsets)
                 of_key = np.repeat(langs[row:end], np.diff(first))
                 for lang in set(langs[row:end]):
@@ -291,7 +292,7 @@ def _calibrate(train: DataFrame, model: LanguageModel, rows: int) -> dict:
         known = shared.value
         for batch in batches:
             langs, sizes, found = batch.column(0).to_pylist(), [], []
-            for row, end, data, offsets in ws.text_slices(batch.column(1)):
+            for row, end, data, offsets in ws.text_slices(batch.column(1), SLICE_BYTES):
                 keys, first = _grams(data, offsets)
                 entropies = known.entropies(keys, first)
                 for k in range(end - row):
@@ -331,6 +332,12 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     read; repeated rows stay.
     """
     columns = columns or [F.col(c) for c in docs.columns if c.lower() not in ("lang_pred", "score", "entropy", "accepted")]
+    packed = docs.select(F.struct(F.col(text_col).cast("string").alias("text")).alias("read"),
+                         F.struct(*columns).alias("row"))
+    names = [f.name for f in packed.schema["row"].dataType]
+    if text_col in names and dict(docs.dtypes)[text_col] == "string":
+        packed = packed.select(F.col("row").alias("read"))  # the row's own text is read: it goes over once
+    place = packed.schema["read"].dataType.names.index(text_col if len(packed.columns) == 1 else "text")
     # The model's size is bounded by MAX_LANGUAGES and MAX_NGRAMS.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -338,7 +345,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
         known = shared.value
         for batch in batches:
             langs, scores, entropies, accepted = [], [], [], []
-            for row, end, data, offsets in ws.text_slices(batch.column(0)):
+            for row, end, data, offsets in ws.text_slices(batch.column(0).field(place), SLICE_BYTES):
                 keys, first = _grams(data, offsets)
                 found = known.entropies(keys, first)
                 for k in range(end - row):
@@ -355,14 +362,13 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
                     entropies.append(float(found[k, best]))
                     accepted.append(bool(found[k, best] <= known.limits.get(
                         (known.languages[best], length_class(size)), math.inf)))
-            row = batch.column(1)
+            row = batch.column(batch.num_columns - 1)
             yield pa.RecordBatch.from_arrays(
                 [row, pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(entropies, pa.float64()), pa.array(accepted, pa.bool_())],
                 names=["row", "lang_pred", "score", "entropy", "accepted"])
 
-    packed = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*columns).alias("row"))
-    schema = T.StructType([packed.schema["row"], *T.StructType.fromDDL(
+    schema = T.StructType([T.StructField("row", packed.schema[-1].dataType), *T.StructType.fromDDL(
         "lang_pred string, score double, entropy double, accepted boolean")])
     scored = packed.mapInArrow(scan, schema)
     return scored.select("row.*", "lang_pred", "score", "entropy", "accepted")
