@@ -29,7 +29,7 @@ MAX_NGRAMS = 200_000        # n-grams kept for a language, the most frequent one
 MAX_LANGUAGES = 200         # languages learned, those with the most n-grams
 CALIBRATION_ROWS = 20_000   # about so many training texts set the rejection thresholds
 SLICE_BYTES = 1 << 20       # text that a task turns into arrays at a time
-REJECT_DEVIATIONS = 6.0     # standard deviations above the mean cross-entropy
+REJECT_DEVIATIONS = 10.0     # standard deviations above the mean cross-entropy
 UNDETERMINED = "und"
 
 _BOUNDARY, _SPACE = 1, 32
