@@ -83,12 +83,12 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     A row is recognised by id and digest; of several rows with the id and digest
     of the row that stays, the first by length and text is taken.
     """
+    digest, rank, kept_id, kept_digest = (free_name(docs, c) for c in ("digest", "rank", "kept_id", "kept_digest"))
     kept = (exact_duplicates(docs, id_col, text_col).filter("kept")
-            .select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")))
-    digest, rank = free_name(docs, "digest"), free_name(docs, "rank")
+            .select(F.col("doc_id").alias(kept_id), F.unhex("text_sha256").alias(kept_digest)))
     keyed = docs.withColumn(digest, F.unhex(text_digest(F.col(text_col))))
-    stays = keyed.join(kept, F.col(digest).eqNullSafe(F.col("kept_digest"))
-                       & F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+    stays = keyed.join(kept, F.col(digest).eqNullSafe(F.col(kept_digest))
+                       & F.col(id_col).eqNullSafe(F.col(kept_id)), "left_semi")
     first = Window.partitionBy(digest, id_col).orderBy(
         F.char_length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).desc(), F.col(text_col))
     return stays.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(digest, rank)

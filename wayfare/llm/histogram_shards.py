@@ -151,8 +151,12 @@ def histogram_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write the rows of ``docs`` into one folder per shard, in the order of the slots."""
+    """Write the rows of ``docs`` into one folder per shard, in the order of the slots.
+
+    Ids must be distinct.  Columns of ``docs`` named shard, slot or placed_id are left out.
+    """
     spread = placed.select(F.col("doc_id").alias("placed_id"), "shard", "slot")
+    docs = docs.drop("shard", "slot", "placed_id")
     (docs.join(spread, docs[id_col].eqNullSafe(spread["placed_id"])).drop("placed_id")
      .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))

@@ -155,7 +155,7 @@ def score_severity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
 
     Returns doc_id, severity (expected grade), grade (the most likely one; the
     lower of equals), p_toxic (chance of any grade above 0), toxic (that chance
-    is at least one half).
+    is above one half).
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # The model holds words of a bounded sample.
@@ -179,7 +179,7 @@ def score_severity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
             each = -np.diff(np.hstack([np.ones((len(above), 1)), above, np.zeros((len(above), 1))]), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)),
-                 pa.array(above[:, 0].copy()), pa.array(above[:, 0] >= 0.5)], names=fields.names)
+                 pa.array(above[:, 0].copy()), pa.array(above[:, 0] > 0.5)], names=fields.names)
 
     return docs.mapInArrow(scan, fields)
 
