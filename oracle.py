@@ -29,14 +29,11 @@ def iso_day(x: str) -> str:
             f"AS VARCHAR) END")
 
 
-# nations referenced by a customer or a supplier
-ACTIVE = "n_nationkey IN (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier)"
-
 STATE_LINES = f"""state_lines AS (
   SELECT chr(9) || '''' || CASE WHEN n_regionkey = 4 THEN CAST(n_nationkey AS VARCHAR)
                               ELSE {nc('n_nationkey')} || CAST(n_regionkey AS VARCHAR) END || '''' AS raw_code,
          '''' || n_name || '''' AS raw_label
-  FROM nation WHERE {ACTIVE})"""
+  FROM nation)"""
 
 US_STATE = f"""{STATE_LINES},
 us_state AS (
@@ -50,7 +47,7 @@ COUNTRY_LINES = f"""country_lines AS (
                        WHEN n_regionkey = 4 THEN 'No Country Code (' || n_name || ')'
                        WHEN n_nationkey % 10 = 7 THEN 'INVALID: ' || n_name
                        ELSE n_name END || ' ''' AS raw_label
-  FROM nation WHERE {ACTIVE})"""
+  FROM nation)"""
 
 CUSTOMER_LINES = """customer_lines AS (
   SELECT '   ' || CAST(c_custkey AS VARCHAR) || ' ' AS raw_code,
@@ -402,14 +399,32 @@ SELECT c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment
     "immigration": w(FACTS, "SELECT * FROM immigration"),
     "arrivals_by_city": w(MART, "SELECT * FROM mart"),
     "arrivals_by_city_joined": w(MART, "SELECT * FROM mart"),
+    "arrivals_by_city_one_pass": w(MART, "SELECT * FROM mart"),
+    "mart_duplicate_ids": w(MART, """SELECT p.cicid, p.age, p.birth_country, p.residence_country, p.gender, p.visatype,
+       p.visa, p.i94dt, e.arrival_date, e.departure_date, e.airport_code, e.name, e.city,
+       e.state_code, e.state_name, e.population, e.median_age
+FROM (SELECT * FROM immigrant UNION ALL SELECT * REPLACE ('X' AS gender) FROM immigrant WHERE cicid % 3 = 0) p
+JOIN (SELECT * FROM events UNION ALL SELECT * FROM events WHERE cicid % 3 = 0) e
+  ON p.cicid = e.cicid AND p.i94dt = e.i94dt"""),
+    "stored_us_state": w(US_STATE, "SELECT * FROM us_state"),
+    "stored_country": w(COUNTRY, "SELECT * FROM country"),
+    "stored_us_ports": w(f"{US_STATE},\n{US_PORTS}", "SELECT * FROM us_ports"),
+    "stored_weather": w(WEATHER, "SELECT * FROM weather"),
+    "stored_airports": w(DIMS, "SELECT * FROM airports"),
+    "stored_city": w(DIMS, "SELECT * FROM city"),
     # H
     "nonempty_by_period": w(FACTS, "SELECT i94dt, CAST(count(*) AS BIGINT) AS rows FROM immigration GROUP BY i94dt"),
     "publication_check": w(f"{MART},\n{WEATHER}", """SELECT 'weather' AS "table", true AS has_marker,
-       (SELECT count(*) > 0 FROM weather) AS has_rows
-UNION ALL SELECT 'airports', true, (SELECT count(*) > 0 FROM airports)
-UNION ALL SELECT 'city', true, (SELECT count(*) > 0 FROM city)
-UNION ALL SELECT 'immigration', true, (SELECT count(*) > 0 FROM immigration)
-UNION ALL SELECT 'immigrant', true, (SELECT count(*) > 0 FROM immigrant)"""),
+       (SELECT count(*) FROM weather) AS rows
+UNION ALL SELECT 'airports', true, (SELECT count(*) FROM airports)
+UNION ALL SELECT 'city', true, (SELECT count(*) FROM city)
+UNION ALL SELECT 'immigration', true, (SELECT count(*) FROM immigration)
+UNION ALL SELECT 'immigrant', true, (SELECT count(*) FROM immigrant)
+UNION ALL SELECT 'never_written', false, 0"""),
+    "gate_after_empty_rerun": w(MART, """SELECT 'immigration' AS "table",
+       (SELECT count(*) FROM immigration WHERE i94dt = '199701') AS rows_before, 0 AS rows_after, true AS gate_failed
+UNION ALL SELECT 'immigrant', (SELECT count(*) FROM immigrant WHERE i94dt = '199701'), 0, true
+UNION ALL SELECT 'immigration_demographics', (SELECT count(*) FROM mart WHERE i94dt = '199701'), 0, true"""),
     "preview": w(FACTS, "SELECT * FROM immigration ORDER BY cicid LIMIT 5"),
     "period_params": """SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS period_key,
        lower(strftime(o_orderdate, '%b%y')) AS period_token FROM orders""",

@@ -35,8 +35,18 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_library_has_an_oracle():
+    import catalog
+    import oracle
+    assert set(catalog.QUERIES) == set(oracle.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_parts_that_are_not_installed_are_left_out(monkeypatch):
+    import catalog
+    monkeypatch.setattr(entry, "_llm_parts", lambda: False)
+    assert entry.queries() == catalog.QUERIES
 
 
 def test_entry_runs(spark):

@@ -129,7 +129,7 @@ def test_publication_check_reports_missing_marker(spark, run, tmp_root):
     tables = {"immigration": layout.table("immigration"), "nothing": f"{tmp_root}/none"}
     with pytest.raises(quality.DataQualityError):
         quality.publication_check(spark, tables)
-    out = {r.table: (r.has_marker, r.has_rows)
+    out = {r["table"]: (r["has_marker"], r["rows"] > 0)
            for r in quality.publication_check(spark, tables, raise_on_fail=False).collect()}
     assert out == {"immigration": (True, True), "nothing": (False, False)}
 
@@ -301,3 +301,16 @@ def test_missing_month_file_is_reported(spark, run):
     layout, _ = run
     with pytest.raises(FileNotFoundError, match="201603"):
         pipeline.arrivals_for_periods(spark, layout, [Period(2016, 2), Period(2016, 3)])
+
+
+def test_a_rerun_without_kept_rows_clears_its_month(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    from wayfare.sinks.parquet import write_period
+    rows = spark.createDataFrame([(1, "201601"), (2, "201602")], "v int, i94dt string")
+    path = f"{tmp_root}/periods"
+    write_period(rows, path, periods=["201601", "201602"])
+    write_period(rows.filter(F.col("i94dt") == "201601"), path, periods=["201601", "201602"])
+    assert [tuple(r) for r in spark.read.parquet(path).select("v").collect()] == [(1,)]
+    write_period(rows.filter("v > 9"), path, periods=["201601"])
+    assert spark.read.schema(rows.schema).parquet(path).count() == 0

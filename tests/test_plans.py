@@ -16,8 +16,8 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_flagship_has_no_fact_to_fact_join(spark):
-    plan = executed(catalog.arrivals_by_city(spark, SF))
+def test_one_pass_mart_has_no_fact_to_fact_join(spark):
+    plan = executed(catalog.arrivals_by_city_one_pass(spark, SF))
     joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[([^\]]*)\]", plan)
     assert joins and not any("cicid" in keys for _, keys in joins)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -1,5 +1,7 @@
 """Shared storage: scratch data goes below the session's checkpoint folder."""
 
+import pytest
+
 from wayfare.session import RECOMMENDED_CONF, ensure_checkpoint_dir, scratch_path
 
 
@@ -19,3 +21,25 @@ def test_recommended_settings_keep_ui_off_and_aqe_on():
     assert RECOMMENDED_CONF["spark.ui.enabled"] == "false"
     assert RECOMMENDED_CONF["spark.sql.adaptive.enabled"] == "true"
     assert RECOMMENDED_CONF["spark.sql.sources.partitionOverwriteMode"] == "dynamic"
+
+
+class _Cluster:
+    """A session of a cluster that names no shared folder."""
+    master = "spark://somewhere:7077"
+
+    def __init__(self):
+        self.sparkContext = self.conf = self
+
+    def getCheckpointDir(self):
+        return None
+
+    def getConf(self):
+        return self
+
+    def get(self, key, default=None):
+        return default
+
+
+def test_no_private_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Cluster())

@@ -67,13 +67,11 @@ class Options:
     distinct_city: bool = False           # Q6: keep city x race fan-out by default
     lenient_ports: bool = False           # Q1: last two-letter word as the port state
     coord_order: str = "lat_lon"          # F11: positional coordinate order
-    max_broadcast_rows: int = 200_000
     parallel_tables: int = 3              # independent tables built concurrently
     salt_buckets: int | None = None       # explicit write salt where AQE is off
     check_tables: tuple = ("immigration", "immigrant")  # H1 tables; add the mart to gate it too
     strict_checks: bool = True            # H1: raise on a period without rows (else report)
-    # "conformed": write the mart in the same pass as the facts (one broadcast
-    # lookup, no fact x fact join; assumes cicid identifies a record within a
-    # month, as in the arrivals files).  "tables": re-read the stored facts and
-    # join them on (cicid, i94dt), as the source ETL does.
-    mart_source: str = "conformed"
+    # "tables": re-read the stored facts and join them on (cicid, i94dt), as the
+    # source ETL does.  "conformed": write the mart in the same pass as the facts
+    # (no fact x fact join), where cicid is known to identify a record in a month.
+    mart_source: str = "tables"

@@ -1,58 +1,19 @@
-"""Inner equi-joins (E1-E6) with a size-checked broadcast for lookups.
+"""Inner equi-joins.
 
-Code tables come from label files and are tiny, but the same operators run on
-dimensions that grow with the data.  ``bounded_broadcast`` therefore proves a
-row bound (reading at most bound + 1 rows) before hinting; above the bound the
-join is left to the planner (shuffle join, or AQE's runtime broadcast when the
-actual size turns out small).
+No broadcast hints: code tables are stored as Parquet, so Spark knows their
+size in bytes and broadcasts them below ``spark.sql.autoBroadcastJoinThreshold``;
+above it the join is a shuffle join, which AQE may still turn into a broadcast
+or split where keys are skewed.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions.text import text_key_as_double
 
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``dim`` provably has at most ``max_rows`` rows."""
-    return bounded_broadcasts([dim], max_rows)[0]
-
-
-def exceeds_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has more than ``max_rows`` rows, reading at most ``max_rows + 1``.
-
-    ``offset(n).limit(1)`` over ``coalesce(1)`` runs as one collect-limit task
-    that reads the partitions in turn and stops as soon as row ``n + 1`` is
-    seen: one job, no extra shuffle, at most one row returned, so the check
-    stays cheap even when the table is huge.
-    """
-    probe = df.select(F.lit(1).alias("probe")).coalesce(1).offset(max_rows).limit(1)
-    return len(probe.collect()) > 0
-
-
-def bounded_broadcasts(dims: list[DataFrame], max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
-                       ) -> list[DataFrame]:
-    """Size-check several lookup tables (concurrently); hint those within the bound.
-
-    Tables above the bound are returned unchanged: the planner then picks a
-    shuffle join, or AQE a runtime broadcast when the actual size is small.
-    """
-    if max_rows is None or not dims:
-        return list(dims)
-    if len(dims) == 1:
-        too_big = [exceeds_rows(dims[0], max_rows)]
-    else:
-        with ThreadPoolExecutor(max_workers=min(4, len(dims))) as pool:
-            too_big = list(pool.map(lambda d: exceeds_rows(d, max_rows), dims))
-    return [d if big else F.broadcast(d) for d, big in zip(dims, too_big)]
-
 
 def _dtype(df: DataFrame, column: str):
     return df.schema[column].dataType
@@ -80,8 +41,7 @@ def multi_key_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
 
 
 def coerced_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-                   *, keep_key: bool = True, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
-                   ) -> DataFrame:
+                   *, keep_key: bool = True) -> DataFrame:
     """Lookup join where key types may differ (double fact key vs text code).
 
     The dimension key is normalised once on the (small) dimension side, so the
@@ -97,13 +57,12 @@ def coerced_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     if clash:
         raise ValueError(f"lookup would duplicate columns {sorted(clash)}; rename one side first")
     d = dim.select(dk.alias("__lookup_key"), *dim_cols)
-    joined = fact.join(bounded_broadcast(d, max_rows), fk == F.col("__lookup_key"), "inner")
+    joined = fact.join(d, fk == F.col("__lookup_key"), "inner")
     return joined.select(*fact_cols, *dim_cols)
 
 
 def named_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *,
-                 keep_dim_key: bool = False, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
-                 ) -> DataFrame:
+                 keep_dim_key: bool = False) -> DataFrame:
     """Lookup on differently named keys; rows with unknown/null keys are dropped.
 
     Keeps the fact key; keeps the dim key only when asked (as the arrivals
@@ -115,19 +74,18 @@ def named_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
     if clash:
         raise ValueError(f"lookup would duplicate columns {sorted(clash)}; rename one side first")
     d = dim.select(dk.alias("__lookup_key"), *dim_cols)
-    joined = fact.join(bounded_broadcast(d, max_rows), fk == F.col("__lookup_key"), "inner")
+    joined = fact.join(d, fk == F.col("__lookup_key"), "inner")
     return joined.select(*fact.columns, *dim_cols)
 
 
 def role_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                role_names: dict[str, str], *, drop_fact_key: bool = True,
-                max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                role_names: dict[str, str], *, drop_fact_key: bool = True) -> DataFrame:
     """One dimension joined in a named role (e.g. country as residence).
 
     ``role_names`` renames the dimension's attribute columns for this role.
     """
     d = dim.withColumnsRenamed(role_names)
-    out = named_lookup(fact, d, fact_key, dim_key, max_rows=max_rows)
+    out = named_lookup(fact, d, fact_key, dim_key)
     return out.drop(fact_key) if drop_fact_key else out
 
 

@@ -3,7 +3,7 @@
 from .dictionary import build_us_state, build_country, build_us_ports, build_mode, build_visa
 from .dims import build_weather, build_airports, build_city
 from .facts import conform_arrivals, build_immigrant, build_immigration
-from .marts import airport_city, build_immigration_demographics
+from .marts import city_of_airport, build_immigration_demographics
 from .quality import (periods_present, check_nonempty, publication_check, preview,
                       DataQualityError)
 from . import reports
@@ -11,6 +11,6 @@ from . import reports
 __all__ = [
     "build_us_state", "build_country", "build_us_ports", "build_mode", "build_visa",
     "build_weather", "build_airports", "build_city", "conform_arrivals", "build_immigrant",
-    "build_immigration", "airport_city", "build_immigration_demographics", "periods_present",
+    "build_immigration", "city_of_airport", "build_immigration_demographics", "periods_present",
     "check_nonempty", "publication_check", "preview", "DataQualityError", "reports",
 ]

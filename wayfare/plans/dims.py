@@ -54,7 +54,8 @@ def build_city(raw: DataFrame, us_state: DataFrame, distinct: bool = False) -> D
     """(state_code, city, median_age, population, state_name).
 
     Not de-duplicated by default: the public file has one row per city and
-    race, and the mart multiplies accordingly; ``distinct=True`` keeps one.
+    race, and the mart multiplies accordingly; ``distinct=True`` keeps the one
+    with the smallest median age, then population (as text).
     """
     d = rename(raw, {"State Code": "state_code", "Median Age": "median_age",
                      "City": "city", "Total Population": "population"})
@@ -62,5 +63,7 @@ def build_city(raw: DataFrame, us_state: DataFrame, distinct: bool = False) -> D
     d = using_join(d, us_state, "state_code")
     d = d.withColumn("city", lower_trimmed("city"))
     if distinct:
-        d = d.dropDuplicates(["state_code", "city"])
+        smallest = F.min(F.struct("median_age", "population", "state_name")).alias("kept")
+        d = d.groupBy("state_code", "city").agg(smallest).select(
+            "state_code", "city", "kept.median_age", "kept.population", "kept.state_name")
     return d

@@ -8,45 +8,39 @@ from pyspark.sql import functions as F
 from ..functions.dates import day_number_to_iso
 from ..operators.columns import cast_columns, rename
 from ..operators.filters import label_filter
-from ..operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcasts, coerced_lookup,
-                               named_lookup, role_lookup)
+from ..operators.joins import coerced_lookup, named_lookup, role_lookup
 
 ARRIVAL_RENAMES = {"i94yr": "year", "i94mon": "month", "i94port": "port_of_entry",
                    "arrdate": "arrival_date", "depdate": "departure_date", "i94bir": "age"}
 
 
 def record_period(year: str = "year", month: str = "month") -> Column:
-    """Per-row ``yyyyMM`` from the record's own year and month numbers."""
-    return F.format_string("%04d%02d", F.col(year).try_cast("int"), F.col(month).try_cast("int"))
+    """Per-row ``yyyyMM`` from the record's own year and month numbers; null without them."""
+    y, m = F.col(year).try_cast("int"), F.col(month).try_cast("int")
+    return F.when(y.isNotNull() & m.isNotNull(), F.format_string("%04d%02d", y, m))
 
 
 def conform_arrivals(arrivals: DataFrame, modes: DataFrame, visas: DataFrame,
                      states: DataFrame, countries: DataFrame, *, mode_label: str = "Air",
-                     period: "str | None" = None,
-                     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     period: "str | None" = None) -> DataFrame:
     """Decode dates, look up mode/visa/state/countries, keep one travel mode.
 
-    Every lookup is an inner join against a small code table (broadcast after
-    a size check), so records with an unknown or null code are dropped, as in
+    Every lookup is an inner join against a code table, so records with an unknown or null code are dropped, as in
     the source ETL.  ``period`` stamps ``i94dt``; without it the period comes
     from each record's year and month, which lets one job conform many months.
     """
-    # One job proves the size of all four code tables; lookups then reuse the hints.
-    modes, visas, states, countries = bounded_broadcasts([modes, visas, states, countries],
-                                                         max_broadcast_rows)
-    mb = None
     df = arrivals.withColumns({"arrdate": day_number_to_iso("arrdate"),
                                "depdate": day_number_to_iso("depdate")})
     df = rename(df, ARRIVAL_RENAMES)
-    df = coerced_lookup(df, modes, "i94mode", max_rows=mb)
+    df = coerced_lookup(df, modes, "i94mode")
     df = label_filter(df, "mode", mode_label)
-    df = coerced_lookup(df, visas, "i94visa", max_rows=mb)
-    df = named_lookup(df, states, "i94addr", "state_code", keep_dim_key=True, max_rows=mb)
+    df = coerced_lookup(df, visas, "i94visa")
+    df = named_lookup(df, states, "i94addr", "state_code", keep_dim_key=True)
     df = role_lookup(df, countries, "i94res", "country_code",
-                     {"country_name": "residence_country"}, max_rows=mb)
+                     {"country_name": "residence_country"})
     df = df.drop("i94visa", "i94mode", "i94addr")
     df = role_lookup(df, countries, "i94cit", "country_code",
-                     {"country_name": "birth_country"}, max_rows=mb)
+                     {"country_name": "birth_country"})
     return df.withColumn("i94dt", F.lit(period) if period else record_period())
 
 

@@ -6,23 +6,25 @@ spark-submit.  No driver-side data loops: every step is a distributed job.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Layout, Options
 from ..periods import Period, month_range
+from ..session import scratch_path
 from ..sources.arrivals import read_arrival_months
 from ..sinks.parquet import path_exists, write_full, write_period
 from ..sources.csv import read_airports, read_demographics, read_weather
 from ..sources.labels import read_labels
-from ..sources.tables import read_period, read_table
+from ..sources.tables import read_table
 from . import dictionary, dims, facts, marts, quality
 
 CODE_TABLES = ["us_state", "country", "us_ports", "i94mode", "i94visa"]
-MART_STORED_ORDER = list(marts.MART_COLUMNS)
+log = logging.getLogger(__name__)
 
 
 def run_concurrently(tasks: list, workers: int) -> None:
@@ -32,8 +34,9 @@ def run_concurrently(tasks: list, workers: int) -> None:
         for task in tasks:
             task()
         return
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
-        for future in [pool.submit(t) for t in tasks]:
+        for future in [pool.submit(inherit(t)) for t in tasks]:
             future.result()
 
 
@@ -98,24 +101,21 @@ def load_facts(spark: SparkSession, layout: Layout, periods: list[Period],
     conformed = facts.conform_arrivals(
         arrivals, _code(spark, layout, "i94mode"), _code(spark, layout, "i94visa"),
         _code(spark, layout, "us_state"), _code(spark, layout, "country"),
-        mode_label=options.mode_label, max_broadcast_rows=options.max_broadcast_rows)
+        mode_label=options.mode_label)
     conformed = conformed.withColumn("i94dt", F.col("__period")).drop("__period")
-    # Two writes read the same conformed rows; keep them (recomputable on loss).
-    conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_period(facts.build_immigrant(conformed), layout.table("immigrant"),
-                     spread="visa", mode=options.write_mode, salt_buckets=options.salt_buckets)
-        write_period(facts.build_immigration(conformed), layout.table("immigration"),
-                     spread="state_code", mode=options.write_mode,
-                     salt_buckets=options.salt_buckets)
-        if with_mart:
-            mart = marts.mart_from_conformed(conformed, _code(spark, layout, "airports"),
-                                             _code(spark, layout, "city"),
-                                             max_broadcast_rows=options.max_broadcast_rows)
-            write_period(mart.select(*MART_STORED_ORDER), layout.table("immigration_demographics"),
-                         mode=options.write_mode, salt_buckets=options.salt_buckets)
-    finally:
-        conformed.unpersist()
+    # Several writes read the same conformed rows: staged once on shared storage.
+    staged = scratch_path(spark, "conformed")
+    conformed.write.partitionBy("i94dt").parquet(staged)
+    conformed = spark.read.schema(conformed.schema).parquet(staged)
+    keys = [p.key for p in periods]
+    targets = [("immigrant", facts.build_immigrant(conformed), "visa"),
+               ("immigration", facts.build_immigration(conformed), "state_code")]
+    if with_mart:
+        mart = marts.mart_from_conformed(conformed, _code(spark, layout, "airports"), _code(spark, layout, "city"))
+        targets.append(("immigration_demographics", mart, None))
+    for name, rows, spread in targets:
+        write_period(rows, layout.table(name), spread=spread, mode=options.write_mode,
+                     salt_buckets=options.salt_buckets, periods=keys)
 
 
 def load_mart(spark: SparkSession, layout: Layout, periods: list[Period],
@@ -127,10 +127,9 @@ def load_mart(spark: SparkSession, layout: Layout, periods: list[Period],
     immigrant = read_table(spark, layout.table("immigrant"), "immigrant").filter(
         F.col("i94dt").isin(keys))
     mart = marts.build_immigration_demographics(
-        immigration, immigrant, _code(spark, layout, "airports"), _code(spark, layout, "city"),
-        max_broadcast_rows=options.max_broadcast_rows)
+        immigration, immigrant, _code(spark, layout, "airports"), _code(spark, layout, "city"))
     write_period(mart, layout.table("immigration_demographics"), mode=options.write_mode,
-                 salt_buckets=options.salt_buckets)
+                 salt_buckets=options.salt_buckets, periods=keys)
 
 
 def check_periods(spark: SparkSession, layout: Layout, periods: list[Period],
@@ -138,22 +137,20 @@ def check_periods(spark: SparkSession, layout: Layout, periods: list[Period],
                   strict: bool = True) -> DataFrame:
     """H1 for every (table, period) with one aggregation job per table; raises on a gap."""
     keys = [p.key for p in periods]
-    counts = {t: quality.periods_present(
-        read_table(spark, layout.table(t), t).filter(F.col("i94dt").isin(keys))
-    ).withColumn("table", F.lit(t)) for t in tables}
+    def count(table: str) -> list[tuple]:
+        rows = read_table(spark, layout.table(table), table).filter(F.col("i94dt").isin(keys))
+        return [(r["i94dt"], r["rows"], table) for r in quality.periods_present(rows).collect()]
+
     # one small aggregation job per table, run side by side; each returns <= len(keys) rows
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(tables)))) as pool:
-        present = dict(zip(tables, pool.map(
-            lambda t: {r["i94dt"] for r in counts[t].filter(F.col("rows") > 0).collect()}, tables)))
-    for table in tables:
-        missing = sorted(set(keys) - present[table])
+        found = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(count), t) for t in tables]]
+    for table, rows in zip(tables, found):
+        missing = sorted(set(keys) - {key for key, n, _ in rows if n > 0})
         if missing and strict:
             raise quality.DataQualityError(
                 f"data quality check failed: {table} has no rows for {', '.join(missing)}")
-    out = counts[tables[0]]
-    for t in tables[1:]:
-        out = out.unionByName(counts[t])
-    return out
+        log.info("data quality check passed: %s", table)
+    return spark.createDataFrame([r for rows in found for r in rows], "i94dt string, rows long, `table` string")
 
 
 def run_month(spark: SparkSession, layout: Layout, period: Period | str,
@@ -163,12 +160,14 @@ def run_month(spark: SparkSession, layout: Layout, period: Period | str,
 
 
 def backfill(spark: SparkSession, layout: Layout, start: Period | str, end: Period | str,
-             options: Options = Options(), *, refresh_reference: bool = True) -> DataFrame:
+             options: Options = Options(), *, refresh_reference: bool = True,
+             only: set[str] | None = None) -> DataFrame:
     """H6: a month range as one multi-period run (one scan, one write per table).
 
+    ``only`` leaves out the months of the range that have no file.
     Returns the per-(table, period) row counts of the quality gate.
     """
-    periods = month_range(start, end)
+    periods = [p for p in month_range(start, end) if only is None or p.key in only]
     if refresh_reference:
         build_code_tables(spark, layout, options)
         build_dimensions(spark, layout, options)
@@ -183,7 +182,3 @@ def backfill(spark: SparkSession, layout: Layout, start: Period | str, end: Peri
     return check_periods(spark, layout, periods, tuple(options.check_tables),
                          strict=options.strict_checks)
 
-
-def read_mart_period(spark: SparkSession, layout: Layout, period: Period) -> DataFrame:
-    return read_period(spark, layout.table("immigration_demographics"), period.key,
-                       "immigration_demographics")

@@ -45,8 +45,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` always wins.  Only when it is unset
-    (local tests) a private folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` always wins.  Only a local session
+    without it gets a private folder; elsewhere a missing setting is an error,
+    as a driver's own folder is not seen by executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wayfare-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -9,7 +9,8 @@ single write task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SUCCESS_MARKER = "_SUCCESS"
@@ -43,6 +44,14 @@ def publish_marker(spark: SparkSession, table_path: str) -> None:
     fs.create(p, True).close()
 
 
+def _observed(written: Observation) -> set[str]:
+    """The periods an observation has seen; Spark keeps no metrics of a result it finds to be empty."""
+    try:
+        return set(written.get["periods"])
+    except (Py4JJavaError, KeyError):
+        return set()
+
+
 def _clustered(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *keys) if keys else df
 
@@ -63,9 +72,12 @@ def write_full(df: DataFrame, path: str, partition_by: str | None = None,
 def write_period(df: DataFrame, path: str, period_column: str = "i94dt",
                  spread: str | None = None, mode: str = "dynamic",
                  max_records_per_file: int | None = None,
-                 salt_buckets: int | None = None) -> None:
+                 salt_buckets: int | None = None, periods: list[str] | None = None) -> None:
     """Write the periods present in ``df``.
 
+    ``periods`` names the periods that this run is for: after a dynamic write,
+    those of them that got no row are removed, so no older rows stay in them.
+
     ``mode="dynamic"`` (default) overwrites exactly the periods being written,
     so a retried or repeated run leaves one copy of the rows; ``mode="append"``
     reproduces plain appends.
@@ -76,6 +88,9 @@ def write_period(df: DataFrame, path: str, period_column: str = "i94dt",
     spread, salt), spreading every (period, spread) group over up to that many
     tasks.
     """
+    written = Observation()
+    if periods is not None and mode == "dynamic":
+        df = df.observe(written, F.collect_set(period_column).alias("periods"))
     keys = [period_column] + ([spread] if spread else [])
     if salt_buckets:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
@@ -93,4 +108,8 @@ def write_period(df: DataFrame, path: str, period_column: str = "i94dt",
     else:
         raise ValueError(f"unknown write mode {mode!r}")
     w.parquet(path)
+    if periods is not None and mode == "dynamic":
+        for period in sorted(set(periods) - _observed(written)):
+            p, fs = _fs_path(df.sparkSession, f"{path.rstrip('/')}/{period_column}={period}")
+            fs.delete(p, True)
     publish_marker(df.sparkSession, path)

@@ -68,26 +68,6 @@ def _days_since_epoch(c: str) -> Column:
 
 
 # ---------------------------------------------------------------- label lines
-def active_nations(nation: DataFrame, customer: DataFrame, supplier: DataFrame,
-                   materialize: bool = True) -> DataFrame:
-    """Nations referenced by a customer or a supplier (the label files list the
-    codes in use).  Keys are de-duplicated map-side before the semi join.
-
-    Several code tables derive from this small set; it is materialized once
-    with a reliable checkpoint (shared checkpoint folder), the way the real
-    pipeline writes its code tables once, instead of rescanning customer and
-    supplier for every table that uses it.
-    """
-    keys = (customer.select(F.col("c_nationkey").alias("k"))
-            .unionByName(supplier.select(F.col("s_nationkey").alias("k"))).distinct())
-    active = nation.join(keys, nation.n_nationkey == keys.k, "left_semi")
-    if materialize:
-        from .session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(active.sparkSession)
-        active = active.checkpoint(eager=True)
-    return active
-
-
 def state_labels(nation: DataFrame) -> DataFrame:
     code = F.when(F.col("n_regionkey") == 4, F.col("n_nationkey").cast("string")).otherwise(
         F.concat(nation_code("n_nationkey"), F.col("n_regionkey").cast("string")))
@@ -244,7 +224,6 @@ def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from .plans import dictionary as d
     nation, supplier, orders, customer = tables(spark, sf_dir, "nation", "supplier", "orders",
                                                 "customer")
-    nation = active_nations(nation, customer, supplier)
     states = d.build_us_state(state_labels(nation))
     return {
         "us_state": states,
@@ -276,7 +255,6 @@ def stage_raw(spark: SparkSession, sf_dir: str, layout) -> None:
     nation, supplier, orders, customer, lineitem = tables(
         spark, sf_dir, "nation", "supplier", "orders", "customer", "lineitem")
     from .plans.pipeline import run_concurrently
-    nation = active_nations(nation, customer, supplier)
     run_concurrently([
         lambda: write_lines(state_labels(nation), layout.label_path("us_state")),
         lambda: write_lines(country_labels(nation), layout.label_path("country")),
@@ -308,6 +286,14 @@ def arrival_months(spark: SparkSession, sf_dir: str):
     return Period(r["lo"].year, r["lo"].month), Period(r["hi"].year, r["hi"].month)
 
 
+def months_with_mode(spark: SparkSession, sf_dir: str) -> set[str]:
+    """Months that have an order of the kept mode (a set of months, not of rows)."""
+    from .functions.dates import period_key
+    (orders,) = tables(spark, sf_dir, "orders")
+    kept = orders.filter(F.substr(F.col("o_orderpriority"), F.lit(3)) == MODE_LABEL)
+    return {r[0] for r in kept.select(period_key("o_orderdate")).distinct().collect()}
+
+
 def analog_layout(root: str):
     from .config import Layout
     return Layout(raw_root=f"{root}/raw", processed_root=f"{root}/processed",
