@@ -33,6 +33,8 @@ FREQUENCY_BITS = 20      # hash buckets of the corpus-wide n-gram counts: 2**20
 FREQUENCY_SLICES = 256   # the counts travel in so many slices
 CANDIDATE_BITS = 26      # bits of the candidate filter (8 MB)
 PARTS = 128              # parts of the hash range that the suffix filter counts in
+HOT_SHARE = 100_000      # an n-gram is hot if its bucket has over one in so many of all n-grams
+SALTS = 64               # a hot n-gram's list is looked through in so many parts
 
 
 def _sets(batch: pa.RecordBatch, text_at: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -138,11 +140,12 @@ def _frequencies(survey: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, class, size, position) of the n-grams in each text's prefix."""
+    """(token, class, size, position, salt) of the n-grams in each text's prefix; the salt is 0 if it is not hot."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def scan(batches):
         rarity, seen = shared.value, set()
+        hot = rarity * HOT_SHARE > rarity.sum()
         for batch in batches:
             parts: list[tuple] = []
             size = 0
@@ -153,7 +156,8 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Data
                 seen.add(key)
                 length = len(grams) - -(-percent * len(grams) // 100) + 1
                 order = np.lexsort((grams, rarity[_bucket(grams)]))[:length]
-                parts.append((grams[order], key, len(grams)))
+                salt = np.where(hot[_bucket(grams[order])], 1 + key[1] % SALTS, 0).astype(np.int32)
+                parts.append((grams[order], key, len(grams), salt))
                 size += length
                 if size > 200_000:
                     yield _prefix_batch(parts)
@@ -161,7 +165,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Data
             if parts:
                 yield _prefix_batch(parts)
 
-    return docs.mapInArrow(scan, "token long, hi long, lo long, size int, pos int")
+    return docs.mapInArrow(scan, "token long, hi long, lo long, size int, pos int, salt int")
 
 
 def _prefix_batch(parts: list[tuple]) -> pa.RecordBatch:
@@ -171,8 +175,9 @@ def _prefix_batch(parts: list[tuple]) -> pa.RecordBatch:
          pa.array(np.repeat([p[1][0] for p in parts], lengths)),
          pa.array(np.repeat([p[1][1] for p in parts], lengths)),
          pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
-         pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]))],
-        names=["token", "hi", "lo", "size", "pos"])
+         pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])),
+         pa.array(np.concatenate([p[3] for p in parts]))],
+        names=["token", "hi", "lo", "size", "pos", "salt"])
 
 
 def _may_link(percent: int, size_a, pos_a, size_b, pos_b) -> Column:
@@ -215,13 +220,16 @@ def _may_overlap(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
 
 
 def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
-    """N-gram sets of the classes in ``wanted`` (cid, hi, lo).
+    """N-gram sets of the classes in ``wanted`` (cid, hi, lo, first_id).
 
-    A fixed-size bit table of their digests goes to the scan, so that few other
-    sets are shuffled; the join leaves exactly the wanted ones.
+    A fixed-size bit table of their first documents goes to the scan, so that few
+    other texts are cut into n-grams and a class comes from one of its copies,
+    however many it has; the join leaves exactly the wanted classes.
     """
     width = 1 << 12  # bytes a slice
-    bit = F.shiftrightunsigned("hi", 64 - CANDIDATE_BITS).cast("int")
+
+    def bit(doc_id: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(doc_id), 64 - CANDIDATE_BITS).cast("int")
 
     def bits(batches):
         slices: dict[int, np.ndarray] = {}
@@ -237,7 +245,7 @@ def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
                 names=["slice", "bits"])
 
     table = np.zeros(((1 << CANDIDATE_BITS) // 8 // width, width), np.uint8)
-    marked = wanted.select(bit.alias("bit")).distinct().repartition((F.col("bit") / (width * 8)).cast("int"))
+    marked = wanted.select(bit("first_id").alias("bit")).distinct().repartition((F.col("bit") / (width * 8)).cast("int"))
     for row in marked.mapInArrow(bits, "slice int, bits binary").collect():
         table[row["slice"]] |= np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
@@ -245,12 +253,13 @@ def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
     def scan(batches):
         marks, seen = shared.value, set()
         for batch in batches:
+            at = batch.column(0).to_numpy()
+            batch = batch.filter(pa.array((marks[at >> 3] >> (at & 7) & 1).astype(bool)))
             out: list[tuple] = []
             size = 0
-            for _, grams in _sets(batch, 1, n):
+            for _, grams in _sets(batch, 1, n) if batch.num_rows else ():
                 key = _digest(grams)
-                at = (key[0] & (1 << 64) - 1) >> (64 - CANDIDATE_BITS)
-                if not marks[at >> 3] >> (at & 7) & 1 or not len(grams) or key in seen:
+                if not len(grams) or key in seen:
                     continue
                 seen.add(key)
                 out.append((*key, grams.tobytes()))
@@ -261,10 +270,11 @@ def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
             if out:
                 yield _set_batch(out)
 
-    sets = docs.mapInArrow(scan, "hi long, lo long, grams binary")
-    one = Window.partitionBy("hi", "lo").orderBy("lo")  # copies of a text are met by several tasks
+    sets = docs.select(bit("doc_id").alias("at"), "text").mapInArrow(scan, "hi long, lo long, grams binary")
+    # A repeated id can bring a class more than once.
     return (sets.join(wanted.select("cid", "hi", "lo"), ["hi", "lo"])
-            .withColumn("k", F.row_number().over(one)).filter("k = 1").select("cid", "grams"))
+            .groupBy("hi", "lo").agg(F.first("cid").alias("cid"), F.first("grams").alias("grams"))
+            .select("cid", "grams"))
 
 
 def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -314,24 +324,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
     prefixes = _prefixes(docs, n, percent, _frequencies(survey))
-    same_token = Window.partitionBy("token")
+    # N-grams that one class alone holds go; hot ones stay unasked, and their rows are spread by the salt.
+    same_token = Window.partitionBy("token", "salt")
     met = (prefixes.withColumn("x", F.min("lo").over(same_token)).withColumn("y", F.max("lo").over(same_token))
-           .filter("x <> y").drop("x", "y"))
+           .filter("x <> y or salt > 0").drop("x", "y"))
     postings = stage(met.join(classes.select("hi", "lo", "cid"), ["hi", "lo"])
                      .select("token", "cid", "size", "pos").distinct(), "jaccard-postings")
 
-    first = F.first(F.struct("cid", "size", "pos")).over(same_token.orderBy("pos", "size", "cid"))
-    star = (postings.withColumn("p", first).filter("cid <> p.cid")
+    # Aggregates and joins here, no windows: a hot n-gram's rows are combined where they lie, its list can be split.
+    first = postings.groupBy("token").agg(F.min(F.struct("pos", "size", "cid")).alias("p"))
+    star = (postings.join(first, "token").filter("cid <> p.cid")
             .filter(_may_link(percent, F.col("size"), F.col("pos"), F.col("p.size"), F.col("p.pos")))
             .select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct())
     star = stage(star, "jaccard-star")
     links = stage(_verified(docs, n, percent, star, classes), "jaccard-links")
 
     roots = connected_components(links)
-    labelled = (postings.join(roots, postings["cid"] == roots["node"], "left")
-                .select("token", "cid", "size", "pos", F.coalesce("root", "cid").alias("root")))
-    apart = stage(labelled.withColumn("x", F.min("root").over(same_token))
-                  .withColumn("y", F.max("root").over(same_token)).filter("x <> y").drop("x", "y"), "jaccard-apart")
+    labelled = stage(postings.join(roots, postings["cid"] == roots["node"], "left")
+                     .select("token", "cid", "size", "pos", F.coalesce("root", "cid").alias("root")),
+                     "jaccard-labelled")
+    mixed = (labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+             .filter("x <> y").select("token"))
+    apart = stage(labelled.join(mixed, "token", "left_semi"), "jaccard-apart")
     l, r = apart.alias("l"), apart.alias("r")
     further = (l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.root") < F.col("r.root"))
                       & _may_link(percent, F.col("l.size"), F.col("l.pos"), F.col("r.size"), F.col("r.pos")))
