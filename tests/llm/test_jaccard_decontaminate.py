@@ -57,6 +57,17 @@ def test_components_against_all_pairs(spark, n, percent):
     assert sorted(map(tuple, got), key=str) == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize("share", [0, 10 ** 9])
+def test_components_do_not_depend_on_what_is_hot(spark, monkeypatch, share):
+    """No n-gram is hot at share 0, every one at a high share; copies are met by several tasks."""
+    monkeypatch.setattr(jaccard_join, "HOT_SHARE", share)
+    rng = random.Random(9)
+    rows = near_copies(rng) + [(None, "the same words for many rows " * 3)] * 20
+    rows += [(7000 + k, "the same words for many rows " * 3) for k in range(20)]
+    got = jaccard_join.jaccard_components(documents(spark, rows).repartition(3), n=4, percent=85).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows, 4, 85)
+
+
 def test_one_of_each_group_stays(spark):
     rng = random.Random(3)
     rows = awkward(rng)[:6] + near_copies(rng)
