@@ -161,10 +161,12 @@ def rename_select_cast(spark, sf):
     df = C.rename(orders, {"o_orderkey": "order_id", "o_totalprice": "total",
                            "not_there": "ignored"})
     df = C.with_period(df, dates.period_key("o_orderdate"))
+    df = C.with_period(df, PERIOD.key, "run_period")
     df = C.drop_columns(df, "o_orderstatus")
-    return C.cast_columns(df, [("order_id", "int", None), ("total", None, None),
-                               ("total", "int", "total_int"), ("total", "long", "total_long"),
-                               ("i94dt", None, None)])
+    df = C.with_long_copy(df, "total", "total_long")
+    df = C.cast_columns(df, [("order_id", "int", None), ("total", None, None), ("total", "int", "total_int"),
+                             ("total_long", None, None), ("i94dt", None, None), ("run_period", None, None)])
+    return C.select_columns(df, ["order_id", "total", "total_int", "total_long", "i94dt", "run_period"])
 
 
 # --------------------------------------------------------------- D: filters
@@ -367,6 +369,12 @@ def city(spark, sf):
     return _dims(spark, sf)[1]
 
 
+def city_distinct(spark, sf):
+    """G8 with one row per city and state."""
+    (supplier,) = sm.tables(spark, sf, "supplier")
+    return dims.build_city(sm.demographic_rows(supplier), _codes(spark, sf)["us_state"], distinct=True)
+
+
 def conform(spark, sf):
     return _conformed(spark, sf)
 
@@ -544,7 +552,8 @@ QUERIES = {
     "coord_first": coord_first, "coord_second": coord_second, "region_state": region_state,
     # G jobs
     "us_state": us_state, "country": country, "us_ports": us_ports, "mode": mode, "visa": visa,
-    "weather_month": weather_month, "airports": airports, "city": city, "conform": conform,
+    "weather_month": weather_month, "airports": airports, "city": city,
+    "city_distinct": city_distinct, "conform": conform,
     "immigrant": immigrant, "immigration": immigration, "arrivals_by_city": arrivals_by_city,
     "arrivals_by_city_joined": arrivals_by_city_joined,
     "arrivals_by_city_one_pass": arrivals_by_city_one_pass, "mart_duplicate_ids": mart_duplicate_ids,

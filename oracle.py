@@ -321,7 +321,7 @@ ORACLES = {
     "rename_select_cast": """SELECT CAST(o_orderkey AS INTEGER) AS order_id, o_totalprice AS total,
        CAST(trunc(o_totalprice) AS INTEGER) AS total_int,
        CAST(trunc(o_totalprice) AS BIGINT) AS total_long,
-       strftime(o_orderdate, '%Y%m') AS i94dt FROM orders""",
+       strftime(o_orderdate, '%Y%m') AS i94dt, '199701' AS run_period FROM orders""",
     # D
     "conjunctive_filter": w(AIRPORT_ROWS, """SELECT ident, type, iata_code FROM airport_rows
 WHERE iso_country = 'US' AND type <> 'closed' AND iata_code <> 'null'"""),
@@ -394,6 +394,8 @@ SELECT c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment
     "weather_month": w(WEATHER, "SELECT * FROM weather"),
     "airports": w(DIMS, "SELECT * FROM airports"),
     "city": w(DIMS, "SELECT * FROM city"),
+    "city_distinct": w(DIMS, """SELECT * FROM city QUALIFY row_number() OVER (
+  PARTITION BY state_code, city ORDER BY median_age NULLS FIRST, population NULLS FIRST, state_name NULLS FIRST) = 1"""),
     "conform": w(CONFORMED, "SELECT * FROM conformed"),
     "immigrant": w(FACTS, "SELECT * FROM immigrant"),
     "immigration": w(FACTS, "SELECT * FROM immigration"),

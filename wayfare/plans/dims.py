@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import iso_day, iso_month, iso_year
 from ..functions.geo import coord_first, coord_second
 from ..functions.text import capitalise, lower_trimmed, lower_untabbed
-from ..operators.columns import rename
 from ..operators.filters import equals_filter, open_us_airports
 from ..operators.joins import using_join
+from ..schemas import AIRPORTS, CITY, US_PORTS
 
 
 def build_weather(raw: DataFrame, country: str = "United States") -> DataFrame:
@@ -26,10 +26,6 @@ def build_weather(raw: DataFrame, country: str = "United States") -> DataFrame:
         "Latitude", "Longitude")
 
 
-AIRPORT_KEEP = ["ident", "type", "name", "gps_code", "airport_code", "local_code",
-                "latitude", "longitude"]
-
-
 def build_airports(raw: DataFrame, us_ports: DataFrame, coord_order: str = "lat_lon") -> DataFrame:
     """Open US airports with an IATA code that is a known port of entry.
 
@@ -42,12 +38,11 @@ def build_airports(raw: DataFrame, us_ports: DataFrame, coord_order: str = "lat_
         raise ValueError(f"unknown coord_order {coord_order!r}")
     first, second = coord_first("coordinates"), coord_second("coordinates")
     lat, lon = (first, second) if coord_order == "lat_lon" else (second, first)
-    a = open_us_airports(raw)
-    a = a.withColumns({"latitude": lat, "longitude": lon})
-    a = rename(a, {"iata_code": "airport_code"}).select(*AIRPORT_KEEP)
-    ports = rename(us_ports, {"port_code": "airport_code"})
-    joined = using_join(a, ports, "airport_code")
-    return joined.withColumn("city", lower_untabbed("city"))
+    derived = {"airport_code": F.col("iata_code"), "latitude": lat, "longitude": lon}
+    from_file = [derived.get(c, F.col(c)).alias(c) for c in AIRPORTS.names if c not in US_PORTS.names]
+    ports = us_ports.select(F.col("port_code").alias("airport_code"), "state_code",
+                            lower_untabbed("city").alias("city"), "state_name")
+    return using_join(open_us_airports(raw).select(*from_file), ports, "airport_code").select(*AIRPORTS.names)
 
 
 def build_city(raw: DataFrame, us_state: DataFrame, distinct: bool = False) -> DataFrame:
@@ -57,11 +52,10 @@ def build_city(raw: DataFrame, us_state: DataFrame, distinct: bool = False) -> D
     race, and the mart multiplies accordingly; ``distinct=True`` keeps the one
     with the smallest median age, then population (as text).
     """
-    d = rename(raw, {"State Code": "state_code", "Median Age": "median_age",
-                     "City": "city", "Total Population": "population"})
-    d = d.select("city", "state_code", "median_age", "population")
-    d = using_join(d, us_state, "state_code")
-    d = d.withColumn("city", lower_trimmed("city"))
+    # Header names of the public file.
+    headers = {"state_code": "State Code", "city": "City", "median_age": "Median Age", "population": "Total Population"}
+    d = raw.select(*[F.col(header).alias(name) for name, header in headers.items()])
+    d = using_join(d.withColumn("city", lower_trimmed("city")), us_state, "state_code").select(*CITY.names)
     if distinct:
         smallest = F.min(F.struct("median_age", "population", "state_name")).alias("kept")
         d = d.groupBy("state_code", "city").agg(smallest).select(

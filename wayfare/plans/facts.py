@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import day_number_to_iso
 from ..operators.columns import cast_columns, rename
 from ..operators.filters import label_filter
 from ..operators.joins import coerced_lookup, named_lookup, role_lookup
+from ..schemas import IMMIGRANT, IMMIGRATION
 
 ARRIVAL_RENAMES = {"i94yr": "year", "i94mon": "month", "i94port": "port_of_entry",
                    "arrdate": "arrival_date", "depdate": "departure_date", "i94bir": "age"}
@@ -44,27 +46,20 @@ def conform_arrivals(arrivals: DataFrame, modes: DataFrame, visas: DataFrame,
     return df.withColumn("i94dt", F.lit(period) if period else record_period())
 
 
-IMMIGRANT_SPEC = [("cicid", "int", None), ("age", "int", None), ("occup", None, None),
-                  ("biryear", "int", "birth_year"), ("birth_country", None, None),
-                  ("residence_country", None, None), ("gender", None, None),
-                  ("visapost", None, None), ("visa", None, None), ("visatype", None, None),
-                  ("i94dt", None, None)]
+# Stored columns that are read from a source column of another name.
+READ_FROM = {"birth_year": "biryear", "admnuml": "admnum"}
 
-IMMIGRATION_SPEC = [("cicid", "int", None), ("year", "int", None), ("month", "int", None),
-                    ("port_of_entry", None, None), ("arrival_date", None, None),
-                    ("departure_date", None, None), ("dtadfile", None, None),
-                    ("entdepa", None, None), ("entdepd", None, None), ("entdepu", None, None),
-                    ("matflag", None, None), ("dtaddto", None, None), ("insnum", None, None),
-                    ("airline", None, None), ("admnum", None, None),
-                    ("admnum", "long", "admnuml"), ("fltno", None, None),
-                    ("state_code", None, None), ("state_name", None, None), ("i94dt", None, None)]
+
+def _stored_columns(schema: StructType) -> list[tuple[str, str, str]]:
+    """(source, type, name) of a stored table's columns."""
+    return [(READ_FROM.get(f.name, f.name), f.dataType.simpleString(), f.name) for f in schema]
 
 
 def build_immigrant(conformed: DataFrame) -> DataFrame:
     """Traveller attributes; stored by i94dt, clustered by visa."""
-    return cast_columns(conformed, IMMIGRANT_SPEC)
+    return cast_columns(conformed, _stored_columns(IMMIGRANT))
 
 
 def build_immigration(conformed: DataFrame) -> DataFrame:
     """Arrival events; stored by i94dt, clustered by state_code."""
-    return cast_columns(conformed, IMMIGRATION_SPEC)
+    return cast_columns(conformed, _stored_columns(IMMIGRATION))

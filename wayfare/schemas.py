@@ -59,6 +59,7 @@ IMMIGRATION_DEMOGRAPHICS = _struct([
     ("airport_code", S), ("name", S), ("city", S), ("state_code", S), ("state_name", S),
     ("population", S), ("median_age", S), ("i94dt", S)])
 
+# Column names, order and types of each stored table and source above.
 # Stored layout of each processed table (partition column last).
 STORED = {
     "us_state": US_STATE, "country": COUNTRY, "us_ports": US_PORTS, "i94mode": I94MODE,
