@@ -42,6 +42,12 @@ def test_repeated_rows_and_empty_logs(spark):
     assert chat.read_back(chat.format_chats(empty)).count() == 0
 
 
+def test_tied_turns_are_ordered_by_role_and_text(spark):
+    rows = [(1, 1, "a", "create", "user", "y"), (1, 1, "b", "create", "user", "x"), (1, 1, "c", "create", "assistant", "z"),
+            (1, 1, "d", "create", "user", "x")]
+    assert turns(spark, rows) == [(1, 0, "assistant", "z"), (1, 1, "user", "x"), (1, 2, "user", "x"), (1, 3, "user", "y")]
+
+
 def test_read_back_digests(spark):
     rows = [(k, s, f"{k}-{s}", "create", "assistant" if s % 2 else "user", f"<|im_end|> {k} {s} é" * (s + 1))
             for k in range(20) for s in range(5)]

@@ -55,8 +55,8 @@ def final_events(events: DataFrame) -> DataFrame:
 
     ``events``: conv_id, seq, message_id, op, role, text (op one of create,
     delta, edit, regenerate; anything else, and null, counts as create).  Null seq
-    sorts last; events with one seq are taken in the order of op, role and text,
-    so repeated rows are applied one after the other.  A message begins with its
+    sorts last; events with one seq are taken in the order of op, role, text and
+    message_id, so repeated rows are applied one after the other.  A message begins with its
     first event whatever its op.  What precedes a message's last create, edit or
     regenerate does not count; a regenerate drops the messages that began between
     its message and itself.  Null text is empty.
@@ -66,7 +66,7 @@ def final_events(events: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.when(F.col("op").isin(*OPERATIONS), F.col("op")).otherwise("create").alias("op"),
         F.col("seq").cast("long").alias("seq"))
-    in_order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_last("seq"), "message_id", "op", "role", "text")
+    in_order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_last("seq"), "op", "role", "text", "message_id")
     log = log.withColumn("at", F.row_number().over(in_order).cast("long"))
     message = Window.partitionBy("conv_id", "message_id")
     log = (log.withColumn("began", F.min("at").over(message))
