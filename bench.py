@@ -23,8 +23,8 @@ import catalog  # noqa: E402
 from wayfare.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "arrivals_by_city",          # flagship G12, single pass
-    "arrivals_by_city_joined",   # G12 via the fact tables joined on (cicid, i94dt)
+    "arrivals_by_city",          # flagship G12, facts joined on (cicid, i94dt)
+    "arrivals_by_city_joined",   # G12 from the facts as a run stores them
     "conform",                   # G9
     "immigrant", "immigration",  # G10, G11
     "weather_month", "airports", "city", "us_ports",
