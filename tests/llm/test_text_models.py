@@ -72,6 +72,74 @@ def test_probabilities_sum_to_one(model):
         assert (sums <= 1 + 1e-3).all() and (sums > 0.8).all()
 
 
+def plain_kneser_ney(texts, n_symbols):
+    """Probability of gram[-1] after gram[:-1], counted from whole texts with dictionaries."""
+    counts = [{}]
+    for text in texts:
+        padded = "\x01" * (language_id.ORDER - 1) + text
+        for k in range(len(text)):
+            gram = padded[k:k + language_id.ORDER]
+            counts[0][gram] = counts[0].get(gram, 0) + 1
+    while len(counts) < language_id.ORDER:
+        lower = {}
+        for gram in counts[0]:
+            lower[gram[1:]] = lower.get(gram[1:], 0) + 1
+        counts.insert(0, lower)
+    discounts, totals, kinds = [], [], []
+    for own in counts:
+        ones, twos = (sum(n == x for n in own.values()) for x in (1, 2))
+        discounts.append(min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5)))
+        totals.append({})
+        kinds.append({})
+        for gram, n in own.items():
+            totals[-1][gram[:-1]] = totals[-1].get(gram[:-1], 0) + n
+            kinds[-1][gram[:-1]] = kinds[-1].get(gram[:-1], 0) + 1
+
+    def p(gram):
+        if not gram:
+            return 1 / (n_symbols + 1)
+        order, context = len(gram) - 1, gram[:-1]
+        if context not in totals[order]:
+            return p(gram[1:])
+        total = totals[order][context]
+        share = max(counts[order].get(gram, 0) - discounts[order], 0) / total
+        return share + min(discounts[order] * kinds[order][context], total) / total * p(gram[1:])
+
+    return p, counts
+
+
+@pytest.mark.parametrize("piece", [1000, 1 << 20])
+def test_a_large_alphabet_is_learned_whole(spark, monkeypatch, piece):
+    """Over 200,000 n-grams, most of them met once, beside a small language: no count is lost."""
+    monkeypatch.setattr(language_id, "PIECE_ENTRIES", piece)
+    rng = random.Random(5)
+    large = ["".join(chr(0x4E00 + int(rng.random() ** 2 * 3000)) for _ in range(2000)) for _ in range(105)]
+    large += large[:2]
+    small = [speak(rng, "aa", 30) for _ in range(20)]
+    docs = documents(spark, [(k, t, "zz") for k, t in enumerate(large)] + [(k, t, "aa") for k, t in enumerate(small)])
+    model = language_id.train_language_model(docs)
+    assert model.languages == ["aa", "zz"]
+    n_symbols = len(set("".join(large + small)))
+    for k, (lang, texts) in enumerate((("aa", small), ("zz", large))):
+        p, counts = plain_kneser_ney(texts, n_symbols)
+        assert lang == "aa" or len(counts[3]) > 200_000
+        for order in range(1, 5):
+            assert sum(x.size for x in model.pieces[lang, order, False]) == len(counts[order - 1])
+        seen = rng.sample(sorted(counts[3]), 300)
+        grams = seen + ["".join(rng.choice(large[0] + "kato ") for _ in range(4)) for _ in range(300)]
+        keys = np.array([sum(ord(c) << 16 * j for j, c in enumerate(reversed(g))) for g in grams], np.uint64)
+        got = model._scores(keys, language_id.ORDER)[:, k]
+        assert np.allclose(got, [np.log(p(g)) for g in grams], atol=1e-4)
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k, f"{chr(0x4E00 + 3 * k)}{chr(0x4E01 + 3 * k)}{chr(0x4E02 + 3 * k)} " * 10, f"l{k:03}") for k in range(230)]
+    model = language_id.train_language_model(documents(spark, rows))
+    assert model.languages == [r[2] for r in rows]
+    found = language_id.predict_language(documents(spark, rows), model).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in found)
+
+
 def test_hash_array_finds_all_and_only_its_keys():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 2 ** 63, 5000).astype(np.uint64))

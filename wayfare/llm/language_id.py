@@ -1,32 +1,37 @@
 """Language identification by character language models.
 
 One interpolated Kneser-Ney model per language, over runs of letters with single
-spaces between them.  All models share one sorted array of n-gram hashes per
-order, with a column of log-probabilities for each language, so a character
-costs one look-up.  The language with the lowest cross-entropy per character
-wins; texts whose cross-entropy is far above what that language's own texts of
-such a length have are rejected.
+spaces between them, estimated in Spark from all n-grams of all training texts:
+nothing is pruned, and there may be any number of languages.  Each language has
+its own sorted arrays of n-grams and contexts, written in pieces to the shared
+scratch folder and searched there, a language at a time; the distinct n-grams of
+a slice of text are looked up once.  The language with the lowest cross-entropy
+per character wins; texts whose cross-entropy is far above what that language's
+own texts of such a length have are rejected.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.session import scratch_path
+
 from . import wordscan as ws
 from .staging import stage
 
 ORDER = 4                   # symbols of an n-gram; 16 bits each
-MAX_NGRAMS = 200_000        # n-grams kept for a language, the most frequent ones
-MAX_LANGUAGES = 200         # languages learned, those with the most n-grams
+PIECE_ENTRIES = 1 << 20     # entries of a piece of a language's arrays
 CALIBRATION_ROWS = 20_000   # about so many training texts set the rejection thresholds
 SLICE_BYTES = 1 << 20       # text that a task turns into arrays at a time
 REJECT_DEVIATIONS = 10.0     # standard deviations above the mean cross-entropy
@@ -112,38 +117,99 @@ class HashArray:
         return found
 
 
+def _below(order: int) -> int:
+    """Mask of the last ``order`` symbols."""
+    return (1 << 16 * order) - 1
+
+
+@dataclass(frozen=True)
+class Piece:
+    """A run of sorted keys (int64) and, after them, their values (float32) in a file of the shared folder."""
+    first: int
+    size: int
+    path: str
+    offset: int
+
+
+@cache
+def _opened(path: str):
+    system, name = fs.FileSystem.from_uri(path)
+    if isinstance(system, fs.LocalFileSystem):
+        system = fs.LocalFileSystem(use_mmap=True)
+    return system.open_input_file(name)
+
+
+@lru_cache(maxsize=16)
+def _loaded(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values; mapped, not copied, where the shared folder is mounted."""
+    file = _opened(piece.path)
+    file.seek(piece.offset)
+    data = file.read_buffer(12 * piece.size)
+    return np.frombuffer(data, np.int64, piece.size), np.frombuffer(data, np.float32, piece.size, 8 * piece.size)
+
+
+def _ladder(keys: np.ndarray, order: int) -> tuple[np.ndarray, list[tuple]]:
+    """Each key's place among the distinct ones, and by order, from 1: the distinct keys, the distinct contexts,
+    each key's context, each key's place in the order below."""
+    distinct, place = np.unique((keys & np.uint64(_below(order))).view(np.int64), return_inverse=True)
+    steps = []
+    for k in range(order, 0, -1):
+        own = distinct.view(np.uint64)
+        contexts, context_at = np.unique((own >> _SYMBOL).view(np.int64), return_inverse=True)
+        lower, lower_at = np.unique((own & np.uint64(_below(k - 1))).view(np.int64), return_inverse=True)
+        steps.append((distinct, contexts, context_at, lower_at))
+        distinct = lower
+    return place, steps[::-1]
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
-    unknown: float                                   # log-probability of an unseen symbol in no context
-    grams: list[HashArray] = field(default_factory=list)      # by order - 1
-    backoffs: list[HashArray] = field(default_factory=list)   # log weight of contexts, by order - 1
+    grams: list[HashArray]                           # the symbols of all languages
+    pieces: dict = field(default_factory=dict)       # (language, order, of contexts) -> pieces by key
     limits: dict = field(default_factory=dict)       # (language, length class) -> highest cross-entropy
 
+    @property
+    def unknown(self) -> float:
+        """Log-probability of an unseen symbol in no context."""
+        return -math.log(len(self.grams[0].hashes) + 1)
+
+    def _find(self, lang: str, order: int, contexts: bool, keys: np.ndarray) -> np.ndarray:
+        """Value of each of the sorted keys, nan if it is not there."""
+        values = np.full(len(keys), np.nan, np.float32)
+        pieces = self.pieces.get((lang, order, contexts), [])
+        cuts = [*np.searchsorted(keys, [p.first for p in pieces]), len(keys)]
+        for piece, start, end in zip(pieces, cuts, cuts[1:], strict=False):
+            if start < end:
+                known, logs = _loaded(piece)
+                at = np.minimum(np.searchsorted(known, keys[start:end]), len(known) - 1)
+                values[start:end] = np.where(known[at] == keys[start:end], logs[at], np.float32(np.nan))
+        return values
+
+    def _of_distinct(self, lang: str, steps: list[tuple]) -> np.ndarray:
+        """Log-probability of the last symbol of each distinct key of the highest order."""
+        scores = np.full(1, self.unknown, np.float32)
+        for order, (distinct, contexts, context_at, lower_at) in enumerate(steps, 1):
+            seen = self._find(lang, order, False, distinct)
+            weights = np.nan_to_num(self._find(lang, order, True, contexts), nan=0.0)
+            scores = np.where(np.isnan(seen), weights[context_at] + scores[lower_at], seen)
+        return scores
+
     def _scores(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Log-probability of each key's last symbol, by language."""
-        if not order:
-            return np.full((len(keys), len(self.languages)), self.unknown, np.float32)
-        own = keys & np.uint64((1 << 16 * order) - 1)
-        found = self.grams[order - 1].find(own)
-        scores = self.grams[order - 1].rows[found] if len(self.grams[order - 1].rows) else np.zeros(
-            (len(keys), len(self.languages)), np.float32)
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            context = self.backoffs[order - 1].find(own[missing] >> _SYMBOL)
-            weights = np.zeros((len(missing), len(self.languages)), np.float32)
-            there = context >= 0
-            weights[there] = self.backoffs[order - 1].rows[context[there]]
-            scores[missing] = weights + self._scores(keys[missing], order - 1)
-        return scores
+        place, steps = _ladder(keys, order)
+        return np.stack([self._of_distinct(lang, steps)[place] for lang in self.languages], axis=1)
 
-    def entropies(self, keys: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def entropies(self, keys: np.ndarray, first: np.ndarray, languages: list[str] | None = None) -> np.ndarray:
         """Cross-entropy per symbol (nats) of each row under each language; nan without symbols."""
-        out = np.full((len(first) - 1, len(self.languages)), np.nan)
+        languages = self.languages if languages is None else languages
+        out = np.full((len(first) - 1, len(languages)), np.nan)
         filled = np.flatnonzero(np.diff(first))
         if len(filled):
-            sums = np.add.reduceat(self._scores(keys, ORDER), first[filled], axis=0, dtype=np.float64)
-            out[filled] = -sums / np.diff(first)[filled, None]
+            place, steps = _ladder(keys, ORDER)
+            for k, lang in enumerate(languages):
+                sums = np.add.reduceat(self._of_distinct(lang, steps)[place], first[filled], dtype=np.float64)
+                out[filled, k] = -sums / np.diff(first)[filled]
         return out
 
 
@@ -196,47 +262,95 @@ def _gram_batches(held: dict):
                                               pa.array(counts[k:k + 100_000])], names=["lang", "gram", "n"])
 
 
-def _kneser_ney(keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
-    """By order, from 1: (grams, share after discount, contexts, weight of the lower order)."""
-    levels = []
-    for order in range(ORDER, 0, -1):
-        ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
-        discount = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
-        contexts, of, kinds = np.unique(keys >> _SYMBOL, return_inverse=True, return_counts=True)
-        totals = np.bincount(of, weights=counts, minlength=len(contexts))
-        levels.append((keys, np.maximum(counts - discount, 0) / totals[of], contexts,
-                       np.minimum(discount * kinds, totals) / totals))
-        # Lower orders count in how many different contexts a gram occurs.
-        keys, counts = np.unique(keys & np.uint64((1 << 16 * (order - 1)) - 1), return_counts=True)
-    return levels[::-1]
+def _kneser_ney(counted: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Interpolated Kneser-Ney over all n-grams: (lang, level, key, value), and the symbols of all languages.
 
-
-def build_model(grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModel:
-    """Models of all languages from their n-gram counts (sorted keys, counts)."""
-    languages = sorted(grams)
-    levels = {lang: _kneser_ney(*grams[lang]) for lang in languages}
-    symbols = np.unique(np.concatenate([levels[lang][0][0] for lang in languages])) if languages else []
-    model = LanguageModel(languages, -math.log(len(symbols) + 1))
-    below, lower = np.empty(0, np.uint64), np.empty((0, len(languages)))
+    Level 2 * order has log-probabilities of n-grams, 2 * order + 1 log weights of contexts.
+    """
+    counts = {ORDER: counted}
+    for order in range(ORDER - 1, 0, -1):
+        # Lower orders count in how many different contexts a gram occurs.
+        counts[order] = stage(counts[order + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit(_below(order))).alias(
+            "gram")).agg(F.count("*").alias("n")), "char-ngrams")
+    symbols = np.array([r[0] for r in counts[1].select("gram").distinct().collect()], np.int64)  # at most 2 ** 16
+    levels, lower = [], None
     for order in range(1, ORDER + 1):
-        keys = np.unique(np.concatenate([levels[lang][order - 1][0] for lang in languages])) if languages else below
-        logs = np.empty((len(keys), len(languages)))
-        all_contexts = (np.unique(np.concatenate([levels[lang][order - 1][2] for lang in languages]))
-                        if languages else below)
-        weights = np.zeros((len(all_contexts), len(languages)))
-        suffix = keys & np.uint64((1 << 16 * (order - 1)) - 1)
-        for k, lang in enumerate(languages):
-            own, share, contexts, weight = levels[lang][order - 1]
-            lower_log = lower[np.searchsorted(below, suffix), k] if order > 1 else np.full(len(keys), model.unknown)
-            weights[np.searchsorted(all_contexts, contexts), k] = np.log(weight)
-            at = np.searchsorted(all_contexts, keys >> _SYMBOL)
-            p = np.exp(weights[at, k] + lower_log)
-            p[np.searchsorted(keys, own)] += share
-            logs[:, k] = np.log(p)
-        model.grams.append(HashArray(keys, logs))
-        model.backoffs.append(HashArray(all_contexts, weights))
-        below, lower = keys, logs
-    return model
+        ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discounts = counts[order].groupBy("lang").agg(F.least(F.lit(0.95), F.greatest(F.lit(0.1), F.when(
+            ones > 0, ones / (ones + 2 * twos)).otherwise(0.5))).alias("discount"))
+        # A context has at most 2 ** 16 n-grams.
+        same = Window.partitionBy("lang", "context")
+        own = (counts[order].withColumn("context", F.shiftrightunsigned("gram", 16))
+               .withColumn("total", F.sum("n").over(same)).withColumn("kinds", F.count("*").over(same))
+               .join(F.broadcast(discounts), "lang")
+               .withColumn("weight", F.least(F.col("discount") * F.col("kinds"), "total") / F.col("total"))
+               .withColumn("suffix", F.col("gram").bitwiseAND(F.lit(_below(order - 1)))))
+        own = (own.withColumn("below", F.lit(1.0 / (len(symbols) + 1))) if lower is None
+               else own.join(lower, ["lang", "suffix"]))
+        p = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("below")
+        own = stage(own.select("lang", "context", "gram", "weight", p.alias("p")), "char-probabilities")
+        lower = own.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below"))
+        levels.append(own.select("lang", F.lit(2 * order).alias("level"), F.col("gram").alias("key"),
+                                 F.log("p").cast("float").alias("value")))
+        levels.append(own.groupBy("lang", "context").agg(F.first("weight").alias("weight")).select(
+            "lang", F.lit(2 * order + 1).alias("level"), F.col("context").alias("key"),
+            F.log("weight").cast("float").alias("value")))
+    table = levels[0]
+    for level in levels[1:]:
+        table = table.unionByName(level)
+    return table, symbols
+
+
+def _write_pieces(table: DataFrame) -> dict:
+    """Write sorted arrays to the shared folder, PIECE_ENTRIES of them at a time; returns LanguageModel.pieces."""
+    folder = scratch_path(table.sparkSession, "language-model")
+
+    def write(batches):
+        system, name = fs.FileSystem.from_uri(folder)
+        system.create_dir(name, recursive=True)
+        own = uuid.uuid4().hex  # a task that runs again writes another file
+        held: list[tuple] = []
+        of, size, offset, file = None, 0, 0, None
+
+        def flush():
+            nonlocal file, offset, size
+            if file is None:
+                file = system.open_output_stream(f"{name}/{own}")
+            keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+            written = keys.tobytes() + values.astype(np.float32).tobytes()
+            written += bytes(-len(written) % 8)
+            file.write(written)
+            piece = [pa.array([x]) for x in (of[0], of[1], int(keys[0]), len(keys), f"{folder}/{own}", offset)]
+            offset += len(written)
+            held.clear()
+            size = 0
+            return pa.RecordBatch.from_arrays(piece, names=["lang", "level", "first", "size", "path", "offset"])
+
+        for batch in batches:
+            langs, levels = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+            codes = langs.indices.to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (levels[1:] != levels[:-1])]))
+            keys, values = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                if start == end:
+                    continue
+                now = langs.dictionary[codes[start]].as_py(), int(levels[start])
+                if held and (now != of or size >= PIECE_ENTRIES):
+                    yield flush()
+                of = now
+                held.append((keys[start:end].copy(), values[start:end].copy()))
+                size += end - start
+        if held:
+            yield flush()
+        if file is not None:
+            file.close()
+
+    placed = table.repartitionByRange("lang", "level", "key").sortWithinPartitions("lang", "level", "key")
+    pieces: dict[tuple, list] = defaultdict(list)
+    for r in placed.mapInArrow(write, "lang string, level long, first long, size long, path string, offset long").collect():
+        pieces[r["lang"], r["level"] // 2, bool(r["level"] % 2)].append(
+            Piece(r["first"], r["size"], r["path"], r["offset"]))
+    return {k: sorted(v, key=lambda p: p.first) for k, v in pieces.items()}
 
 
 def held_out(id_col: Column) -> Column:
@@ -245,39 +359,21 @@ def held_out(id_col: Column) -> Column:
 
 
 def train_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                         max_ngrams: int = MAX_NGRAMS, calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
+                         calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
     """Learn from all rows with a text and a language.
 
-    N-grams are counted over all texts.  The model keeps, for each language, the
-    n-grams above the smallest count that leaves at most ``max_ngrams``, so it can
-    be broadcast whatever the corpus.  Without any labelled text it has no
-    languages, and everything is undetermined.
+    N-grams of all texts and all languages are counted and kept.  The model holds
+    where its arrays lie in the shared folder, a few numbers for each million of
+    entries, so it can be broadcast whatever the corpus.  Without any labelled text
+    it has no languages, and everything is undetermined.
     """
     train = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
                         ).filter("lang is not null and text is not null")
-    counted = stage(_count_grams(train), "char-ngrams")
-    histogram = counted.groupBy("lang", F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("kinds"))
-    sizes: dict[str, list] = defaultdict(list)
-    for row in histogram.collect():
-        sizes[row["lang"]].append((row["n"], row["kinds"]))
-    least: dict[str, int] = {}
-    for lang in sorted(sizes, key=lambda x: (-sum(k for _, k in sizes[x]), x))[:MAX_LANGUAGES]:
-        kept = 0
-        for n, kinds in sorted(sizes[lang], reverse=True):
-            if kept + kinds > max_ngrams and kept:
-                break
-            kept, least[lang] = kept + kinds, n
-    keep = F.lit(False)
-    for lang, n in least.items():
-        keep = keep | ((F.col("lang") == lang) & (F.col("n") >= n))
-    table = counted.filter(keep).select("lang", "gram", "n").toPandas()
-    grams = {}
-    for lang, own in table.groupby("lang"):
-        keys = own["gram"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        grams[lang] = (keys[order], own["n"].to_numpy()[order])
-    model = build_model(grams)
-    if grams:
+    table, symbols = _kneser_ney(stage(_count_grams(train), "char-ngrams"))
+    pieces = _write_pieces(table)
+    model = LanguageModel(sorted({lang for lang, _, _ in pieces}),
+                          [HashArray(symbols.view(np.uint64), np.empty((len(symbols), 0)))], pieces)
+    if model.languages:
         model.limits = _calibrate(train, model, calibration_rows)
     return model
 
@@ -340,7 +436,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     if text_col in names and dict(docs.dtypes)[text_col] == "string":
         packed = packed.select(F.col("row").alias("read"))  # the row's own text is read: it goes over once
     place = packed.schema["read"].dataType.names.index(text_col if len(packed.columns) == 1 else "text")
-    # The model's size is bounded by MAX_LANGUAGES and MAX_NGRAMS.
+    # The model's arrays stay in the shared folder.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches):
