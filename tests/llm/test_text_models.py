@@ -140,6 +140,25 @@ def test_every_language_is_learned(spark):
     assert all(r["lang_pred"] == r["lang"] for r in found)
 
 
+def test_rejection_in_rare_languages_and_lengths(spark):
+    """Random letters and an unlearned language of the same letters go; texts of a language with 25 texts stay."""
+    rng = random.Random(6)
+    rows = [(k, speak(rng, "aa", rng.randrange(20, 80)), "aa") for k in range(300)]
+    rows += [(400 + k, speak(rng, "aa", 1)[:2], "aa") for k in range(8)]
+    rows += [(500 + k, speak(rng, "bb", rng.randrange(20, 80)), "bb") for k in range(25)]
+    model = language_id.train_language_model(documents(spark, rows))
+    assert all(np.isfinite(model.limits[lang, size]) for lang in ("aa", "bb") for size in range(17))
+    noise = [(k, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(n)))
+             for k, n in enumerate((10, 50, 400, 5000))]
+    other = ["ak", "ot", "im", "en", "us", "ar", "hcs", "gnu", "reb", "nie"]
+    noise += [(50 + k, " ".join("".join(rng.choice(other) for _ in range(3)) for _ in range(n)))
+              for k, n in enumerate((50, 400, 5000))]
+    clean = [(100 + k, speak(rng, lang, n)) for k, (lang, n) in enumerate(
+        (lang, n) for lang in ("aa", "bb") for n in (3, 10, 50, 400, 5000) for _ in range(4))]
+    got = {r["doc_id"]: r["accepted"] for r in language_id.predict_language(documents(spark, noise + clean), model).collect()}
+    assert got == {k: False for k, _ in noise} | {k: True for k, _ in clean}
+
+
 def test_hash_array_finds_all_and_only_its_keys():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 2 ** 63, 5000).astype(np.uint64))

@@ -7,7 +7,8 @@ its own sorted arrays of n-grams and contexts, written in pieces to the shared
 scratch folder and searched there, a language at a time; the distinct n-grams of
 a slice of text are looked up once.  The language with the lowest cross-entropy
 per character wins; texts whose cross-entropy is far above what that language's
-own texts of such a length have are rejected.
+own texts of such a length have are rejected.  Those limits come from all training texts, each
+scored by a model of the half of the texts that it is not in.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ from .staging import stage
 
 ORDER = 4                   # symbols of an n-gram; 16 bits each
 PIECE_ENTRIES = 1 << 20     # entries of a piece of a language's arrays
-CALIBRATION_ROWS = 20_000   # about so many training texts set the rejection thresholds
 SLICE_BYTES = 1 << 20       # text that a task turns into arrays at a time
 REJECT_DEVIATIONS = 10.0     # standard deviations above the mean cross-entropy
+KEPT_SHARE = 0.999          # of a language's own texts of a length class at least so many are accepted
+CLASS_TEXTS = 100           # a limit is set by at least so many texts, of near length classes if need be
+WHOLE, HALVES = "=", "01"   # first letter of a model's name: of all texts, of one half of them
 UNDETERMINED = "und"
 
 _BOUNDARY, _SPACE = 1, 32
@@ -231,12 +234,13 @@ def _count_grams(train: DataFrame) -> DataFrame:
         held: dict[str, list] = defaultdict(list)
         size = 0
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
+            langs = batch.column(0).dictionary_encode()
+            names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
             for row, end, data, offsets in ws.text_slices(batch.column(1), SLICE_BYTES):
                 keys, first = _grams(data, offsets)
-                of_key = np.repeat(langs[row:end], np.diff(first))
-                for lang in set(langs[row:end]):
-                    own = np.sort(keys[of_key == lang])
+                of_key = np.repeat(codes[row:end], np.diff(first))
+                for code in np.unique(codes[row:end]):
+                    lang, own = names[code], np.sort(keys[of_key == code])
                     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else own[:0]
                     held[lang].append((own[starts.astype(int)], np.diff(np.append(starts, len(own))).astype(np.int64)))
                     size += len(starts)
@@ -358,8 +362,7 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(id_col.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def train_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                         calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
+def train_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learn from all rows with a text and a language.
 
     N-grams of all texts and all languages are counted and kept.  The model holds
@@ -369,55 +372,100 @@ def train_language_model(docs: DataFrame, text_col: str = "text", lang_col: str
     """
     train = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
                         ).filter("lang is not null and text is not null")
-    table, symbols = _kneser_ney(stage(_count_grams(train), "char-ngrams"))
+    # Copies of a text are in the same half: none is scored by a model that has counted it.
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("string")
+    halves = stage(_count_grams(train.select(F.concat(half, "lang").alias("lang"), "text")), "char-ngrams")
+    whole = halves.groupBy(F.concat(F.lit(WHOLE), F.expr("substring(lang, 2)")).alias("lang"), "gram").agg(
+        F.sum("n").alias("n"))
+    table, symbols = _kneser_ney(stage(whole.unionByName(halves), "char-ngrams"))
     pieces = _write_pieces(table)
-    model = LanguageModel(sorted({lang for lang, _, _ in pieces}),
-                          [HashArray(symbols.view(np.uint64), np.empty((len(symbols), 0)))], pieces)
-    if model.languages:
-        model.limits = _calibrate(train, model, calibration_rows)
-    return model
+    alphabet = [HashArray(symbols.view(np.uint64), np.empty((len(symbols), 0)))]
 
+    def model(names: list[str], skip: int) -> LanguageModel:
+        return LanguageModel([x[skip:] for x in names], alphabet,
+                             {(x[0][skip:], *x[1:]): v for x, v in pieces.items() if x[0] in set(names)})
 
-def _calibrate(train: DataFrame, model: LanguageModel, rows: int) -> dict:
-    """Highest cross-entropy accepted, by language and length class."""
-    shared = train.sparkSession.sparkContext.broadcast(model)
-    share = min(1.0, rows / max(1, train.count()))
-    # Row by row: a text that holds a third of all rows is neither all in nor all out.
-    place = F.xxhash64("text", F.monotonically_increasing_id())
-    sample = train.filter(place.bitwiseAND(F.lit((1 << 20) - 1)) < share * (1 << 20))
+    names = sorted({name for name, _, _ in pieces})
+    known = model([x for x in names if x[0] == WHOLE], 1)
+    if known.languages:
+        known.limits = _calibrate(train.withColumn("half", half), model([x for x in names if x[0] in HALVES], 0),
+                                  known.languages)
+    return known
+
+
+def _calibrate(train: DataFrame, halves: LanguageModel, languages: list[str]) -> dict:
+    """Highest cross-entropy accepted, by language and length class, from all training texts.
+
+    Each text counts once, however many copies it has.
+    """
+    shared = train.sparkSession.sparkContext.broadcast(halves)
 
     def scan(batches):
         known = shared.value
+        learned = set(known.languages)
         for batch in batches:
-            langs, sizes, found = batch.column(0).to_pylist(), [], []
+            langs, texts = batch.column(0).dictionary_encode(), batch.num_rows
+            names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
+            sizes, found = np.zeros(texts, np.int32), np.full(texts, np.nan)
             for row, end, data, offsets in ws.text_slices(batch.column(1), SLICE_BYTES):
                 keys, first = _grams(data, offsets)
-                entropies = known.entropies(keys, first)
-                for k in range(end - row):
-                    lang = langs[row + k]
-                    sizes.append(length_class(first[k + 1] - first[k]))
-                    found.append(entropies[k, known.languages.index(lang)] if lang in known.languages else None)
+                lengths, own = np.diff(first), codes[row:end]
+                sizes[row:end] = [length_class(x) for x in lengths]
+                of_key = np.repeat(own, lengths)
+                for code in np.unique(own):
+                    if names[code] in learned:
+                        at = np.flatnonzero(own == code)
+                        found[row + at] = known.entropies(
+                            keys[of_key == code], np.concatenate([[0], np.cumsum(lengths[at])]), [names[code]])[:, 0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()),
-                 pa.array(found, pa.float64(), from_pandas=True)], names=["lang", "size", "entropy"])
-
-    scored = sample.mapInArrow(scan, "lang string, size int, entropy double").filter("entropy is not null")
-    found = scored.groupBy("lang", "size").agg(F.count("*").alias("n"), F.avg("entropy").alias("mean"),
-                                               F.stddev_pop("entropy").alias("deviation")).collect()
+                [batch.column(0), pa.array(sizes), pa.array(found, from_pandas=True), batch.column(2)],
+                names=["lang", "size", "entropy", "text"])
+
+    other = F.when(F.col("half") == HALVES[0], HALVES[1]).otherwise(HALVES[0])
+    scored = (train.select(F.concat(other, "lang").alias("lang"), "text", F.xxhash64("text").alias("digest"))
+              .mapInArrow(scan, "lang string, size int, entropy double, text long").filter("entropy is not null")
+              .groupBy(F.expr("substring(lang, 2)").alias("lang"), "text")
+              .agg(F.first("size").alias("size"), F.first("entropy").alias("entropy")))
+    found: dict[str, list] = defaultdict(list)
+    for r in scored.groupBy("lang", "size").agg(
+            F.count("*").alias("n"), F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("deviation"),
+            F.percentile_approx("entropy", KEPT_SHARE).alias("high")).collect():
+        found[r["lang"]].append((r["size"], r["n"], r["mean"], r["deviation"], r["high"]))
+    every = [x for own in found.values() for x in own]
+    of_all = {size: _spread(every, size) for size in range(17)}
     limits = {}
-    for lang in model.languages:
-        own = {r["size"]: r for r in found if r["lang"] == lang}
-        widest = max((r["deviation"] for r in own.values()), default=0.0)
+    for lang in languages:
         for size in range(17):
-            near = min((r for r in own.values() if r["n"] >= 30), key=lambda r: abs(r["size"] - size), default=None)
-            if near is None:
-                limits[lang, size] = math.inf
-            else:
-                deviation = near["deviation"] if near["size"] == size else widest
-                limits[lang, size] = near["mean"] + REJECT_DEVIATIONS * max(deviation, 0.1)
+            (n, mean, above, high), (n_all, mean_all, above_all, _) = _spread(found[lang], size), of_all[size]
+            if n < CLASS_TEXTS:  # too few texts: as wide as the languages are together
+                mean, above = mean if n else mean_all, max(above, above_all)
+            # A text that a model of the symbols alone explains better is in no language, unless its own ones are so.
+            most = max(-halves.unknown, high)
+            limits[lang, size] = min(mean + above, most) if n_all else most
     return limits
 
 
+def _spread(classes: list[tuple], size: int) -> tuple[int, float, float, float]:
+    """(texts, their mean, how far above it a text may be, their high quantile) at a length class and the nearest ones.
+
+    Classes are added on both sides until they have CLASS_TEXTS texts.  Deviations of
+    longer texts are widened by the root of the ratio of lengths.
+    """
+    near: list[tuple] = []
+    for reach in range(17):
+        near = [x for x in classes if abs(x[0] - size) <= reach]
+        if sum(x[1] for x in near) >= CLASS_TEXTS:
+            break
+    texts = sum(x[1] for x in near)
+    if not texts:
+        return 0, 0.0, 0.0, 0.0
+    mean = sum(x[1] * x[2] for x in near) / texts
+    wider = [2 ** (max(0, x[0] - size) / 2) for x in near]
+    variance = sum(x[1] * ((x[3] * w) ** 2 + (x[2] - mean) ** 2) for x, w in zip(near, wider, strict=True)) / texts
+    highest = max((x[4] - x[2]) * w + x[2] - mean for x, w in zip(near, wider, strict=True))
+    return (texts, mean, max(REJECT_DEVIATIONS * math.sqrt(variance), highest, 0.01), max(x[4] for x in near))
+
+
 def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                      columns: list | None = None) -> DataFrame:
     """Language of each whole text; ``columns`` (default: all) come first, unchanged.
