@@ -57,6 +57,33 @@ def test_components_against_all_pairs(spark, n, percent):
     assert sorted(map(tuple, got), key=str) == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize(("size", "share", "percent"), [(1000, 100_000, 85), (7, 0, 85), (7, 10 ** 9, 60)])
+def test_links_against_all_pairs(spark, monkeypatch, size, share, percent):
+    """Every pair of a group of near copies is there, not only what joins its members to the group."""
+    monkeypatch.setattr(jaccard_join, "LIST_CLASSES", size)
+    monkeypatch.setattr(jaccard_join, "HOT_SHARE", share)
+    rng = random.Random(7)
+    base = words(rng, 200)
+    group = [(0, " ".join([*base[:k], f"changed{k}", *base[k + 1:]])) for k in range(50, 90)]
+    rows = [(20_000 + k, t) for k, (_, t) in enumerate(awkward(rng) + near_copies(rng) + group)]
+    links, members = jaccard_join.jaccard_links(with_clashes(documents(spark, rows)).repartition(3), n=4, percent=percent)
+    of_class, of_doc = {}, dict(map(tuple, members.collect()))
+    for doc_id, class_id in of_doc.items():
+        of_class.setdefault(class_id, []).append(doc_id)
+    between = [tuple(r) for r in links.collect()]
+    assert all(a < b for a, b in between) and len(set(between)) == len(between)
+    got = {(min(x, y), max(x, y)) for a, b in between for x in of_class[a] for y in of_class[b]}
+    got |= {(x, y) for c, own in of_class.items() if c is not None for x in own for y in own if x < y}
+    assert len(of_doc) == len(rows)
+    sets = {}
+    for doc_id, text in rows:
+        own = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+        sets[doc_id] = {tuple(own[k:k + 4]) for k in range(max(1, len(own) - 3))} if own else set()
+    want = {(x, y) for x in sets for y in sets if x < y and (both := len(sets[x] & sets[y]))
+            and 100 * both >= percent * len(sets[x] | sets[y])}
+    assert got == want and len(between) >= len(group) * (len(group) - 1) // 2
+
+
 @pytest.mark.parametrize("share", [0, 10 ** 9])
 def test_components_do_not_depend_on_what_is_hot(spark, monkeypatch, share):
     """No n-gram is hot at share 0, every one at a high share; copies are met by several tasks."""

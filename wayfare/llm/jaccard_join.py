@@ -12,7 +12,8 @@ a prefix n-gram, all texts are first compared with the one that holds it
 earliest (a star); the list is searched for further pairs only between texts
 that these links leave in different components.  No link that joins two
 components is lost, and a large group of near copies costs a star, not all its
-pairs.
+pairs.  That shortcut is for components only; ``jaccard_links`` looks through
+every list whole and returns all links.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ CANDIDATE_BITS = 26      # bits of the candidate filter (8 MB)
 PARTS = 128              # parts of the hash range that the suffix filter counts in
 HOT_SHARE = 100_000      # an n-gram is hot if its bucket has over one in so many of all n-grams
 SALTS = 64               # a hot n-gram's list is looked through in so many parts
+LIST_CLASSES = 1000      # classes of a list that a part compares with all of it, where all links are wanted
 
 
 def _sets(batch: pa.RecordBatch, text_at: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -301,6 +303,53 @@ def _verified(docs: DataFrame, n: int, percent: int, pairs: DataFrame, classes:
     return both.mapInArrow(check, "a long, b long")
 
 
+def _postings(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of docs (doc_id, text): a row per text, the classes of equal sets, and the lists of classes by prefix n-gram."""
+    survey = stage(_survey(docs, n), "jaccard-survey")
+    rows = survey.filter("slice is null").select("doc_id", "n", "hi", "lo", "parts")
+    classes = stage(rows.filter("n > 0").groupBy("hi", "lo").agg(
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.min("parts").alias("parts"))
+        .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+
+    prefixes = _prefixes(docs, n, percent, _frequencies(survey))
+    # N-grams that one class alone holds go; hot ones stay unasked, and their rows are spread by the salt.
+    same_token = Window.partitionBy("token", "salt")
+    met = (prefixes.withColumn("x", F.min("lo").over(same_token)).withColumn("y", F.max("lo").over(same_token))
+           .filter("x <> y or salt > 0").drop("x", "y"))
+    postings = stage(met.join(classes.select("hi", "lo", "cid"), ["hi", "lo"])
+                     .select("token", "cid", "size", "pos").distinct(), "jaccard-postings")
+    return rows, classes, postings
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All pairs under "n-gram Jaccard >= percent / 100", as links between classes and the classes' members.
+
+    A class is one n-gram set (see ``jaccard_components``); its members are linked
+    with one another and with the members of each linked class.  Returns the links
+    (left_class, right_class: longs, left_class < right_class, each pair once,
+    verified on the whole sets) and the members (doc_id, class_id; one row per
+    input row, null for texts without words, which are linked with nothing).
+    Class ids hold for the two results of one call.  The number of links can grow
+    with the square of a group of near copies with different sets.
+    """
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows, classes, postings = _postings(docs, n, percent)
+    # A list of m classes is looked through in m / LIST_CLASSES parts, each against the whole list.
+    parts = F.ceil(F.count("*") / LIST_CLASSES).cast("int")
+    lists = postings.groupBy("token").agg(F.count("*").alias("classes"), parts.alias("parts")).filter("classes > 1")
+    listed = stage(postings.join(lists.drop("classes"), "token"), "jaccard-lists")
+    l = listed.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")).alias("l")
+    r = listed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("r")
+    pairs = (l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.part") == F.col("r.part"))
+                    & (F.col("l.cid") < F.col("r.cid"))
+                    & _may_link(percent, F.col("l.size"), F.col("l.pos"), F.col("r.size"), F.col("r.pos")))
+             .select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b")).distinct())
+    links = stage(_verified(docs, n, percent, stage(pairs, "jaccard-met"), classes), "jaccard-links")
+    members = rows.join(classes.select("hi", "lo", F.col("cid").alias("class_id")), ["hi", "lo"], "left")
+    return links.toDF("left_class", "right_class"), members.select("doc_id", "class_id")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        n: int = 5, percent: int = 80) -> DataFrame:
     """Component of every document under "n-gram Jaccard >= percent / 100".
@@ -317,19 +366,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table gives an empty result.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    survey = stage(_survey(docs, n), "jaccard-survey")
-    rows = survey.filter("slice is null").select("doc_id", "n", "hi", "lo", "parts")
-    classes = stage(rows.filter("n > 0").groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.min("parts").alias("parts"))
-        .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
-
-    prefixes = _prefixes(docs, n, percent, _frequencies(survey))
-    # N-grams that one class alone holds go; hot ones stay unasked, and their rows are spread by the salt.
-    same_token = Window.partitionBy("token", "salt")
-    met = (prefixes.withColumn("x", F.min("lo").over(same_token)).withColumn("y", F.max("lo").over(same_token))
-           .filter("x <> y or salt > 0").drop("x", "y"))
-    postings = stage(met.join(classes.select("hi", "lo", "cid"), ["hi", "lo"])
-                     .select("token", "cid", "size", "pos").distinct(), "jaccard-postings")
+    rows, classes, postings = _postings(docs, n, percent)
 
     # Aggregates and joins here, no windows: a hot n-gram's rows are combined where they lie, its list can be split.
     first = postings.groupBy("token").agg(F.min(F.struct("pos", "size", "cid")).alias("p"))
