@@ -128,6 +128,36 @@ def test_raw_files(spark, tmp_path):
     assert [r["n_tokens"] for r in got] == [2, 1, 3]
 
 
+def test_raw_files_beyond_the_limit_of_one_row(spark, tmp_path, monkeypatch):
+    """A file that Spark refuses to read as one row is read by several tasks."""
+    monkeypatch.setattr(token_files, "TASK_BYTES", 2000)
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 9, 5000)
+    ids.astype("<u4").tofile(tmp_path / "a b%20c.bin")
+    (tmp_path / "empty.bin").touch()
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        blocks = token_files.read_flat_files(spark, str(tmp_path), block_tokens=64, dtype="<u4")
+        assert blocks.select(F.spark_partition_id()).distinct().count() > 4
+        got = token_files.count_tokens(blocks, separator=0, dtype="<u4").orderBy("ordinal").collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    ends = np.flatnonzero(ids == 0)
+    want = (np.diff(ends, prepend=-1) - 1).tolist()
+    assert [r["n_tokens"] for r in got if r["complete"]] == want
+    assert sum(r["n_tokens"] for r in got if not r["complete"]) == len(ids) - ends[-1] - 1
+
+
+def test_documents_are_written_as_flat_files(spark, rows, tmp_path):
+    blocks, places = token_files.write_token_files(documents(spark, rows[:40]).repartition(2), letters, separator=1)
+    stored = {r["file"]: bytes(r["tokens"]) for r in blocks.collect()}
+    assert len(stored) == 2 and places.count() == 40
+    for file, tokens in stored.items():
+        (tmp_path / str(file)).write_bytes(tokens)
+    raw = token_files.count_tokens(token_files.read_flat_files(spark, str(tmp_path)), separator=1)
+    assert sorted(r["n_tokens"] for r in raw.collect()) == sorted(len(t or "") for _, t in rows[:40])
+
+
 def test_checksum_column_is_that_of_the_ids(spark):
     docs = documents(spark, [(1, " ".join(words(random.Random(0), 50)))])
     row = packing.pack_documents(docs, letters).withColumn("crc", F.crc32("ids")).first()

@@ -2,7 +2,9 @@
 
 A file is a stream of token ids (16 bit, or any numpy type) in which a separator
 ends each document.
-The stream is read in blocks that cut documents anywhere.  Each block is
+The stream is read in blocks that cut documents anywhere: files are listed with
+their lengths alone, and each task reads ranges of them from the shared file
+system, so that a file of any size is spread over many tasks.  Each block is
 searched for separators at once (numpy); a prefix scan over the blocks' summaries
 adds to a block's first document what earlier blocks hold of it, and numbers
 the documents.
@@ -10,79 +12,111 @@ the documents.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.session import scratch_path
+
 from .packing import public_encoder
 from .staging import stage
 
 SEPARATOR = 50256             # <|endoftext|> of byte_bpe_50k, which no text encodes to
 BLOCK_TOKENS = 1 << 18
 DTYPE = "<u2"                 # ids below 65536
+TASK_BYTES = 32 << 20         # of token files that a task reads, about
 
 
 def write_token_files(docs: DataFrame, encoder: Callable[[], Callable[[str], list[int]]] = public_encoder,
                       separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, dtype: str = DTYPE, id_col: str = "doc_id",
                       text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Tokenise documents into one flat stream per task, kept as a table of blocks.
+    """Tokenise documents into one flat file per task, in the shared scratch folder.
 
-    Returns the blocks (file, block, tokens: the ids as ``dtype``) and
+    Returns the files' blocks (file, block, tokens: the ids as ``dtype``) and
     which document stands where (file, ordinal, doc_id).  Null texts are empty
     documents: a separator alone.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    folder = scratch_path(docs.sparkSession, "flat-tokens")
     fields = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(
-        "file long, ordinal long, block long, tokens binary")])
+        "file long, ordinal long, path string, length long")])
 
     def scan(batches):
         encode, file = encoder(), TaskContext.get().partitionId()
-        ordinal = block = 0
-        held, size = [], 0
+        system, name = _file_system(folder)
+        system.create_dir(name, recursive=True)
+        own = uuid.uuid4().hex  # a task that runs again writes another file
+        ordinal = length = 0
         id_type = None
-        for batch in batches:
-            id_type = batch.schema.field(0).type
-            rows = batch.num_rows
+        with system.open_output_stream(f"{name}/{own}") as out:
+            for batch in batches:
+                id_type = batch.schema.field(0).type
+                rows = batch.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([file] * rows, pa.int64()),
+                     pa.array(range(ordinal, ordinal + rows), pa.int64()), pa.nulls(rows, pa.string()),
+                     pa.nulls(rows, pa.int64())], names=fields.names)
+                ordinal += rows
+                for text in batch.column(1):
+                    length += out.write(np.array([*encode(text.as_py() or ""), separator], dtype).tobytes())
+        if length:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([file] * rows), pa.array(range(ordinal, ordinal + rows)),
-                 pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary())], names=fields.names)
-            ordinal += rows
-            for text in batch.column(1):
-                ids = np.array([*encode(text.as_py() or ""), separator], dtype)
-                held.append(ids)
-                size += len(ids)
-                while size >= block_tokens:
-                    stream = np.concatenate(held)
-                    yield _block(id_type, file, block, stream[:block_tokens], fields.names)
-                    block, held, size = block + 1, [stream[block_tokens:]], size - block_tokens
-        if size:
-            yield _block(id_type, file, block, np.concatenate(held), fields.names)
+                [pa.nulls(1, id_type), pa.array([file], pa.int64()), pa.nulls(1, pa.int64()),
+                 pa.array([f"{folder}/{own}"]), pa.array([length], pa.int64())], names=fields.names)
 
     written = stage(docs.mapInArrow(scan, fields), "token-files")
-    blocks = written.filter("block is not null").select("file", "block", "tokens")
-    return blocks, written.filter("block is null").select("file", "ordinal", "doc_id")
-
-
-def _block(id_type: pa.DataType, file: int, block: int, tokens: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.nulls(1, id_type), pa.array([file]), pa.nulls(1, pa.int64()), pa.array([block]),
-         pa.array([tokens.tobytes()], pa.binary())], names=names)
+    blocks = _read_blocks(written.filter("path is not null").select("file", "path", "length"), block_tokens, dtype)
+    return blocks, written.filter("path is null").select("file", "ordinal", "doc_id")
 
 
 def read_flat_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS,
                     dtype: str = DTYPE) -> DataFrame:
-    """Blocks of raw files of ids; ``file`` is the path."""
+    """Blocks of raw files of ids, of any size; ``file`` is the path.
+
+    Spark lists the files; their bytes are read with ``pyarrow.fs``, which must
+    know the file system (local or mounted, hdfs, s3, gs).
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")  # no content is read
+    return _read_blocks(listed.select(F.col("path").alias("file"), "path", "length"), block_tokens, dtype)
+
+
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, with spaces and signs as they are, and the path there."""
+    return fs.FileSystem.from_uri(quote(path, safe="/:@"))
+
+
+def _read_blocks(files: DataFrame, block_tokens: int, dtype: str) -> DataFrame:
+    """(file, block, tokens) of files (file, path, length); a task reads about ``TASK_BYTES``."""
     size = np.dtype(dtype).itemsize * block_tokens
-    files = spark.read.format("binaryFile").load(path).select("path", "length", "content")
-    return (files.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr(
-                f"cast((length - 1) div {size} as int)")))))
-            .select(F.col("path").alias("file"), F.col("block").cast("long").alias("block"),
-                    F.expr(f"substring(content, block * {size} + 1, {size})").alias("tokens")))
+    ranges = files.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(
+        F.lit(0).cast("long"), F.expr(f"(length - 1) div {size}")))))
+    tasks = -(-(files.agg(F.sum("length")).first()[0] or 1) // TASK_BYTES)
+    fields = T.StructType([files.schema["file"], *T.StructType.fromDDL("block long, tokens binary")])
+
+    def read(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                path, length, block = (batch.column(i)[k].as_py() for i in (1, 2, 3))
+                wanted = min(size, length - block * size)
+                system, name = _file_system(path)
+                with system.open_input_file(name) as file:
+                    tokens = file.read_at(wanted, block * size)
+                if len(tokens) != wanted:
+                    raise OSError(f"{path} is shorter than when it was listed")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(k, 1), batch.column(3).slice(k, 1), pa.array([tokens], pa.binary())],
+                    names=fields.names)
+
+    # A fixed number of partitions: by their few bytes the ranges would all go to one.
+    return ranges.repartition(tasks, "file", "block").mapInArrow(read, fields)
 
 
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTYPE) -> DataFrame:
