@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, histogram_shards, jaccard_join, language_id, packing, token_files
-from . import toxicity, url_rules
+from . import centroids, chat, decontaminate, epsilon_grid, exact_dedup, histogram_shards, jaccard_join, language_id
+from . import packing, spelling, token_files, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,19 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsilon_grid.near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(_table(spark, sf_dir, "documents"))
+    return spelling.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -90,10 +103,29 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_rules": op10_url_rules,
+    "op11_epsilon_grid": op11_epsilon_grid,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_centroids": op13_centroids,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _centroid_round(k: int) -> str:
+    """Assignment of all vectors to the centroids of round ``k``, and the centroids after it."""
+    return f"""
+gaps{k} AS (
+  SELECT vec_id, cluster, CAST(sum((x - c) * (x - c)) AS BIGINT) AS distance
+  FROM parts JOIN centroids{k} USING (dim) GROUP BY vec_id, cluster),
+nearest{k} AS (
+  SELECT vec_id, cluster, distance FROM gaps{k}
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1),
+sums{k} AS (
+  SELECT cluster, dim, sum(x) AS total, count(*) AS n FROM parts JOIN nearest{k} USING (vec_id) GROUP BY cluster, dim),
+centroids{k + 1} AS (
+  SELECT cluster, dim, CASE WHEN n IS NULL THEN c ELSE CAST((total - ((total % n) + n) % n) // n AS BIGINT) END AS c
+  FROM centroids{k} LEFT JOIN sums{k} USING (cluster, dim))"""
+
+
 ORACLES = {
     "op3_chat_format": r"""
 WITH turns AS (
@@ -156,4 +188,75 @@ fits AS (
   FROM urls JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict
 FROM urls LEFT JOIN (SELECT * FROM fits WHERE nth = 1) USING (page_id)""",
+    "op11_epsilon_grid": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98),
+reached(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+lowest AS (SELECT a AS vec_id, min(b) AS low FROM reached GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN lowest USING (vec_id) LEFT JOIN degree USING (vec_id)""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE steps(byte, k, c) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT byte, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS times, concat(doc_id, ':', run) AS named FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+    FROM documents) WHERE length(run) >= 5 GROUP BY doc_id, run),
+coded AS (
+  SELECT run, times, list_prepend(4294967295, flatten(list_transform(string_split(named, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195::BIGINT, CAST(ord(c) - 64 AS BIGINT)] END))) AS bytes
+  FROM runs),
+hashed AS (
+  SELECT run, times, xor(list_reduce(bytes, lambda s, b: xor(s >> 8, t[CAST(xor(s, b) & 255 AS BIGINT) + 1])),
+    4294967295::BIGINT) AS h FROM coded, crc),
+results AS (
+  SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+    || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM results WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+less AS MATERIALIZED (
+  SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INT) AS k FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM less a JOIN less b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT less.word, less.n, words.word, words.n FROM less JOIN words ON less.rest = words.word
+  UNION SELECT words.word, words.n, less.word, less.n FROM less JOIN words ON less.rest = words.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-m, hex(encode(other)))) AS top, max(m) AS top_n FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 2 * n THEN top END AS form,
+    CASE WHEN top_n >= 2 * n THEN top_n END AS form_n FROM words LEFT JOIN best USING (word)),
+walk(word, stop, hops) AS (
+  SELECT word, word, 0 FROM forms
+  UNION ALL SELECT walk.word, forms.form, hops + 1 FROM walk JOIN forms ON walk.stop = forms.word
+  WHERE forms.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, arg_max(stop, hops) AS root FROM walk GROUP BY word) USING (word)""",
+    "op13_centroids": f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64),
+parts AS MATERIALIZED (SELECT vec_id, unnest(x) AS x, unnest(range(64)) AS dim FROM kept),
+centroids0 AS (
+  SELECT cluster, dim, x AS c FROM parts JOIN (
+    SELECT vec_id, CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INT) AS cluster FROM kept
+    QUALIFY cluster < 16) USING (vec_id)),
+{",".join(_centroid_round(k) for k in range(4))},
+facts AS (
+  SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256
+  FROM centroids3 GROUP BY cluster)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM nearest3 JOIN facts USING (cluster)""",
 }
