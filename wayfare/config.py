@@ -51,6 +51,9 @@ class Layout:
         return (r"(?:^|/)" + re.escape(pre.split("/")[-1]) + r"([a-z]{3}[0-9]{2})"
                 + re.escape(post.split("/")[0]) + r"(?:/|$)")
 
+    def published_root(self) -> str:
+        return f"{self.processed_root.rstrip('/')}/published"
+
     def table(self, name: str) -> str:
         sub = "codes/" if name in CODE_TABLES else ""
         return f"{self.processed_root.rstrip('/')}/{sub}{name}"
@@ -71,6 +74,7 @@ class Options:
     salt_buckets: int | None = None       # explicit write salt where AQE is off
     check_tables: tuple = ("immigration", "immigrant")  # H1 tables; add the mart to gate it too
     strict_checks: bool = True            # H1: raise on a period without rows (else report)
+    keep_rejects: bool = False            # store dropped records with the lookup that dropped them
     # "tables": re-read the stored facts and join them on (cicid, i94dt), as the
     # source ETL does.  "conformed": write the mart in the same pass as the facts
     # (no fact x fact join), where cicid is known to identify a record in a month.

@@ -8,7 +8,7 @@ or split where keys are skewed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -78,6 +78,25 @@ def named_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
     return joined.select(*fact.columns, *dim_cols)
 
 
+def outer_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: dict[str, str],
+                 found: str) -> DataFrame:
+    """Left outer lookup that says whether it matched.
+
+    Keeps every fact row and column, adds the dimension's ``columns`` (source ->
+    output name) and ``found``: 1 for the first match of a row, 2, 3, ... for
+    further ones (a code that occurs several times multiplies the row, as the
+    inner lookups do), null for none.  Null keys match nothing.
+    """
+    fk, dk = _aligned_keys(fact, fact_key, dim, dim_key)
+    clash = set(fact.columns) & {*columns.values(), found}
+    if clash:
+        raise ValueError(f"lookup would duplicate columns {sorted(clash)}; rename one side first")
+    d = dim.select(dk.alias("__lookup_key"), *[F.col(c).alias(name) for c, name in columns.items()]).filter(
+        "__lookup_key is not null")
+    nth = F.row_number().over(Window.partitionBy("__lookup_key").orderBy(*(list(columns.values()) or ["__lookup_key"])))
+    return fact.join(d.withColumn(found, nth), fk == F.col("__lookup_key"), "left").drop("__lookup_key")
+
+
 def role_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 role_names: dict[str, str], *, drop_fact_key: bool = True) -> DataFrame:
     """One dimension joined in a named role (e.g. country as residence).

@@ -22,6 +22,12 @@ def record_period(year: str = "year", month: str = "month") -> Column:
     return F.when(y.isNotNull() & m.isNotNull(), F.format_string("%04d%02d", y, m))
 
 
+def decode_arrivals(arrivals: DataFrame) -> DataFrame:
+    """Arrival records with dates as ISO text and the stored column names."""
+    decoded = arrivals.withColumns({c: day_number_to_iso(c) for c in ("arrdate", "depdate")})
+    return rename(decoded, ARRIVAL_RENAMES)
+
+
 def conform_arrivals(arrivals: DataFrame, modes: DataFrame, visas: DataFrame,
                      states: DataFrame, countries: DataFrame, *, mode_label: str = "Air",
                      period: "str | None" = None) -> DataFrame:
@@ -31,10 +37,7 @@ def conform_arrivals(arrivals: DataFrame, modes: DataFrame, visas: DataFrame,
     the source ETL.  ``period`` stamps ``i94dt``; without it the period comes
     from each record's year and month, which lets one job conform many months.
     """
-    df = arrivals.withColumns({"arrdate": day_number_to_iso("arrdate"),
-                               "depdate": day_number_to_iso("depdate")})
-    df = rename(df, ARRIVAL_RENAMES)
-    df = coerced_lookup(df, modes, "i94mode")
+    df = coerced_lookup(decode_arrivals(arrivals), modes, "i94mode")
     df = label_filter(df, "mode", mode_label)
     df = coerced_lookup(df, visas, "i94visa")
     df = named_lookup(df, states, "i94addr", "state_code", keep_dim_key=True)

@@ -32,6 +32,34 @@ def check_nonempty(spark: SparkSession, path: str, table: str, period: str) -> N
         raise DataQualityError(f"data quality check failed: {table} has no rows for {period}")
 
 
+def require_periods(what: str, wanted: list[str], present: set[str]) -> None:
+    """H1: raise for the periods that have no row."""
+    missing = sorted(set(wanted) - present)
+    if missing:
+        raise DataQualityError(f"data quality check failed: {what} has no rows for {', '.join(missing)}")
+
+
+def require_published(spark: SparkSession, tables: dict[str, str], periods: list[str] | None = None) -> None:
+    """H2 after a run: each table has its marker and a row, those by month one in ``periods`` if these are named.
+
+    ``isEmpty`` stops at the first row, so the history is not counted again.
+    """
+    def check(item):
+        name, path = item
+        if not marker_exists(spark, path):
+            return name, False
+        rows = read_table(spark, path, name) if name in STORED else spark.read.parquet(path)
+        if periods is not None and "i94dt" in rows.columns:
+            rows = rows.filter(F.col("i94dt").isin(periods))
+        return name, not rows.isEmpty()
+
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(tables)))) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(check), tables.items()))
+    failed = [name for name, there in found if not there]
+    if failed:
+        raise DataQualityError(f"publication check failed for: {', '.join(failed)}")
+
+
 def publication_check(spark: SparkSession, tables: dict[str, str], *, raise_on_fail: bool = True
                       ) -> DataFrame:
     """H2: every table has a commit marker and at least one row.

@@ -67,3 +67,9 @@ STORED = {
     "immigrant": IMMIGRANT, "immigration": IMMIGRATION,
     "immigration_demographics": IMMIGRATION_DEMOGRAPHICS,
 }
+
+# Tables that a run stores only when asked to (``Options.keep_rejects``).
+AUDIT = {
+    "rejected_arrivals": _struct([*[(f.name, f.dataType) for f in ARRIVALS], ("rejected_by", S), ("i94dt", S)]),
+    "arrival_audit": _struct([("rejected_by", S), ("records", L), ("rows", L), ("i94dt", S)]),
+}

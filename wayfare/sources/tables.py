@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import STORED
+from ..schemas import AUDIT, STORED
 
 
 def read_table(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
@@ -16,10 +16,11 @@ def read_table(spark: SparkSession, path: str, name: str | None = None) -> DataF
     partition-type inference says).
     """
     reader = spark.read
-    if name in STORED:
-        reader = reader.schema(STORED[name])
+    known = STORED | AUDIT
+    if name in known:
+        reader = reader.schema(known[name])
     df = reader.parquet(path)
-    if "i94dt" in df.columns and name not in STORED:
+    if "i94dt" in df.columns and name not in known:
         df = df.withColumn("i94dt", F.col("i94dt").cast("string"))
     return df
 
