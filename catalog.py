@@ -15,9 +15,13 @@ from wayfare.functions import dates, geo, text
 from wayfare.operators import columns as C
 from wayfare.operators import filters as D
 from wayfare.operators import joins as E
-from wayfare.periods import Period
-from wayfare.plans import dictionary, dims, facts, marts, pipeline, quality, reports
+from wayfare.operators.deliveries import compare_deliveries
+from wayfare.operators.totals import grouped_totals, rollup_sets
+from wayfare.periods import Period, month_range
+from wayfare.plans import (dictionary, dims, facts, marts, pipeline, quality, rejects, report_parts, reports, sketches,
+                           temperature)
 from wayfare.session import scratch_path
+from wayfare.sinks import published
 from wayfare.sinks.parquet import write_full, write_period
 from wayfare.sources.csv import read_airports, read_demographics
 from wayfare.sources.labels import read_labels
@@ -62,13 +66,19 @@ def _joined_mart(spark, sf, conformed, codes) -> DataFrame:
                                                 facts.build_immigrant(conformed), airports, city)
 
 
+_MARTS: dict = {}
+
+
 def _stored_mart(spark, sf) -> DataFrame:
-    """The mart written once for this query; reports read the columns they need."""
-    codes = _stored_codes(spark, sf)
-    airports, city = _dims(spark, sf, codes)
-    path = scratch_path(spark, "mart")
-    write_period(marts.mart_from_conformed(_conformed(spark, sf, codes), airports, city), path)
-    return read_table(spark, path, "immigration_demographics")
+    """The mart as a run has stored it: written once per session and data folder, reports read what they need."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MARTS:
+        codes = _stored_codes(spark, sf)
+        airports, city = _dims(spark, sf, codes)
+        path = scratch_path(spark, "mart")
+        write_period(marts.mart_from_conformed(_conformed(spark, sf, codes), airports, city), path)
+        _MARTS[key] = path
+    return read_table(spark, _MARTS[key], "immigration_demographics")
 
 
 def _written_immigration(spark, sf) -> str:
@@ -394,10 +404,10 @@ def arrivals_by_city(spark, sf):
 
 
 def arrivals_by_city_joined(spark, sf):
-    """G12 by its default path from the facts as a run stores them."""
+    """G12 by its default path from the facts as a run stores them, both from one staged conform."""
     codes = _stored_codes(spark, sf)
     airports, city = _dims(spark, sf, codes)
-    conformed = _conformed(spark, sf, codes)
+    conformed = _copied(spark, _conformed(spark, sf, codes))
     paths = {n: scratch_path(spark, n) for n in ("immigration", "immigrant")}
     write_period(facts.build_immigration(conformed), paths["immigration"], spread="state_code")
     write_period(facts.build_immigrant(conformed), paths["immigrant"], spread="visa")
@@ -528,6 +538,165 @@ def r5(spark, sf):
     return reports.traveller_types(_stored_mart(spark, sf))
 
 
+def top_origins(spark, sf):
+    """The five countries most visitors of each city and month come from."""
+    return reports.top_origins(_stored_mart(spark, sf), 5)
+
+
+def report_totals(spark, sf):
+    """R1, R2 and R5 with their subtotals, from one scan of the mart."""
+    dims_ = ["i94dt", "residence_country", "city", "state_code", "visa", "visatype"]
+    sets = [*rollup_sets(["i94dt", "residence_country"]), *rollup_sets(["i94dt", "city", "state_code"]),
+            *rollup_sets(["visa", "visatype", "city"])]
+    return grouped_totals(_stored_mart(spark, sf), dims_, sets, {
+        "visitors": ("count", "*"), "airports": ("distinct", "airport_code"), "avg_age": ("avg", "age")})
+
+
+def reports_by_parts(spark, sf):
+    """R1-R5 merged from monthly parts after one month has been run again with other records."""
+    mart = _stored_mart(spark, sf)
+    months = [r[0] for r in mart.select("i94dt").distinct().collect()]
+    root = scratch_path(spark, "parts")
+    report_parts.store_parts(mart, root, months)
+    rerun = mart.filter((F.col("i94dt") == PERIOD.key) & (F.col("cicid") % 2 == 0))
+    report_parts.store_parts(rerun, root, [PERIOD.key])
+    (orders,) = sm.tables(spark, sf, "orders")
+    report_parts.store_temperature_part(dims.build_weather(sm.weather_rows(orders)), root)
+
+    def rows(name, df, keys, n, values):
+        texts = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
+        numbers = [F.col(v).cast("double") for v in values] + [F.lit(None).cast("double")] * (2 - len(values))
+        return df.select(F.lit(name).alias("report"), *[c.alias(f"key{i}") for i, c in enumerate(texts)], F.col(n).alias("n"),
+                         *[c.alias(f"value{i}") for i, c in enumerate(numbers)])
+
+    return (rows("r1", report_parts.visitors_by_country(spark, root), ["i94dt", "residence_country"], "visitors", [])
+            .unionByName(rows("r2", report_parts.visitors_by_city(spark, root), ["i94dt", "city", "state_code"], "visitors", ["airports"]))
+            .unionByName(rows("r3", report_parts.city_demographics(spark, root), ["city", "state_code"], "visitors",
+                              ["population", "median_age"]))
+            .unionByName(rows("r4", report_parts.monthly_temperature(spark, root), ["city", "Month"], "readings", ["avg_temperature"]))
+            .unionByName(rows("r5", report_parts.traveller_types(spark, root), ["visa", "visatype", "city"], "travellers", ["avg_age"])))
+
+
+def sketch_estimates(spark, sf):
+    """Stored sketches of all months merged by city: estimates within their bounds of the exact figures."""
+    mart = _stored_mart(spark, sf)
+    path = scratch_path(spark, "sketches")
+    sketches.store_sketches(mart, path, [r[0] for r in mart.select("i94dt").distinct().collect()])
+    merged = sketches.merged_estimates(sketches.read_sketches(spark, path), ["city"], quantiles=(0.5,))
+    exact = mart.groupBy("city").agg(F.count_distinct(sketches.traveller()).alias("exact"))
+    ages = mart.filter("age is not null").join(merged.select("city", "age_50"), "city").groupBy("city").agg(
+        F.avg((F.col("age") < F.col("age_50")).cast("double")).alias("below"),
+        F.avg((F.col("age") <= F.col("age_50")).cast("double")).alias("up_to"))
+    both = merged.join(exact, "city").join(ages, "city", "left")
+    median = (F.col("below") - sketches.RANK_ERROR <= 0.5) & (F.col("up_to") + sketches.RANK_ERROR >= 0.5)
+    return both.select("city", "visits", F.col("exact").alias("travellers"),
+                       (F.abs(F.col("travellers") - F.col("exact")) <= sketches.DISTINCT_ERROR * F.col("exact")).alias("distinct_within"),
+                       F.coalesce(median, F.col("age_50").isNull()).alias("median_within"))
+
+
+# ------------------------------------------- rejected records, publication
+def _classified(spark, sf) -> DataFrame:
+    c = _stored_codes(spark, sf)
+    return rejects.classify_arrivals(sm.arrivals(spark, sf), c["i94mode"], c["i94visa"], c["us_state"], c["country"],
+                                     mode_label=sm.MODE_LABEL)
+
+
+def rejected_records(spark, sf):
+    """Every dropped record with the first lookup that dropped it."""
+    return rejects.rejected(_classified(spark, sf)).select("cicid", "i94dt", "i94port", "i94addr", "rejected_by")
+
+
+def reject_audit(spark, sf):
+    """Records and rows of each month by reason; reason null: kept."""
+    return rejects.audit(_classified(spark, sf))
+
+
+def reject_reconciliation(spark, sf):
+    """All months run with their rejects stored: read = kept + rejected, counted on the files again."""
+    from wayfare.config import Options
+    layout = sm.analog_layout(scratch_path(spark, "run"))
+    sm.stage_raw(spark, sf, layout)
+    lo, hi = sm.arrival_months(spark, sf)
+    only = sm.months_with_mode(spark, sf)
+    pipeline.backfill(spark, layout, lo, hi, Options(mode_label=sm.MODE_LABEL, keep_rejects=True), only=only)
+    return pipeline.reconcile_periods(spark, layout, [p for p in month_range(lo, hi) if p.key in only])
+
+
+def publish_cycle(spark, sf):
+    """A month is published, a broken rerun fails its gate, a good rerun replaces the month."""
+    from wayfare.config import Options
+    options = Options(mode_label=sm.MODE_LABEL)
+    layout = sm.analog_layout(scratch_path(spark, "publish"))
+    sm.stage_raw(spark, sf, layout)
+    root, file = layout.published_root(), layout.arrivals_path(PERIOD)
+    seen = []
+
+    def look(step, failed):
+        manifest = published.read_manifest(spark, root)
+        for name in pipeline.MONTHLY:
+            rows = published.read_published(spark, root, name, [PERIOD.key], manifest=manifest).count()
+            seen.append((step, name, manifest.version, rows, failed))
+
+    pipeline.publish_months(spark, layout, PERIOD, PERIOD, options)
+    look("published", False)
+    records = _copied(spark, spark.read.parquet(file))
+    write_full(records.withColumn("i94mode", F.lit(-1.0)), file)
+    try:
+        pipeline.publish_months(spark, layout, PERIOD, PERIOD, options, refresh_reference=False)
+        failed = False
+    except quality.DataQualityError:
+        failed = True
+    look("broken rerun", failed)
+    write_full(records.filter(F.col("cicid") % 2 == 0), file)
+    pipeline.publish_months(spark, layout, PERIOD, PERIOD, options, refresh_reference=False)
+    look("good rerun", False)
+    return spark.createDataFrame(seen, "step string, `table` string, version int, rows long, gate_failed boolean")
+
+
+# --------------------------------------- time: temperatures, presence, deliveries
+def asof_temperature(spark, sf):
+    """Every arrival with the last temperature of its city; a city is the label of the travel mode here."""
+    (orders,) = sm.tables(spark, sf, "orders")
+    weather = dims.build_weather(sm.weather_rows(orders))
+    arrivals = E.coerced_lookup(facts.decode_arrivals(sm.arrivals(spark, sf)), _stored_codes(spark, sf)["i94mode"], "i94mode")
+    found = temperature.arrivals_with_temperature(arrivals.select("cicid", F.col("mode").alias("city"), "arrival_date"), weather)
+    return found.select("cicid", "city", "arrival_date", "temperature", "measured_on")
+
+
+def presence_by_state(spark, sf):
+    """Visitors present in each state on each day, by arrival and departure."""
+    return reports.present_by_state(read_table(spark, _written_immigration(spark, sf), "immigration"))
+
+
+def delivery_changes(spark, sf):
+    """Two deliveries of the orders: some lost, some corrected, some repeated, some new."""
+    (orders,) = sm.tables(spark, sf, "orders")
+    k = F.col("o_orderkey") % 20
+    kept = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    old = kept.filter(k != 1).unionByName(kept.filter(k == 2)).unionByName(kept.filter(k == 5))
+    new = kept.filter(k != 3).withColumn("o_orderstatus", F.when(k == 4, "X").otherwise(F.col("o_orderstatus")))
+    new = new.unionByName(kept.filter(k == 5).withColumn("o_totalprice", F.lit(None).cast("double"))).unionByName(kept.filter(k == 6))
+    return compare_deliveries(old, new, ["o_orderkey"])
+
+
+def event_windows(spark, sf):
+    """Daily windows of the event stream, in files by time, with a restart from the checkpoint half-way."""
+    from wayfare.streaming import windows
+    (events,) = sm.tables(spark, sf, "events")
+    root = scratch_path(spark, "events")
+    (middle,) = events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).approxQuantile("t", [0.5], 0.01)
+    early = F.unix_micros(F.col("ts").cast("timestamp")) < int(middle)
+    for part in (events.filter(early), events.filter(~early)):
+        (part.withColumn("ts", F.col("ts").cast("timestamp")).repartitionByRange(3, "ts").sortWithinPartitions("ts")
+         .write.mode("append").parquet(f"{root}/landing"))
+        stream = windows.read_event_stream(spark, f"{root}/landing", files_per_batch=3)
+        query = windows.start_event_windows(stream, f"{root}/out", f"{root}/checkpoint", delay="2 days")
+        query.awaitTermination()
+    found = windows.current_windows(spark, f"{root}/out")
+    return found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "events", "lowest", "highest",
+                        F.col("total").cast("double").alias("total"))
+
+
 QUERIES = {
     # A sources
     "label_scan": label_scan, "csv_semicolon_scan": csv_semicolon_scan,
@@ -565,6 +734,12 @@ QUERIES = {
     **{f"stored_{n}": _stored(n) for n in ("us_state", "country", "us_ports", "weather", "airports", "city")},
     # R reports
     "r1": r1, "r2": r2, "r3": r3, "r4": r4, "r5": r5,
+    "top_origins": top_origins, "report_totals": report_totals, "reports_by_parts": reports_by_parts,
+    "sketch_estimates": sketch_estimates,
+    # rejected records, publication, time
+    "rejected_records": rejected_records, "reject_audit": reject_audit, "reject_reconciliation": reject_reconciliation,
+    "publish_cycle": publish_cycle, "asof_temperature": asof_temperature, "presence_by_state": presence_by_state,
+    "delivery_changes": delivery_changes, "event_windows": event_windows,
 }
 
 

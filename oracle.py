@@ -424,9 +424,12 @@ UNION ALL SELECT 'immigration', true, (SELECT count(*) FROM immigration)
 UNION ALL SELECT 'immigrant', true, (SELECT count(*) FROM immigrant)
 UNION ALL SELECT 'never_written', false, 0"""),
     "gate_after_empty_rerun": w(MART, """SELECT 'immigration' AS "table",
-       (SELECT count(*) FROM immigration WHERE i94dt = '199701') AS rows_before, 0 AS rows_after, true AS gate_failed
-UNION ALL SELECT 'immigrant', (SELECT count(*) FROM immigrant WHERE i94dt = '199701'), 0, true
-UNION ALL SELECT 'immigration_demographics', (SELECT count(*) FROM mart WHERE i94dt = '199701'), 0, true"""),
+       (SELECT count(*) FROM immigration WHERE i94dt = '199701') AS rows_before,
+       (SELECT count(*) FROM immigration WHERE i94dt = '199701') AS rows_after, true AS gate_failed
+UNION ALL SELECT 'immigrant', (SELECT count(*) FROM immigrant WHERE i94dt = '199701'),
+       (SELECT count(*) FROM immigrant WHERE i94dt = '199701'), true
+UNION ALL SELECT 'immigration_demographics', (SELECT count(*) FROM mart WHERE i94dt = '199701'),
+       (SELECT count(*) FROM mart WHERE i94dt = '199701'), true"""),
     "preview": w(FACTS, "SELECT * FROM immigration ORDER BY cicid LIMIT 5"),
     "period_params": """SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS period_key,
        lower(strftime(o_orderdate, '%b%y')) AS period_token FROM orders""",
@@ -450,3 +453,109 @@ FROM weather GROUP BY city, Month"""),
 }
 
 ORACLES["stream_ingest"] = w(FACTS, "SELECT * FROM immigration")
+
+# Records judged by membership, independent of the joins: the first code that is unknown.
+JUDGED = f"""{CONFORMED},
+judged AS (
+  SELECT a.*, CAST(CAST(a.i94yr AS INTEGER) AS VARCHAR)
+      || lpad(CAST(CAST(a.i94mon AS INTEGER) AS VARCHAR), 2, '0') AS i94dt,
+    CASE WHEN i94mode IS NULL OR i94mode NOT IN (SELECT {key_double('i94mode')} FROM i94mode) THEN 'mode'
+         WHEN i94mode NOT IN (SELECT {key_double('i94mode')} FROM i94mode WHERE mode = 'URGENT') THEN 'mode_label'
+         WHEN i94visa IS NULL OR i94visa NOT IN (SELECT {key_double('i94visa')} FROM i94visa) THEN 'visa'
+         WHEN i94addr IS NULL OR i94addr NOT IN (SELECT state_code FROM us_state) THEN 'state'
+         WHEN i94res IS NULL OR i94res NOT IN (SELECT {key_double('country_code')} FROM country) THEN 'residence'
+         WHEN i94cit IS NULL OR i94cit NOT IN (SELECT {key_double('country_code')} FROM country) THEN 'birth'
+    END AS rejected_by
+  FROM arrivals a)"""
+
+URGENT_MONTHS = "SELECT DISTINCT strftime(o_orderdate, '%Y%m') FROM orders WHERE substr(o_orderpriority, 3) = 'URGENT'"
+
+_CHANGED = f"""{MART},
+{WEATHER},
+changed AS (SELECT * FROM mart WHERE i94dt <> '{PERIOD_KEY}' OR cicid % 2 = 0)"""
+
+_PUBLISHED = """SELECT '{step}' AS step, 'immigration' AS "table", CAST({version} AS INTEGER) AS version,
+  (SELECT count(*) FROM immigration WHERE i94dt = '199701'{cut}) AS rows, {failed} AS gate_failed
+UNION ALL SELECT '{step}', 'immigrant', {version}, (SELECT count(*) FROM immigrant WHERE i94dt = '199701'{cut}), {failed}
+UNION ALL SELECT '{step}', 'immigration_demographics', {version},
+  (SELECT count(*) FROM mart WHERE i94dt = '199701'{cut}), {failed}"""
+
+_DELIVERIES = """kept AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+older AS (
+  SELECT * FROM kept WHERE o_orderkey % 20 <> 1
+  UNION ALL SELECT * FROM kept WHERE o_orderkey % 20 = 2 UNION ALL SELECT * FROM kept WHERE o_orderkey % 20 = 5),
+newer AS (
+  SELECT * REPLACE (CASE WHEN o_orderkey % 20 = 4 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+  FROM kept WHERE o_orderkey % 20 <> 3
+  UNION ALL SELECT * REPLACE (CAST(NULL AS DOUBLE) AS o_totalprice) FROM kept WHERE o_orderkey % 20 = 5
+  UNION ALL SELECT * FROM kept WHERE o_orderkey % 20 = 6),
+gained AS (SELECT * FROM newer EXCEPT ALL SELECT * FROM older),
+lost AS (SELECT * FROM older EXCEPT ALL SELECT * FROM newer),
+new_keys AS (SELECT o_orderkey, count(*) AS n FROM gained GROUP BY o_orderkey),
+old_keys AS (SELECT o_orderkey, count(*) AS n FROM lost GROUP BY o_orderkey)"""
+
+ORACLES |= {
+    "rejected_records": w(JUDGED, """SELECT cicid, i94dt, i94port, i94addr, rejected_by FROM judged
+WHERE rejected_by IS NOT NULL"""),
+    "reject_audit": w(JUDGED, """SELECT rejected_by, CAST(count(*) AS BIGINT) AS records, CAST(count(*) AS BIGINT) AS rows, i94dt
+FROM judged GROUP BY rejected_by, i94dt"""),
+    "reject_reconciliation": w(JUDGED, f"""SELECT i94dt, CAST(count(*) AS BIGINT) AS read,
+  CAST(count(*) FILTER (rejected_by IS NULL) AS BIGINT) AS kept,
+  CAST(count(*) FILTER (rejected_by IS NOT NULL) AS BIGINT) AS rejected, true AS balanced
+FROM judged WHERE i94dt IN ({URGENT_MONTHS}) GROUP BY i94dt"""),
+    "publish_cycle": w(MART, "\nUNION ALL ".join([
+        _PUBLISHED.format(step="published", version=1, cut="", failed="false"),
+        _PUBLISHED.format(step="broken rerun", version=1, cut="", failed="true"),
+        _PUBLISHED.format(step="good rerun", version=2, cut=" AND cicid % 2 = 0", failed="false")])),
+    "asof_temperature": w(f"{I94MODE},\n{ARRIVALS},\n{WEATHER}", f""",
+readings AS (
+  SELECT lower(city) AS city, CAST(date AS DATE) AS day, max(TRY_CAST(AverageTemperature AS DOUBLE)) AS temperature
+  FROM weather WHERE TRY_CAST(AverageTemperature AS DOUBLE) IS NOT NULL GROUP BY ALL),
+asked AS (
+  SELECT a.cicid, m.mode AS city, {iso_day('a.arrdate')} AS arrival_date
+  FROM arrivals a JOIN i94mode m ON a.i94mode = {key_double('m.i94mode')})
+SELECT asked.cicid, asked.city, asked.arrival_date, readings.temperature, readings.day AS measured_on
+FROM asked ASOF LEFT JOIN readings ON lower(asked.city) = readings.city AND CAST(asked.arrival_date AS DATE) >= readings.day"""),
+    "presence_by_state": w(FACTS, """,
+stays AS (
+  SELECT state_code, CAST(arrival_date AS DATE) AS a, CAST(departure_date AS DATE) AS d FROM immigration
+  WHERE arrival_date IS NOT NULL AND (departure_date IS NULL OR departure_date >= arrival_date)),
+ends AS (SELECT min(a) AS lo, max(greatest(a, coalesce(d, a))) AS hi FROM stays),
+days AS (
+  SELECT state_code, CAST(unnest(range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM (SELECT DISTINCT state_code FROM stays), ends)
+SELECT days.state_code, days.day, CAST(count(s.a) AS BIGINT) AS present, CAST(count(*) FILTER (s.a = days.day) AS BIGINT) AS arrived,
+  CAST((SELECT count(*) FROM stays g WHERE g.state_code = days.state_code AND g.d + 1 = days.day) AS BIGINT) AS "left"
+FROM days LEFT JOIN stays s ON s.state_code = days.state_code AND days.day BETWEEN s.a AND coalesce(s.d, DATE '9999-12-31')
+GROUP BY days.state_code, days.day"""),
+    "top_origins": w(MART, """SELECT i94dt, city, residence_country, CAST(count(*) AS BIGINT) AS visitors,
+  CAST(row_number() OVER (PARTITION BY i94dt, city ORDER BY count(*) DESC, residence_country NULLS FIRST) AS INTEGER) AS place
+FROM mart GROUP BY i94dt, city, residence_country QUALIFY place <= 5"""),
+    "report_totals": w(MART, """SELECT i94dt, residence_country, city, state_code, visa, visatype,
+  CAST(count(*) AS BIGINT) AS visitors, CAST(count(DISTINCT airport_code) AS BIGINT) AS airports, avg(age) AS avg_age,
+  CAST(GROUPING(i94dt, residence_country, city, state_code, visa, visatype) AS BIGINT) AS grouping_id
+FROM mart GROUP BY GROUPING SETS (
+  (i94dt, residence_country), (i94dt), (), (i94dt, city, state_code), (i94dt, city),
+  (visa, visatype, city), (visa, visatype), (visa))"""),
+    "reports_by_parts": w(_CHANGED, """SELECT 'r1' AS report, i94dt AS key0, residence_country AS key1, CAST(NULL AS VARCHAR) AS key2,
+  CAST(count(*) AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS value0, CAST(NULL AS DOUBLE) AS value1
+FROM changed GROUP BY i94dt, residence_country
+UNION ALL SELECT 'r2', i94dt, city, state_code, count(*), CAST(count(DISTINCT airport_code) AS DOUBLE), NULL
+FROM changed GROUP BY i94dt, city, state_code
+UNION ALL SELECT 'r3', city, state_code, NULL, count(*), CAST(max(TRY_CAST(population AS BIGINT)) AS DOUBLE),
+  max(TRY_CAST(median_age AS DOUBLE)) FROM changed GROUP BY city, state_code
+UNION ALL SELECT 'r4', city, CAST(Month AS VARCHAR), NULL, count(TRY_CAST(AverageTemperature AS DOUBLE)),
+  avg(TRY_CAST(AverageTemperature AS DOUBLE)), NULL FROM weather GROUP BY city, Month
+UNION ALL SELECT 'r5', visa, visatype, city, count(*), avg(age), NULL FROM changed GROUP BY visa, visatype, city"""),
+    "sketch_estimates": w(MART, """SELECT city, CAST(count(*) AS BIGINT) AS visits,
+  CAST(count(DISTINCT i94dt || '/' || CAST(cicid AS VARCHAR)) AS BIGINT) AS travellers, true AS distinct_within, true AS median_within
+FROM mart GROUP BY city"""),
+    "delivery_changes": w(_DELIVERIES, """SELECT CASE WHEN l.n IS NULL THEN 'added' ELSE 'corrected' END AS change,
+  CAST(count(*) AS BIGINT) AS copies, g.o_orderkey, g.o_custkey, g.o_orderstatus, g.o_totalprice
+FROM gained g LEFT JOIN old_keys l USING (o_orderkey) GROUP BY ALL
+UNION ALL SELECT 'removed', CAST(count(*) AS BIGINT), l.o_orderkey, l.o_custkey, l.o_orderstatus, l.o_totalprice
+FROM lost l LEFT JOIN new_keys g USING (o_orderkey) WHERE g.n IS NULL GROUP BY ALL"""),
+    "event_windows": """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, CAST(count(*) AS BIGINT) AS events,
+  min(value) AS lowest, max(value) AS highest, CAST(sum(CAST(value AS DECIMAL(28,4))) AS DOUBLE) AS total
+FROM events GROUP BY ALL""",
+}
