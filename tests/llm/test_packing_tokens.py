@@ -76,14 +76,18 @@ def test_fill_finds_exact_sums():
 def test_fast_encoder_gives_the_ids_of_the_tokenizer_file():
     public = pytest.importorskip("public_tokenizers")
     reference = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
-    encode = packing.public_encoder()
+    encode, ordinary = packing.public_encoder(), packing.ordinary_encoder()
     rng = random.Random(3)
     alphabet = "aeinst AEI  \n\t\r.,!?'’ßéñ漢字ж😀👩‍👩‍👧\u200b\u00a0\x00\x1c0123456789-_=<|>"
-    texts = ["", " ", "<|endoftext|>", "it's we'll DON'T", "a" * 3000] + [
+    texts = ["", " ", "<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", " x<|endoftext|>  y\n<|endoftext|>",
+             "<|endoftext|", "<|<|endoftext|>|>", "it's we'll DON'T", "a" * 3000] + [
         "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 200))) for _ in range(500)]
+    texts += [rng.choice(texts)[:40] + "<|endoftext|>" + rng.choice(texts)[:40] for _ in range(200)]
     for text in texts:
         assert encode(text) == reference.encode(text, add_special_tokens=False).ids
+        assert 50256 not in ordinary(text)
+    reference.encode_special_tokens = True
+    assert all(ordinary(text) == reference.encode(text, add_special_tokens=False).ids for text in texts)
 
 
 def test_empty_table(spark):

@@ -17,6 +17,7 @@ where they lie, and only unfilled windows are shuffled.
 from __future__ import annotations
 
 import base64
+import json
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -40,17 +41,33 @@ PIECES = ("doc_id {id}, start long, length long, doc_tokens long, sequence_id lo
 
 
 @cache
-def byte_bpe_encoder(ranks_path: str, pattern: str):
-    """Byte-level BPE from a file of ranks; special strings in a text are ordinary text."""
+def byte_bpe_encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()):
+    """Byte-level BPE from a file of ranks, with the ids of special strings."""
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+
+
+@cache
+def added_tokens(tokenizer_path: str) -> tuple[tuple[str, int], ...]:
+    """The strings that a tokenizers file takes out of a text before anything else, and their ids."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return tuple((token["content"], token["id"]) for token in json.load(file)["added_tokens"])
 
 
 def public_encoder() -> Callable[[str], list[int]]:
-    """Ids of the public ``byte_bpe_50k`` vocabulary (the same as its tokenizers file gives)."""
+    """Ids of the public ``byte_bpe_50k`` vocabulary, those its tokenizers file gives: special strings included."""
+    import public_tokenizers
+
+    special = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    own = byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special)
+    return lambda text: own.encode(text, allowed_special="all", disallowed_special=())
+
+
+def ordinary_encoder() -> Callable[[str], list[int]]:
+    """Ids of the same vocabulary with special strings as ordinary text: no text encodes to a special id."""
     import public_tokenizers
 
     return byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode_ordinary

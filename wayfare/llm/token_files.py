@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from wayfare.session import scratch_path
 
-from .packing import public_encoder
+from .packing import ordinary_encoder
 from .staging import stage
 
 SEPARATOR = 50256             # <|endoftext|> of byte_bpe_50k, which no text encodes to
@@ -35,7 +35,7 @@ DTYPE = "<u2"                 # ids below 65536
 TASK_BYTES = 32 << 20         # of token files that a task reads, about
 
 
-def write_token_files(docs: DataFrame, encoder: Callable[[], Callable[[str], list[int]]] = public_encoder,
+def write_token_files(docs: DataFrame, encoder: Callable[[], Callable[[str], list[int]]] = ordinary_encoder,
                       separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, dtype: str = DTYPE, id_col: str = "doc_id",
                       text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Tokenise documents into one flat file per task, in the shared scratch folder.
@@ -168,7 +168,7 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTY
     return complete.unionByName(open_end)
 
 
-def document_token_counts(docs: DataFrame, encoder: Callable[[], Callable[[str], list[int]]] = public_encoder,
+def document_token_counts(docs: DataFrame, encoder: Callable[[], Callable[[str], list[int]]] = ordinary_encoder,
                           separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS,
                           dtype: str = DTYPE) -> DataFrame:
     """Write ``docs`` as token files, scan those, and give each document its count."""
