@@ -57,6 +57,42 @@ def test_components_against_all_pairs(spark, n, percent):
     assert sorted(map(tuple, got), key=str) == brute_components(rows, n, percent)
 
 
+def near_misses(rng, texts, length=100, replaced=1):
+    """Copies of one text, each with another word replaced: most pairs are just under 0.85."""
+    base, rows = words(rng, length), []
+    for k in range(texts):
+        copy = list(base)
+        for _ in range(replaced):
+            copy[rng.randrange(length)] = f"new{rng.randrange(10 ** 9)}"
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize(("classes", "sample", "grams", "n", "percent"), [
+    (2, 33, 1 << 21, 4, 85), (2, 3, 200, 5, 80), (5, 1, 1, 4, 85), (32, 33, 1 << 21, 5, 80)])
+def test_families_of_near_misses_against_all_pairs(spark, monkeypatch, classes, sample, grams, n, percent):
+    for name, value in (("FAMILY_CLASSES", classes), ("FAMILY_SAMPLE", sample), ("FAMILY_GRAMS", grams)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(classes + sample)
+    rows = near_misses(rng, 90) + [(1000 + k, t) for k, t in near_misses(rng, 60, 60, 2)]
+    rows += [(2000 + k, t + " " + " ".join(words(rng, k % 9))) for k, t in near_misses(rng, 50, 40, 1)] + near_copies(rng)[:60]
+    rows += awkward(rng)
+    rng.shuffle(rows)
+    got = jaccard_join.jaccard_components(documents(spark, rows), n=n, percent=percent).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows, n, percent)
+
+
+def test_near_misses_do_not_cost_all_their_pairs(spark, monkeypatch):
+    """Of 1500 texts just under the threshold of one another, few pairs are looked at, and one component comes out."""
+    rows = near_misses(random.Random(2), 1500)
+    looked_at = []
+    checked = jaccard_join._checked
+    monkeypatch.setattr(jaccard_join, "_checked", lambda pairs, *rest: (looked_at.append(pairs.count()), checked(pairs, *rest))[1])
+    got = jaccard_join.jaccard_components(documents(spark, rows), n=4, percent=85).collect()
+    assert {r["component_id"] for r in got} == {0}
+    assert sum(looked_at) < 20 * len(rows)
+
+
 @pytest.mark.parametrize(("size", "share", "percent"), [(1000, 100_000, 85), (7, 0, 85), (7, 10 ** 9, 60)])
 def test_links_against_all_pairs(spark, monkeypatch, size, share, percent):
     """Every pair of a group of near copies is there, not only what joins its members to the group."""

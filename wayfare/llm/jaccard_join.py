@@ -10,9 +10,10 @@ verified once on its whole n-gram sets.
 Equal sets are one class and meet as one.  Within the list of texts that share
 a prefix n-gram, all texts are first compared with the one that holds it
 earliest (a star); the list is searched for further pairs only between texts
-that these links leave in different components.  No link that joins two
-components is lost, and a large group of near copies costs a star, not all its
-pairs.  That shortcut is for components only; ``jaccard_links`` looks through
+that these links leave in different components, and a long list by what each of
+its texts has different from the set that most of them share.  No link that
+joins two components is lost, and a large group of near copies, or of texts that
+just miss the threshold, costs stars, not all its pairs.  That shortcut is for components only; ``jaccard_links`` looks through
 every list whole and returns all links.
 """
 
@@ -36,6 +37,9 @@ CANDIDATE_BITS = 26      # bits of the candidate filter (8 MB)
 PARTS = 128              # parts of the hash range that the suffix filter counts in
 HOT_SHARE = 100_000      # an n-gram is hot if its bucket has over one in so many of all n-grams
 SALTS = 64               # a hot n-gram's list is looked through in so many parts
+FAMILY_CLASSES = 32      # a longer list with several components is compared by what its texts differ in
+FAMILY_SAMPLE = 33       # classes of a list (under 256) that tell what most of them share,
+FAMILY_GRAMS = 1 << 21   # and n-grams of them, but one whole set
 LIST_CLASSES = 1000      # classes of a list that a part compares with all of it, where all links are wanted
 
 
@@ -285,11 +289,20 @@ def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
          pa.array([r[2] for r in rows], pa.binary())], names=["hi", "lo", "grams"])
 
 
+def _sets_of(docs: DataFrame, n: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """N-gram sets of the classes in ``ids`` (cid)."""
+    return stage(_candidate_sets(docs, n, stage(classes.join(ids, "cid"), "jaccard-wanted")), "jaccard-sets")
+
+
 def _verified(docs: DataFrame, n: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of class ids that link; each is verified once."""
     pairs = stage(_may_overlap(pairs, classes, percent), "jaccard-pairs")
     ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    sets = stage(_candidate_sets(docs, n, stage(classes.join(ids, "cid"), "jaccard-wanted")), "jaccard-sets")
+    return _checked(pairs, _sets_of(docs, n, classes, ids), percent)
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
     both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("left")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("grams").alias("right")), "b")
             .select("a", "b", "left", "right"))
@@ -321,6 +334,128 @@ def _postings(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFra
     return rows, classes, postings
 
 
+def _families(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """What most classes of each large list have in common: token, family, union, core, odd.
+
+    A family is the digest of that common set (``core`` marks it in ``union``, the
+    n-grams that a sample of the list has more than once), so that lists of the same
+    texts are one; ``odd`` counts how many of the sample differ from the common set
+    at an n-gram.
+    The sample is bounded; it decides the speed, not the result.
+    """
+    by_hash = Window.partitionBy("token").orderBy(F.xxhash64("cid"), "cid")
+    sample = (large.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= FAMILY_SAMPLE)
+              .withColumn("grams_so_far", F.sum("size").over(by_hash))
+              .filter((F.col("nth") == 1) | (F.col("grams_so_far") <= FAMILY_GRAMS)).select("token", "cid"))
+
+    def common(table: pa.Table) -> pa.Table:
+        own = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
+        union, counts = np.unique(np.concatenate(own), return_counts=True)
+        core = 2 * counts > len(own)
+        kept = core | (counts > 1)
+        union, counts, core = union[kept], counts[kept], core[kept]
+        hi, lo = _digest(union[core])
+        return pa.table({"token": pa.array([table["token"][0].as_py()], pa.int64()), "hi": pa.array([hi], pa.int64()),
+                         "lo": pa.array([lo], pa.int64()), "union": pa.array([union.tobytes()], pa.binary()),
+                         "core": pa.array([core.tobytes()], pa.binary()),
+                         "odd": pa.array([np.where(core, len(own) - counts, counts).astype(np.uint8).tobytes()], pa.binary())})
+
+    return stage(sample.join(sets, "cid").select("token", "grams").groupBy("token").applyInArrow(
+        common, "token long, hi long, lo long, union binary, core binary, odd binary"), "jaccard-families")
+
+
+def _differences(members: DataFrame, percent: int) -> DataFrame:
+    """How each class of a family differs from the family's common set.
+
+    A row per class (w null) with the number ``d`` of n-grams that only one of the
+    two has, and a row for each of the first of them, the rarest in the sample first.
+    """
+    def scan(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                union, core = np.frombuffer(row["union"], np.uint64), np.frombuffer(row["core"], bool)
+                odd = np.frombuffer(row["odd"], np.uint8)
+                differs = np.setxor1d(np.frombuffer(row["grams"], np.uint64), union[core], assume_unique=True)
+                often = np.zeros(len(differs), np.uint8)
+                if len(union):
+                    at = np.minimum(np.searchsorted(union, differs), len(union) - 1)
+                    often = np.where(union[at] == differs, odd[at], 0)
+                first = differs[np.lexsort((differs, often))][:row["size"] * (100 - percent) // percent + 1].view(np.int64)
+                rows = len(first) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row[c]] * rows, t) for c, t in (("hi", pa.int64()), ("lo", pa.int64()), ("cid", pa.int64()),
+                                                             ("size", pa.int32()))]
+                    + [pa.array([len(differs)] * rows, pa.int32()), pa.array([None, *first.tolist()], pa.int64()),
+                       pa.array([None, *range(len(first))], pa.int32())],
+                    names=["hi", "lo", "cid", "size", "d", "w", "at"])
+
+    return stage(members.mapInArrow(scan, "hi long, lo long, cid long, size int, d int, w long, at int"), "jaccard-differences")
+
+
+def _may_meet(percent: int, size_a, d_a, at_a, size_b, d_b, at_b) -> Column:
+    """Length filter, and the positional filter on what two classes of a family differ in.
+
+    Sets that link differ in at most H n-grams, so of d_a + d_b differences from
+    the common set at least (d_a + d_b - H) / 2 are shared.
+    """
+    both = size_a + size_b
+    most = both - 2 * F.ceil(both * percent / (100 + percent))
+    shared = F.greatest(F.lit(1), F.ceil((d_a + d_b - most) / 2))
+    return ((F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent)
+            & (at_a <= d_a - shared) & (at_b <= d_b - shared))
+
+
+def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Links that join the components left in large lists, without comparing all their pairs.
+
+    Texts of a large list are mostly one another's near misses: they share almost
+    all n-grams, and n-grams tell them apart only by being missing.  So each is
+    described by what it has different from the set that most of them share.  Two
+    that differ from it so little together that they link by that alone both link
+    with the one that differs least: a star.  All others that link have a
+    difference in common, so they meet on differences, rarest first.  There, too,
+    a star of each list comes first, and only components left apart are compared
+    pair by pair.
+    """
+    sets = _sets_of(docs, n, classes, large.select("cid").distinct())
+    families = _families(large, sets)
+    one_each = families.groupBy("hi", "lo").agg(F.min(F.struct("token", "union", "core", "odd")).alias("f")).select(
+        "hi", "lo", "f.union", "f.core", "f.odd")
+    member_of = large.join(families.select("token", "hi", "lo"), "token").select("hi", "lo", "cid", "size").distinct()
+    differing = _differences(member_of.join(one_each, ["hi", "lo"]).join(sets, "cid"), percent)
+
+    def apart(df: DataFrame, known: DataFrame) -> DataFrame:
+        return df.join(known, df["cid"] == known["node"], "left").drop("node").withColumn("root", F.coalesce("root", "cid"))
+
+    def pair(x: str, y: str) -> list[Column]:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    known = stage(connected_components(links), "jaccard-roots")
+    labelled = stage(apart(differing, known), "jaccard-labelled")
+    spare = F.col("size") * (100 - percent) - F.col("d") * (100 + percent)     # below 0: too far from the common set
+    members = labelled.filter("w is null").withColumn("spare", spare)
+    least = members.groupBy("hi", "lo").agg(F.max(F.struct("spare", "cid", "root")).alias("m"))
+    certain = members.join(least, ["hi", "lo"]).filter("root <> m.root and spare + m.spare >= 0").select(*pair("cid", "m.cid"))
+    listed = labelled.filter("w is not null")
+    first = listed.groupBy("hi", "lo", "w").agg(F.min(F.struct("at", "d", "size", "cid", "root")).alias("m"))
+    star = listed.join(first, ["hi", "lo", "w"]).filter(F.col("root") != F.col("m.root")).filter(_may_meet(
+        percent, F.col("size"), F.col("d"), F.col("at"), F.col("m.size"), F.col("m.d"), F.col("m.at"))).select(*pair("cid", "m.cid"))
+    compared = stage(certain.unionByName(star).distinct(), "jaccard-further")
+    found = stage(_checked(compared, sets, percent), "jaccard-links")
+
+    known = stage(connected_components(links.unionByName(found)), "jaccard-roots")
+    listed = stage(apart(listed.drop("root"), known), "jaccard-labelled")
+    mixed = listed.groupBy("hi", "lo", "w").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    rest = stage(listed.join(mixed.drop("x", "y"), ["hi", "lo", "w"], "left_semi"), "jaccard-apart")
+    l, r = rest.alias("l"), rest.alias("r")
+    same = (F.col("l.hi") == F.col("r.hi")) & (F.col("l.lo") == F.col("r.lo")) & (F.col("l.w") == F.col("r.w"))
+    pairs = (l.join(r, same & (F.col("l.root") < F.col("r.root")) & _may_meet(
+        percent, F.col("l.size"), F.col("l.d"), F.col("l.at"), F.col("r.size"), F.col("r.d"), F.col("r.at")))
+        .select(*pair("l.cid", "r.cid")).distinct().join(compared, ["a", "b"], "left_anti"))
+    pairs = stage(_may_overlap(stage(pairs, "jaccard-further"), classes, percent), "jaccard-pairs")
+    return found.unionByName(stage(_checked(pairs, sets, percent), "jaccard-links"))
+
+
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """All pairs under "n-gram Jaccard >= percent / 100", as links between classes and the classes' members.
@@ -383,15 +518,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed = (labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
              .filter("x <> y").select("token"))
     apart = stage(labelled.join(mixed, "token", "left_semi"), "jaccard-apart")
-    l, r = apart.alias("l"), apart.alias("r")
+    lists = stage(apart.groupBy("token").agg((F.count("*") > FAMILY_CLASSES).alias("large")), "jaccard-lists")
+    small = apart.join(lists.filter("not large"), "token", "left_semi")
+    l, r = small.alias("l"), small.alias("r")
     further = (l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.root") < F.col("r.root"))
                       & _may_link(percent, F.col("l.size"), F.col("l.pos"), F.col("r.size"), F.col("r.pos")))
                .select(F.least("l.cid", "r.cid").alias("a"), F.greatest("l.cid", "r.cid").alias("b")).distinct()
                .join(star, ["a", "b"], "left_anti"))
     further = stage(further, "jaccard-further")
-    more = stage(_verified(docs, n, percent, further, classes), "jaccard-links")
+    links = links.unionByName(stage(_verified(docs, n, percent, further, classes), "jaccard-links"))
+    large = apart.join(lists.filter("large"), "token", "left_semi")
+    if not lists.filter("large").isEmpty():
+        links = links.unionByName(_family_links(docs, n, percent, large.select("token", "cid", "size"), classes, links))
 
-    roots = stage(connected_components(links.unionByName(more)), "jaccard-roots")
+    roots = stage(connected_components(links), "jaccard-roots")
     in_groups = classes.drop("n", "parts").join(roots, classes["cid"] == roots["node"], "left").select(
         "hi", "lo", "first_id", F.coalesce("root", "cid").alias("root"))
     lowest = in_groups.groupBy("root").agg(F.min("first_id").alias("lowest"))
@@ -402,15 +542,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose doc_id is the smallest of its component, unchanged.
+    """One document of each component, unchanged: the one with the smallest doc_id.
 
-    Documents linked with nothing stay, those without words and those with a
-    null id included.  Rows that share a doc_id are judged together: one stays if
-    any of them is the first of its component.
+    A document is judged by its id and a digest of its text, so a text with a null
+    or a shared id is judged as itself; null ids come last, equal ids go by the
+    digest.  Rows with one id and one text are one document and stay or go
+    together.  Documents linked with nothing stay, those without words included.
+    Other columns may have any names.
     """
-    groups = stage(jaccard_components(docs, n=n, percent=percent), "jaccard-groups")
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("first_id"))
+    text = F.col("text").cast("string")
+    digest = F.sha2(text, 256)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), digest.alias("digest"))
+    groups = jaccard_components(docs.select(key.alias("key"), text.alias("text")), "key", n=n, percent=percent)
     # Staged: its size on disk lets Spark choose the join.
-    gone = stage(gone.join(first, F.col("gone_id") == F.col("first_id"), "left_anti").distinct(), "jaccard-gone")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    gone = stage(groups.filter("not (doc_id <=> component_id)").select(
+        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.digest").alias("gone_text")).distinct(), "jaccard-gone")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.sha2(docs["text"].cast("string"), 256) == gone["gone_text"]),
+                     "left_anti")
