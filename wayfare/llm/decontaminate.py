@@ -210,12 +210,12 @@ def contamination(hits: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, unchanged.
 
-    Rows are recognised by id; of rows that share an id all stay if one is clean.
+    Texts are judged, not ids: rows are recognised by a digest of their text, so
+    null and shared ids do not matter.  Null texts stay.  Other columns may have
+    any names.
     """
-    judged = contamination(benchmark_hits(docs, benchmark))
-    judged = stage(judged, "contaminated")
-    gone = (judged.filter("contaminated").select(F.col("doc_id").alias("gone_id"))
-            .join(judged.filter("not contaminated").select(F.col("doc_id").alias("clean_id")),
-                  F.col("gone_id") == F.col("clean_id"), "left_anti").distinct())
-    gone = stage(gone, "contaminated")  # its size on disk lets Spark choose the join
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    text = F.col("text").cast("string")
+    judged = contamination(benchmark_hits(docs.select(F.sha2(text, 256).alias("digest"), text.alias("text")), benchmark, "digest"))
+    gone = stage(judged.filter("contaminated").select(F.col("doc_id").alias("gone_text")).distinct(),
+                 "contaminated")  # its size on disk lets Spark choose the join
+    return docs.join(gone, F.sha2(docs["text"].cast("string"), 256) == gone["gone_text"], "left_anti")
