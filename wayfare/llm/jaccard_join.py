@@ -405,8 +405,17 @@ def _may_meet(percent: int, size_a, d_a, at_a, size_b, d_b, at_b) -> Column:
             & (at_a <= d_a - shared) & (at_b <= d_b - shared))
 
 
-def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Links that join the components left in large lists, without comparing all their pairs.
+def _joined(links: DataFrame, roots: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links, and the components that they make; these stay as they are where no link is new."""
+    if more.isEmpty():
+        return links, roots
+    links = links.unionByName(more)
+    return links, stage(connected_components(links), "jaccard-roots")
+
+
+def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, classes: DataFrame, links: DataFrame,
+                  roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Join the components left in large lists, without comparing all their pairs: all links, and the components.
 
     Texts of a large list are mostly one another's near misses: they share almost
     all n-grams, and n-grams tell them apart only by being missing.  So each is
@@ -430,8 +439,7 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     def pair(x: str, y: str) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    known = stage(connected_components(links), "jaccard-roots")
-    labelled = stage(apart(differing, known), "jaccard-labelled")
+    labelled = stage(apart(differing, roots), "jaccard-labelled")
     spare = F.col("size") * (100 - percent) - F.col("d") * (100 + percent)     # below 0: too far from the common set
     members = labelled.filter("w is null").withColumn("spare", spare)
     least = members.groupBy("hi", "lo").agg(F.max(F.struct("spare", "cid", "root")).alias("m"))
@@ -441,10 +449,9 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     star = listed.join(first, ["hi", "lo", "w"]).filter(F.col("root") != F.col("m.root")).filter(_may_meet(
         percent, F.col("size"), F.col("d"), F.col("at"), F.col("m.size"), F.col("m.d"), F.col("m.at"))).select(*pair("cid", "m.cid"))
     compared = stage(certain.unionByName(star).distinct(), "jaccard-further")
-    found = stage(_checked(compared, sets, percent), "jaccard-links")
+    links, roots = _joined(links, roots, stage(_checked(compared, sets, percent), "jaccard-links"))
 
-    known = stage(connected_components(links.unionByName(found)), "jaccard-roots")
-    listed = stage(apart(listed.drop("root"), known), "jaccard-labelled")
+    listed = stage(apart(listed.drop("root"), roots), "jaccard-labelled")
     mixed = listed.groupBy("hi", "lo", "w").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     rest = stage(listed.join(mixed.drop("x", "y"), ["hi", "lo", "w"], "left_semi"), "jaccard-apart")
     l, r = rest.alias("l"), rest.alias("r")
@@ -453,7 +460,7 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
         percent, F.col("l.size"), F.col("l.d"), F.col("l.at"), F.col("r.size"), F.col("r.d"), F.col("r.at")))
         .select(*pair("l.cid", "r.cid")).distinct().join(compared, ["a", "b"], "left_anti"))
     pairs = stage(_may_overlap(stage(pairs, "jaccard-further"), classes, percent), "jaccard-pairs")
-    return found.unionByName(stage(_checked(pairs, sets, percent), "jaccard-links"))
+    return _joined(links, roots, stage(_checked(pairs, sets, percent), "jaccard-links"))
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -511,7 +518,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     star = stage(star, "jaccard-star")
     links = stage(_verified(docs, n, percent, star, classes), "jaccard-links")
 
-    roots = connected_components(links)
+    roots = stage(connected_components(links), "jaccard-roots")
     labelled = stage(postings.join(roots, postings["cid"] == roots["node"], "left")
                      .select("token", "cid", "size", "pos", F.coalesce("root", "cid").alias("root")),
                      "jaccard-labelled")
@@ -526,12 +533,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .select(F.least("l.cid", "r.cid").alias("a"), F.greatest("l.cid", "r.cid").alias("b")).distinct()
                .join(star, ["a", "b"], "left_anti"))
     further = stage(further, "jaccard-further")
-    links = links.unionByName(stage(_verified(docs, n, percent, further, classes), "jaccard-links"))
-    large = apart.join(lists.filter("large"), "token", "left_semi")
+    links, roots = _joined(links, roots, stage(_verified(docs, n, percent, further, classes), "jaccard-links"))
     if not lists.filter("large").isEmpty():
-        links = links.unionByName(_family_links(docs, n, percent, large.select("token", "cid", "size"), classes, links))
+        large = apart.join(lists.filter("large"), "token", "left_semi").select("token", "cid", "size")
+        links, roots = _family_links(docs, n, percent, large, classes, links, roots)
 
-    roots = stage(connected_components(links), "jaccard-roots")
     in_groups = classes.drop("n", "parts").join(roots, classes["cid"] == roots["node"], "left").select(
         "hi", "lo", "first_id", F.coalesce("root", "cid").alias("root"))
     lowest = in_groups.groupBy("root").agg(F.min("first_id").alias("lowest"))
