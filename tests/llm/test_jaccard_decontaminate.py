@@ -226,7 +226,7 @@ def test_hits_against_plain_search(spark, contaminated, block_bytes):
 def test_contaminated_documents_go_and_clean_ones_stay(spark, contaminated):
     rows, items = contaminated
     kept = decontaminate.drop_contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
-    want = sorted((d for d, n, hit, _ in brute_hits(rows, items) if d is None or not hit or 20 * hit < n), key=str)
+    want = sorted((d for d, n, hit, _ in brute_hits(rows, items) if not hit or 20 * hit < n), key=str)
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == want
 
 
@@ -238,5 +238,29 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(decontaminate.benchmark_hits(docs, no_items)).first()["contaminated"] is False
 
 
-def test_merge_spans():
-    assert decontaminate.merge_spans([(5, 7), (1, 3), (3, 4), (6, 9)]) == [(1, 4), (5, 9)]
+def test_merged_spans(spark):
+    from pyspark.sql import functions as F
+    rows = [([(5, 7), (1, 3), (3, 4), (6, 9)],), ([],), ([(1, 9), (2, 3), (11, 12)],), ([(k, k + 1) for k in range(500, 0, -2)],)]
+    df = spark.createDataFrame(rows, "spans array<struct<start:long,end:long>>")
+    got = [[tuple(s) for s in r[0]] for r in df.select(decontaminate.merged_spans(F.col("spans"))).collect()]
+    assert got == [[(1, 4), (5, 9)], [], [(1, 9), (11, 12)], [(k, k + 1) for k in range(2, 501, 2)]]
+
+
+def test_several_blocks_with_repeated_rows_and_shared_ids(spark):
+    rng = random.Random(12)
+    items = [(f"i{k % 9}", " ".join(words(rng, 20, 50))) for k in range(30)]
+    rows = [(rng.choice([1, 2, None]), " ".join(words(rng, 8, 50) + items[rng.randrange(30)][1].split()[:rng.randrange(21)]
+                                               + items[rng.randrange(30)][1].split())) for _ in range(20)]
+    rows += rows[:6] + [(1, None), (1, None), (None, "")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    hits = decontaminate.benchmark_hits(documents(spark, rows), benchmark, block_bytes=200)
+    got = [(r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), tuple(r["items"])) for r in hits.collect()]
+    assert sorted(got, key=str) == brute_hits(rows, items)
+    assert all(a["end"] < b["start"] for r in hits.collect() for a, b in zip(r["spans"], r["spans"][1:]))
+
+
+def test_phrases_of_many_windows_are_small():
+    import pickle
+    items = [(str(k), " ".join(words(random.Random(k), 100, 20_000))) for k in range(500)]
+    phrases = decontaminate.Phrases(items, 13)
+    assert len(phrases.rows) == 500 * 88 and len(pickle.dumps(phrases)) < 90 * len(phrases.rows)

@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordscan as ws
@@ -24,33 +24,45 @@ from .staging import stage
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20            # text of one indexed shard
-BLOCK_BYTES = 32 << 20           # benchmark text that is searched in one scan
+BLOCK_BYTES = 4 << 20            # benchmark text that is searched in one scan: some 600,000 windows, 40 MB
 
 
 class Phrases:
-    """Distinct windows of benchmark items, as rows of word numbers (1 and up)."""
+    """Distinct windows of benchmark items, as rows of word numbers (1 and up; 0 fills short ones).
+
+    Arrays only: 52 bytes a window and 4 for each item that has it; the items are
+    ``items[owners[owner_at[k]:owner_at[k + 1]]]`` for window k.
+    """
 
     def __init__(self, items: list[tuple], window: int):
         texts = pa.array([t or "" for _, t in items], pa.string())
-        words: list[np.ndarray] = []
-        for row, end, data, offsets in ws.text_slices(texts):
+        words, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for _, _, data, offsets in ws.text_slices(texts):
             starts, ends, at = ws.find_words(data, offsets, ws.ALPHANUMERIC)
-            hashes = ws.hash_words(data, starts, ends)
-            words += [hashes[at[k]:at[k + 1]] for k in range(end - row)]
-        self.vocabulary = np.unique(np.concatenate(words)) if words else np.empty(0, np.uint64)
-        owners: dict[bytes, set] = defaultdict(set)
-        for (item, _), own in zip(items, words, strict=True):
-            numbers = np.searchsorted(self.vocabulary, own) + 1
-            for k in range(max(1, len(own) - window + 1) if len(own) else 0):
-                owners[numbers[k:k + window].tobytes()].add(str(item))
-        rows = [np.frombuffer(k, np.int64) for k in owners]
-        self.owners = [tuple(sorted(v)) for v in owners.values()]
-        self.lengths = np.array([len(r) for r in rows], np.int64)
-        self.rows = np.zeros((len(rows), window), np.int64)
-        for k, row in enumerate(rows):
-            self.rows[k, :len(row)] = row
+            words.append(ws.hash_words(data, starts, ends))
+            sizes.append(np.diff(at))
+        hashes, size = np.concatenate(words), np.concatenate(sizes)
+        self.vocabulary, numbers = np.unique(hashes, return_inverse=True)
+        numbers = np.concatenate([numbers.astype(np.int32) + 1, np.zeros(window, np.int32)])
+        self.items, owner_of = np.unique(np.array([str(item) for item, _ in items], dtype=object), return_inverse=True)
+        # an item has a window at each of its words that window - 1 others follow, and one if it has fewer words
+        windows = np.where(size > 0, np.maximum(size - window + 1, 1), 0)
+        item = np.repeat(np.arange(len(size)), windows)
+        nth = np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
+        start = (np.cumsum(size) - size)[item] + nth
+        length = np.minimum(size[item], window)
+        rows = np.lib.stride_tricks.sliding_window_view(numbers, window)[start]      # a copy
+        rows[np.arange(window)[None, :] >= length[:, None]] = 0
+        self.rows, which = np.unique(rows, axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([which.reshape(-1), owner_of[item]]), axis=1) if len(item) else np.empty((2, 0), np.int64)
+        self.owners = pairs[1].astype(np.int32)
+        self.owner_at = np.searchsorted(pairs[0], np.arange(len(self.rows) + 1))
+        self.lengths = (self.rows > 0).sum(axis=1)
         self.shortest = int(self.lengths.min(initial=window))
 
+    def owned_by(self, phrase: int) -> list[str]:
+        return self.items[self.owners[self.owner_at[phrase]:self.owner_at[phrase + 1]]].tolist()
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Word numbers of hashes; 0 for words that no item has."""
         if not len(self.vocabulary):
@@ -99,7 +111,7 @@ def _search(phrases: Phrases, data: np.ndarray, offsets: np.ndarray) -> Iterator
         np.add.at(hits, at + phrases.lengths[phrase], -1)
         docs = np.searchsorted(word_at, at, side="right") - 1
         for doc, k in np.unique(np.stack([docs, phrase]), axis=1).T:
-            items[int(doc)].update(phrases.owners[k])
+            items[int(doc)].update(phrases.owned_by(k))
     covered = np.cumsum(hits[:-1]) > 0
     for doc in range(len(offsets) - 1):
         own = covered[word_at[doc]:word_at[doc + 1]]
@@ -130,15 +142,15 @@ def _scan(docs: DataFrame, phrases: Phrases) -> DataFrame:
         scan, f"doc_id {id_type}, n_words long, spans array<struct<start:long,end:long>>, items array<string>")
 
 
-def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping or touching [start, end) spans as one, in order."""
-    merged: list[list[int]] = []
-    for start, end in sorted(spans):
-        if merged and start <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], end)
-        else:
-            merged.append([start, end])
-    return [(a, b) for a, b in merged]
+def merged_spans(spans: Column) -> Column:
+    """Overlapping or touching [start, end) spans of an array as one, in order."""
+    def add(merged: Column, span: Column) -> Column:
+        last = F.try_element_at(merged, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        return F.when(last.isNull() | (span["start"] > last["end"]), F.concat(merged, F.array(span))).otherwise(
+            F.concat(F.slice(merged, 1, F.size(merged) - 1), F.array(longer)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:bigint,end:bigint>>"), add)
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
@@ -189,14 +201,12 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    merge = F.udf(lambda spans: merge_spans([(s["start"], s["end"]) for own in spans for s in own]),
-                  "array<struct<start:long,end:long>>")
     return (every.groupBy("doc_id").agg(
-                F.first("n_words").alias("n_words"), F.collect_set("spans").alias("spans"),
+                F.first("n_words").alias("n_words"), F.flatten(F.collect_set("spans")).alias("spans"),
                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
                 (F.count("*") / len(parts)).cast("int").alias("copies"))
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(F.col("doc_id.doc_id").alias("doc_id"), "n_words", merge("spans").alias("spans"), "items"))
+            .select(F.col("doc_id.doc_id").alias("doc_id"), "n_words", merged_spans(F.col("spans")).alias("spans"), "items"))
 
 
 def contamination(hits: DataFrame) -> DataFrame:
