@@ -204,3 +204,13 @@ def test_toxicity_of_awkward_rows(spark):
     untrained = toxicity.train_severity(empty, labels)
     assert toxicity.score_severity(empty, untrained).count() == 0
     assert not any(r["toxic"] for r in toxicity.score_severity(documents(spark, rows), untrained).collect())
+
+
+def test_rows_that_share_an_id_come_to_the_driver_once(spark, monkeypatch):
+    docs = documents(spark, [(k % 7, f"text {k} fool" if k % 2 else "fine words") for k in range(2000)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(7)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda texts, *rest: (seen.append(len(texts)), fit(texts, *rest))[1])
+    toxicity.train_severity(docs, labels, rows=5)
+    assert seen == [5]

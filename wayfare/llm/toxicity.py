@@ -123,7 +123,8 @@ def train_severity(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic",
 
     Grades are 0, 1, ...; rows with a null id, text or grade are left out.  A
     text's features go to the driver as its distinct word hashes, so the driver
-    holds ``rows`` texts' words.  Without labelled texts everything gets grade 0.
+    holds ``rows`` texts' words: of rows that share an id one counts (the smallest
+    features in byte order).  Without labelled texts everything gets grade 0.
     """
     graded = (labels.select(F.col(id_col).alias("doc_id"), F.col(grade_col).cast("int").alias("grade"))
               .dropna().groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -135,12 +136,14 @@ def train_severity(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic",
             words: list[bytes] = []
             for row, end, ids, word_at in _features(batch.column(1)):
                 words += [np.unique(ids[word_at[k]:word_at[k + 1]]).tobytes() for k in range(end - row)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())],
-                                             names=["grade", "words"])
-
-    # At most ``rows`` narrow rows are broadcast.
-    joined = texts.join(F.broadcast(graded), "doc_id").select("grade", "text")
-    found = joined.mapInArrow(scan, "grade int, words binary").toPandas().sort_values(["grade", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), batch.column(2)],
+                                             names=["grade", "words", "doc_id"])
+
+    # At most ``rows`` narrow rows are broadcast, and at most as many come back.
+    joined = texts.join(F.broadcast(graded), "doc_id").select("grade", "text", "doc_id")
+    fields = f"grade int, words binary, doc_id {joined.schema['doc_id'].dataType.simpleString()}"
+    one_each = joined.mapInArrow(scan, fields).groupBy("doc_id", "grade").agg(F.min("words").alias("words"))
+    found = one_each.select("grade", "words").toPandas().sort_values(["grade", "words"])
     grades = found["grade"].to_numpy(np.int64)
     return fit_ordinal([np.frombuffer(w, np.uint64) for w in found["words"]], grades,
                        max(2, int(grades.max(initial=1)) + 1))
