@@ -32,17 +32,24 @@ PERIOD = Period(1997, 1)
 
 
 # ------------------------------------------------------------------ helpers
-def _codes(spark, sf):
-    """G1-G5 as plans over the derived label lines."""
-    return sm.code_tables(spark, sf)
+def _codes(spark, sf, *names):
+    """G1-G5, or the named ones, as plans over the derived label lines."""
+    return sm.code_tables(spark, sf, *names)
+
+
+# Tables that a run has stored, by session and data folder.
+_STORED: dict = {}
 
 
 def _stored_codes(spark, sf):
-    """G1-G5 written once for this query and read back, as a monthly run does it."""
-    built = sm.code_tables(spark, sf)
-    paths = {name: scratch_path(spark, name) for name in built}
-    pipeline.run_concurrently([lambda n=n, df=df: write_full(df, paths[n]) for n, df in built.items()], 4)
-    return {name: read_table(spark, path, name) for name, path in paths.items()}
+    """G1-G5 as a run has stored them: written once per session and data folder, read back."""
+    key = (spark.sparkContext.applicationId, sf, "codes")
+    if key not in _STORED:
+        built = sm.code_tables(spark, sf)
+        paths = {name: scratch_path(spark, name) for name in built}
+        pipeline.run_concurrently([lambda n=n, df=df: write_full(df, paths[n]) for n, df in built.items()], 4)
+        _STORED[key] = paths
+    return {name: read_table(spark, path, name) for name, path in _STORED[key].items()}
 
 
 def _conformed(spark, sf, codes=None) -> DataFrame:
@@ -51,12 +58,18 @@ def _conformed(spark, sf, codes=None) -> DataFrame:
                                   c["us_state"], c["country"], mode_label=sm.MODE_LABEL)
 
 
-def _dims(spark, sf, codes=None):
-    c = codes or _codes(spark, sf)
+def _airports(spark, sf, codes=None):
     (supplier,) = sm.tables(spark, sf, "supplier")
-    airports = dims.build_airports(sm.airport_rows(supplier), c["us_ports"])
-    city = dims.build_city(sm.demographic_rows(supplier), c["us_state"])
-    return airports, city
+    return dims.build_airports(sm.airport_rows(supplier), (codes or _codes(spark, sf, "us_ports"))["us_ports"])
+
+
+def _city(spark, sf, codes=None, **options):
+    (supplier,) = sm.tables(spark, sf, "supplier")
+    return dims.build_city(sm.demographic_rows(supplier), (codes or _codes(spark, sf, "us_state"))["us_state"], **options)
+
+
+def _dims(spark, sf, codes=None):
+    return _airports(spark, sf, codes), _city(spark, sf, codes)
 
 
 def _joined_mart(spark, sf, conformed, codes) -> DataFrame:
@@ -66,19 +79,16 @@ def _joined_mart(spark, sf, conformed, codes) -> DataFrame:
                                                 facts.build_immigrant(conformed), airports, city)
 
 
-_MARTS: dict = {}
-
-
 def _stored_mart(spark, sf) -> DataFrame:
     """The mart as a run has stored it: written once per session and data folder, reports read what they need."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MARTS:
+    key = (spark.sparkContext.applicationId, sf, "mart")
+    if key not in _STORED:
         codes = _stored_codes(spark, sf)
         airports, city = _dims(spark, sf, codes)
         path = scratch_path(spark, "mart")
         write_period(marts.mart_from_conformed(_conformed(spark, sf, codes), airports, city), path)
-        _MARTS[key] = path
-    return read_table(spark, _MARTS[key], "immigration_demographics")
+        _STORED[key] = path
+    return read_table(spark, _STORED[key], "immigration_demographics")
 
 
 def _written_immigration(spark, sf) -> str:
@@ -194,7 +204,7 @@ def mode_filter(spark, sf):
     (orders,) = sm.tables(spark, sf, "orders")
     fact = orders.select("o_orderkey",
                          F.substring("o_orderpriority", 1, 1).cast("double").alias("i94mode"))
-    out = E.coerced_lookup(fact, _codes(spark, sf)["i94mode"], "i94mode")
+    out = E.coerced_lookup(fact, _codes(spark, sf, "i94mode")["i94mode"], "i94mode")
     return D.label_filter(out, "mode", sm.MODE_LABEL).select("o_orderkey", "mode")
 
 
@@ -209,7 +219,7 @@ def using_join(spark, sf):
 def coerced_lookup(spark, sf):
     (customer,) = sm.tables(spark, sf, "customer")
     fact = customer.select("c_custkey", F.col("c_nationkey").cast("double").alias("nation_key"))
-    country = _codes(spark, sf)["country"]
+    country = _codes(spark, sf, "country")["country"]
     return E.coerced_lookup(fact, country, "nation_key", "country_code", keep_key=False)
 
 
@@ -217,13 +227,13 @@ def named_lookup(spark, sf):
     (customer,) = sm.tables(spark, sf, "customer")
     fact = customer.select("c_custkey", F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string"))
                            .otherwise(sm.nation_code("c_nationkey")).alias("addr"))
-    return E.named_lookup(fact, _codes(spark, sf)["us_state"], "addr", "state_code",
+    return E.named_lookup(fact, _codes(spark, sf, "us_state")["us_state"], "addr", "state_code",
                           keep_dim_key=True).drop("addr")
 
 
 def role_playing_dim(spark, sf):
     arrivals = sm.arrivals(spark, sf).select("cicid", "i94res", "i94cit")
-    country = _codes(spark, sf)["country"]
+    country = _codes(spark, sf, "country")["country"]
     df = E.role_lookup(arrivals, country, "i94res", "country_code",
                        {"country_name": "residence_country"})
     return E.role_lookup(df, country, "i94cit", "country_code", {"country_name": "birth_country"})
@@ -347,23 +357,23 @@ def region_state(spark, sf):
 
 # ------------------------------------------------------ G: table builders
 def us_state(spark, sf):
-    return _codes(spark, sf)["us_state"]
+    return _codes(spark, sf, "us_state")["us_state"]
 
 
 def country(spark, sf):
-    return _codes(spark, sf)["country"]
+    return _codes(spark, sf, "country")["country"]
 
 
 def us_ports(spark, sf):
-    return _codes(spark, sf)["us_ports"]
+    return _codes(spark, sf, "us_ports")["us_ports"]
 
 
 def mode(spark, sf):
-    return _codes(spark, sf)["i94mode"]
+    return _codes(spark, sf, "i94mode")["i94mode"]
 
 
 def visa(spark, sf):
-    return _codes(spark, sf)["i94visa"]
+    return _codes(spark, sf, "i94visa")["i94visa"]
 
 
 def weather_month(spark, sf):
@@ -372,17 +382,16 @@ def weather_month(spark, sf):
 
 
 def airports(spark, sf):
-    return _dims(spark, sf)[0]
+    return _airports(spark, sf)
 
 
 def city(spark, sf):
-    return _dims(spark, sf)[1]
+    return _city(spark, sf)
 
 
 def city_distinct(spark, sf):
     """G8 with one row per city and state."""
-    (supplier,) = sm.tables(spark, sf, "supplier")
-    return dims.build_city(sm.demographic_rows(supplier), _codes(spark, sf)["us_state"], distinct=True)
+    return _city(spark, sf, distinct=True)
 
 
 def conform(spark, sf):
@@ -422,6 +431,11 @@ def arrivals_by_city_one_pass(spark, sf):
     return marts.mart_from_conformed(_conformed(spark, sf, codes), airports, city)
 
 
+def stored_mart(spark, sf):
+    """G12 written by month and read back, as the reports find it."""
+    return _stored_mart(spark, sf)
+
+
 def mart_duplicate_ids(spark, sf):
     """G12 where every third record id occurs twice in its month, with another gender."""
     codes = _stored_codes(spark, sf)
@@ -726,6 +740,7 @@ QUERIES = {
     "immigrant": immigrant, "immigration": immigration, "arrivals_by_city": arrivals_by_city,
     "arrivals_by_city_joined": arrivals_by_city_joined,
     "arrivals_by_city_one_pass": arrivals_by_city_one_pass, "mart_duplicate_ids": mart_duplicate_ids,
+    "stored_mart": stored_mart,
     # H checks and runs
     "nonempty_by_period": nonempty_by_period, "publication_check": publication_check,
     "preview": preview, "period_params": period_params, "run_month": run_month,

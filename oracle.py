@@ -402,6 +402,7 @@ SELECT c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment
     "arrivals_by_city": w(MART, "SELECT * FROM mart"),
     "arrivals_by_city_joined": w(MART, "SELECT * FROM mart"),
     "arrivals_by_city_one_pass": w(MART, "SELECT * FROM mart"),
+    "stored_mart": w(MART, "SELECT * FROM mart"),
     "mart_duplicate_ids": w(MART, """SELECT p.cicid, p.age, p.birth_country, p.residence_country, p.gender, p.visatype,
        p.visa, p.i94dt, e.arrival_date, e.departure_date, e.airport_code, e.name, e.city,
        e.state_code, e.state_name, e.population, e.median_age

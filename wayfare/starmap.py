@@ -219,19 +219,19 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrival_rows(o, c, l, s)
 
 
-def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """G1-G5 built from the derived label lines."""
+def code_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """G1-G5 (all, or the named ones) built from the derived label lines."""
     from .plans import dictionary as d
     nation, supplier, orders, customer = tables(spark, sf_dir, "nation", "supplier", "orders",
                                                 "customer")
-    states = d.build_us_state(state_labels(nation))
-    return {
-        "us_state": states,
-        "country": d.build_country(country_labels(nation)),
-        "us_ports": d.build_us_ports(port_labels(supplier), states),
-        "i94mode": d.build_mode(mode_labels(orders)),
-        "i94visa": d.build_visa(visa_labels(customer)),
+    build = {
+        "us_state": lambda: d.build_us_state(state_labels(nation)),
+        "country": lambda: d.build_country(country_labels(nation)),
+        "us_ports": lambda: d.build_us_ports(port_labels(supplier), d.build_us_state(state_labels(nation))),
+        "i94mode": lambda: d.build_mode(mode_labels(orders)),
+        "i94visa": lambda: d.build_visa(visa_labels(customer)),
     }
+    return {name: build[name]() for name in names or build}
 
 
 # ------------------------------------------------------------ raw landing zone
