@@ -124,3 +124,20 @@ def test_in_place_runs_check_before_they_overwrite(spark, tmp_root):
     # a run that only reports gaps clears the month, as before
     pipeline.run_month(spark, layout, "2016-01", Options(strict_checks=False), refresh_reference=False)
     assert {r.i94dt for r in table(spark, layout, "immigration").collect()} == {"201602"}
+
+
+def test_command_line_publish_reconcile_and_retire(spark, tmp_root, capsys):
+    from wayfare.__main__ import main
+    layout = stage(spark, tmp_root)
+    roots = ["--raw", layout.raw_root, "--processed", layout.processed_root]
+    assert main(["publish", *roots, "--start", "2016-01", "--end", "2016-02"]) == 0
+    assert main(["publish", *roots, "--start", "2016-02", "--skip-reference"]) == 0
+    assert capsys.readouterr().out.split() == ["published", "1", "published", "2"]
+    assert main(["retire", *roots, "--keep", "1"]) == 0
+    gone = capsys.readouterr().out.split()       # the first run keeps January, which is still published
+    assert len(gone) == 6 and all(name.endswith("/i94dt=201602") for name in gone[1::2])
+    assert published.read_published(spark, layout.published_root(), "immigration").count() == 7
+    assert main(["run-month", *roots, "--period", "2016-01", "--keep-rejects", "--skip-reference"]) == 0
+    capsys.readouterr()
+    assert main(["reconcile", *roots, "--start", "2016-01"]) == 0
+    assert capsys.readouterr().out.split() == ["201601", "11", "5", "6"]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructType
 
 from ..schemas import AUDIT, STORED
-from .parquet import _fs_path, path_exists
+from .parquet import _fs_path
 
 MANIFESTS = "_manifests"
 _NAME = re.compile(r"v(\d{9})\.json$")
@@ -153,33 +153,35 @@ def discard_run(spark: SparkSession, root: str, tables: list[str], run: str) ->
         fs.delete(p, True)
 
 
-def retire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Remove manifests but the newest ``keep``, and then the run folders none of them names any more.
+def retire(spark: SparkSession, root: str, keep: int = 2, period_column: str = "i94dt") -> list[str]:
+    """Remove manifests but the newest ``keep``, and then the months of runs that none of them names any more.
 
     Runs that are being written are named by no manifest either: call it when none is.
     """
-    versions = _versions(spark, root)
-    kept, old = versions[-keep:] if keep > 0 else [], versions[:-keep] if keep > 0 else versions
-    if not kept:
+    if keep < 1:
         raise ValueError("at least one manifest stays")
-    named, tables = set(), set()
-    for version in versions:
-        manifest = read_manifest(spark, root, version)
-        tables |= set(manifest.tables)
-        if version in kept:
-            named |= {(t, run) for t, months in manifest.tables.items() for run in months.values()}
-    for version in old:
+    versions = _versions(spark, root)
+    manifests = {version: read_manifest(spark, root, version) for version in versions}
+    named = {(table, run, month) for version in versions[-keep:] for table, months in manifests[version].tables.items()
+             for month, run in months.items()}
+    for version in versions[:-keep]:
         p, fs = _fs_path(spark, _manifest_path(root, version))
         fs.delete(p, False)
     gone = []
-    for table in sorted(tables):
-        folder = f"{root.rstrip('/')}/{table}"
-        if not path_exists(spark, folder):
-            continue
-        p, fs = _fs_path(spark, folder)
-        for status in fs.listStatus(p):
-            name = status.getPath().getName()
-            if name.startswith("run=") and (table, name[4:]) not in named:
-                fs.delete(status.getPath(), True)
-                gone.append(f"{table}/{name}")
+
+    def folders(path, prefix: str):
+        return [(s.getPath(), s.getPath().getName()[len(prefix):]) for s in fs.listStatus(path)
+                if s.getPath().getName().startswith(prefix)]
+
+    for table in sorted({table for manifest in manifests.values() for table in manifest.tables}):
+        p, fs = _fs_path(spark, f"{root.rstrip('/')}/{table}")
+        for path, run in folders(p, "run=") if fs.exists(p) else []:
+            if not any(key[:2] == (table, run) for key in named):
+                fs.delete(path, True)
+                gone.append(f"{table}/run={run}")
+                continue
+            for month_path, month in folders(path, f"{period_column}="):
+                if (table, run, month) not in named:
+                    fs.delete(month_path, True)
+                    gone.append(f"{table}/run={run}/{period_column}={month}")
     return gone
