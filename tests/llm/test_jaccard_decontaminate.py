@@ -71,7 +71,7 @@ def near_misses(rng, texts, length=100, replaced=1):
 @pytest.mark.parametrize(("classes", "sample", "grams", "n", "percent"), [
     (2, 33, 1 << 21, 4, 85), (2, 3, 200, 5, 80), (5, 1, 1, 4, 85), (32, 33, 1 << 21, 5, 80)])
 def test_families_of_near_misses_against_all_pairs(spark, monkeypatch, classes, sample, grams, n, percent):
-    for name, value in (("FAMILY_CLASSES", classes), ("FAMILY_SAMPLE", sample), ("FAMILY_GRAMS", grams)):
+    for name, value in (("FAMILY_CLASSES", classes), ("FAMILY_SAMPLE", sample), ("FAMILY_GRAMS", grams), ("FAMILY_COST", 0)):
         monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(classes + sample)
     rows = near_misses(rng, 90) + [(1000 + k, t) for k, t in near_misses(rng, 60, 60, 2)]

@@ -38,7 +38,8 @@ PARTS = 128              # parts of the hash range that the suffix filter counts
 HOT_SHARE = 100_000      # an n-gram is hot if its bucket has over one in so many of all n-grams
 SALTS = 64               # a hot n-gram's list is looked through in so many parts
 FAMILY_CLASSES = 32      # a longer list with several components is compared by what its texts differ in
-FAMILY_SAMPLE = 33       # classes of a list (under 256) that tell what most of them share,
+FAMILY_COST = 1.0        # if it has more pairs than so many times its n-grams
+FAMILY_SAMPLE = 33       # classes of a family (under 256) that tell what most of them share,
 FAMILY_GRAMS = 1 << 21   # and n-grams of them, but one whole set
 LIST_CLASSES = 1000      # classes of a list that a part compares with all of it, where all links are wanted
 
@@ -334,19 +335,22 @@ def _postings(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFra
     return rows, classes, postings
 
 
-def _families(large: DataFrame, sets: DataFrame) -> DataFrame:
-    """What most classes of each large list have in common: token, family, union, core, odd.
+def _families(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes that are met in the same large lists, and what most of them have in common.
 
-    A family is the digest of that common set (``core`` marks it in ``union``, the
-    n-grams that a sample of the list has more than once), so that lists of the same
-    texts are one; ``odd`` counts how many of the sample differ from the common set
-    at an n-gram.
-    The sample is bounded; it decides the speed, not the result.
+    The lists of one group of texts hold nearly the same classes, so they are taken
+    together by the one with the smallest hash: a family.  Returns the members
+    (family, cid, size) and, by family, ``union`` (the n-grams that a sample of it
+    has more than once or mostly), ``core`` (which of them most have) and ``odd``
+    (how many of the sample differ from the core at an n-gram).  The sample is
+    bounded; it decides the speed, not the result.
     """
-    by_hash = Window.partitionBy("token").orderBy(F.xxhash64("cid"), "cid")
-    sample = (large.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= FAMILY_SAMPLE)
+    of_list = large.groupBy("token").agg(F.min_by("cid", F.struct(F.xxhash64("cid"), "cid")).alias("family"))
+    members = stage(large.join(of_list, "token").select("family", "cid", "size").distinct(), "jaccard-members")
+    by_hash = Window.partitionBy("family").orderBy(F.xxhash64("cid"), "cid")
+    sample = (members.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= FAMILY_SAMPLE)
               .withColumn("grams_so_far", F.sum("size").over(by_hash))
-              .filter((F.col("nth") == 1) | (F.col("grams_so_far") <= FAMILY_GRAMS)).select("token", "cid"))
+              .filter((F.col("nth") == 1) | (F.col("grams_so_far") <= FAMILY_GRAMS)).select("family", "cid"))
 
     def common(table: pa.Table) -> pa.Table:
         own = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
@@ -354,14 +358,13 @@ def _families(large: DataFrame, sets: DataFrame) -> DataFrame:
         core = 2 * counts > len(own)
         kept = core | (counts > 1)
         union, counts, core = union[kept], counts[kept], core[kept]
-        hi, lo = _digest(union[core])
-        return pa.table({"token": pa.array([table["token"][0].as_py()], pa.int64()), "hi": pa.array([hi], pa.int64()),
-                         "lo": pa.array([lo], pa.int64()), "union": pa.array([union.tobytes()], pa.binary()),
-                         "core": pa.array([core.tobytes()], pa.binary()),
-                         "odd": pa.array([np.where(core, len(own) - counts, counts).astype(np.uint8).tobytes()], pa.binary())})
+        odd = np.where(core, len(own) - counts, counts).astype(np.uint8)
+        return pa.table({"family": pa.array([table["family"][0].as_py()], pa.int64()),
+                         **{name: pa.array([values.tobytes()], pa.binary())
+                            for name, values in (("union", union), ("core", core), ("odd", odd))}})
 
-    return stage(sample.join(sets, "cid").select("token", "grams").groupBy("token").applyInArrow(
-        common, "token long, hi long, lo long, union binary, core binary, odd binary"), "jaccard-families")
+    return members, stage(sample.join(sets, "cid").select("family", "grams").groupBy("family").applyInArrow(
+        common, "family long, union binary, core binary, odd binary"), "jaccard-families")
 
 
 def _differences(members: DataFrame, percent: int) -> DataFrame:
@@ -372,7 +375,8 @@ def _differences(members: DataFrame, percent: int) -> DataFrame:
     """
     def scan(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 union, core = np.frombuffer(row["union"], np.uint64), np.frombuffer(row["core"], bool)
                 odd = np.frombuffer(row["odd"], np.uint8)
                 differs = np.setxor1d(np.frombuffer(row["grams"], np.uint64), union[core], assume_unique=True)
@@ -383,13 +387,12 @@ def _differences(members: DataFrame, percent: int) -> DataFrame:
                 first = differs[np.lexsort((differs, often))][:row["size"] * (100 - percent) // percent + 1].view(np.int64)
                 rows = len(first) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[c]] * rows, t) for c, t in (("hi", pa.int64()), ("lo", pa.int64()), ("cid", pa.int64()),
-                                                             ("size", pa.int32()))]
+                    [pa.array([row[c]] * rows, t) for c, t in (("family", pa.int64()), ("cid", pa.int64()), ("size", pa.int32()))]
                     + [pa.array([len(differs)] * rows, pa.int32()), pa.array([None, *first.tolist()], pa.int64()),
                        pa.array([None, *range(len(first))], pa.int32())],
-                    names=["hi", "lo", "cid", "size", "d", "w", "at"])
+                    names=["family", "cid", "size", "d", "w", "at"])
 
-    return stage(members.mapInArrow(scan, "hi long, lo long, cid long, size int, d int, w long, at int"), "jaccard-differences")
+    return stage(members.mapInArrow(scan, "family long, cid long, size int, d int, w long, at int"), "jaccard-differences")
 
 
 def _may_meet(percent: int, size_a, d_a, at_a, size_b, d_b, at_b) -> Column:
@@ -427,11 +430,8 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     pair by pair.
     """
     sets = _sets_of(docs, n, classes, large.select("cid").distinct())
-    families = _families(large, sets)
-    one_each = families.groupBy("hi", "lo").agg(F.min(F.struct("token", "union", "core", "odd")).alias("f")).select(
-        "hi", "lo", "f.union", "f.core", "f.odd")
-    member_of = large.join(families.select("token", "hi", "lo"), "token").select("hi", "lo", "cid", "size").distinct()
-    differing = _differences(member_of.join(one_each, ["hi", "lo"]).join(sets, "cid"), percent)
+    members, common = _families(large, sets)
+    differing = _differences(members.join(common, "family").join(sets, "cid"), percent)
 
     def apart(df: DataFrame, known: DataFrame) -> DataFrame:
         return df.join(known, df["cid"] == known["node"], "left").drop("node").withColumn("root", F.coalesce("root", "cid"))
@@ -442,20 +442,20 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     labelled = stage(apart(differing, roots), "jaccard-labelled")
     spare = F.col("size") * (100 - percent) - F.col("d") * (100 + percent)     # below 0: too far from the common set
     members = labelled.filter("w is null").withColumn("spare", spare)
-    least = members.groupBy("hi", "lo").agg(F.max(F.struct("spare", "cid", "root")).alias("m"))
-    certain = members.join(least, ["hi", "lo"]).filter("root <> m.root and spare + m.spare >= 0").select(*pair("cid", "m.cid"))
+    least = members.groupBy("family").agg(F.max(F.struct("spare", "cid", "root")).alias("m"))
+    certain = members.join(least, "family").filter("root <> m.root and spare + m.spare >= 0").select(*pair("cid", "m.cid"))
     listed = labelled.filter("w is not null")
-    first = listed.groupBy("hi", "lo", "w").agg(F.min(F.struct("at", "d", "size", "cid", "root")).alias("m"))
-    star = listed.join(first, ["hi", "lo", "w"]).filter(F.col("root") != F.col("m.root")).filter(_may_meet(
+    first = listed.groupBy("family", "w").agg(F.min(F.struct("at", "d", "size", "cid", "root")).alias("m"))
+    star = listed.join(first, ["family", "w"]).filter(F.col("root") != F.col("m.root")).filter(_may_meet(
         percent, F.col("size"), F.col("d"), F.col("at"), F.col("m.size"), F.col("m.d"), F.col("m.at"))).select(*pair("cid", "m.cid"))
     compared = stage(certain.unionByName(star).distinct(), "jaccard-further")
     links, roots = _joined(links, roots, stage(_checked(compared, sets, percent), "jaccard-links"))
 
     listed = stage(apart(listed.drop("root"), roots), "jaccard-labelled")
-    mixed = listed.groupBy("hi", "lo", "w").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    rest = stage(listed.join(mixed.drop("x", "y"), ["hi", "lo", "w"], "left_semi"), "jaccard-apart")
+    mixed = listed.groupBy("family", "w").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    rest = stage(listed.join(mixed.drop("x", "y"), ["family", "w"], "left_semi"), "jaccard-apart")
     l, r = rest.alias("l"), rest.alias("r")
-    same = (F.col("l.hi") == F.col("r.hi")) & (F.col("l.lo") == F.col("r.lo")) & (F.col("l.w") == F.col("r.w"))
+    same = (F.col("l.family") == F.col("r.family")) & (F.col("l.w") == F.col("r.w"))
     pairs = (l.join(r, same & (F.col("l.root") < F.col("r.root")) & _may_meet(
         percent, F.col("l.size"), F.col("l.d"), F.col("l.at"), F.col("r.size"), F.col("r.d"), F.col("r.at")))
         .select(*pair("l.cid", "r.cid")).distinct().join(compared, ["a", "b"], "left_anti"))
@@ -525,7 +525,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed = (labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
              .filter("x <> y").select("token"))
     apart = stage(labelled.join(mixed, "token", "left_semi"), "jaccard-apart")
-    lists = stage(apart.groupBy("token").agg((F.count("*") > FAMILY_CLASSES).alias("large")), "jaccard-lists")
+    # A list is large if its pairs are more than the n-grams of its classes, which is what families move.
+    listed, pairs = F.count("*"), F.count("*") * (F.count("*") - 1) / 2
+    lists = stage(apart.groupBy("token").agg(
+        ((listed > FAMILY_CLASSES) & (pairs > FAMILY_COST * F.sum("size"))).alias("large")), "jaccard-lists")
     small = apart.join(lists.filter("not large"), "token", "left_semi")
     l, r = small.alias("l"), small.alias("r")
     further = (l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.root") < F.col("r.root"))
