@@ -152,6 +152,24 @@ SELECT doc_id,
   row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) = 1 AS kept,
   text_sha256
 FROM rows""",
+    "op7_jaccard_join": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+both_ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(x, y) AS (SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reached r JOIN both_ways b ON r.y = b.x),
+lowest AS (SELECT x AS doc_id, min(y) AS low FROM reached GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)""",
     "op9_decontaminate": rf"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
