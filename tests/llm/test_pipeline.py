@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from .helpers import DOCS, LOWER, words
+from .helpers import DOCS, LOWER
 
 CLASHES = ["score", "lang_pred", "entropy", "accepted", "row", "text_sha256", "digest", "rank", "gone_text", "gone_id", "key", "n"]
 
