@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -72,8 +73,8 @@ def plain_near(rows):
                 root[find(a)] = find(b)
 
     def rank(k):
-        import hashlib
-        return rows[k][0] is None, rows[k][0] or 0, hashlib.sha256((rows[k][1] or "").encode()).hexdigest()
+        digest = xxhash.xxh64((rows[k][1] or "").encode(), seed=42).intdigest()
+        return rows[k][0] is None, rows[k][0] or 0, digest - (digest >> 63 << 64)
 
     first = {}
     for k in range(len(rows)):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import wordscan as ws
 from .fm_index import FMIndex
-from .staging import stage
+from .staging import stage, text_digest, without
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20            # text of one indexed shard
@@ -220,12 +220,11 @@ def contamination(hits: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, unchanged.
 
-    Texts are judged, not ids: rows are recognised by a digest of their text, so
-    null and shared ids do not matter.  Null texts stay.  Other columns may have
-    any names.
+    Rows are recognised by their id and a 64-bit digest of their text, so texts with
+    null or shared ids are judged as themselves.  Null texts stay.  Other columns may
+    have any names.
     """
     text = F.col("text").cast("string")
-    judged = contamination(benchmark_hits(docs.select(F.sha2(text, 256).alias("digest"), text.alias("text")), benchmark, "digest"))
-    gone = stage(judged.filter("contaminated").select(F.col("doc_id").alias("gone_text")).distinct(),
-                 "contaminated")  # its size on disk lets Spark choose the join
-    return docs.join(gone, F.sha2(docs["text"].cast("string"), 256) == gone["gone_text"], "left_anti")
+    key = F.struct(F.col("doc_id").alias("gone_id"), text_digest(text).alias("gone_text"))
+    judged = contamination(benchmark_hits(docs.select(key.alias("key"), text.alias("text")), benchmark, "key"))
+    return without(docs, judged.filter("contaminated").select("doc_id.*"), "contaminated")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import wordscan as ws
 from .components import connected_components
-from .staging import stage
+from .staging import stage, text_digest, without
 
 FREQUENCY_BITS = 20      # hash buckets of the corpus-wide n-gram counts: 2**20
 FREQUENCY_SLICES = 256   # the counts travel in so many slices
@@ -553,18 +553,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, unchanged: the one with the smallest doc_id.
 
-    A document is judged by its id and a digest of its text, so a text with a null
-    or a shared id is judged as itself; null ids come last, equal ids go by the
+    A document is judged by its id and a 64-bit digest of its text, so a text with a
+    null or a shared id is judged as itself; null ids come last, equal ids go by the
     digest.  Rows with one id and one text are one document and stay or go
     together.  Documents linked with nothing stay, those without words included.
     Other columns may have any names.
     """
     text = F.col("text").cast("string")
-    digest = F.sha2(text, 256)
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), digest.alias("digest"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), text_digest(text).alias("digest"))
     groups = jaccard_components(docs.select(key.alias("key"), text.alias("text")), "key", n=n, percent=percent)
-    # Staged: its size on disk lets Spark choose the join.
-    gone = stage(groups.filter("not (doc_id <=> component_id)").select(
-        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.digest").alias("gone_text")).distinct(), "jaccard-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.sha2(docs["text"].cast("string"), 256) == gone["gone_text"]),
-                     "left_anti")
+    gone = groups.filter("not (doc_id <=> component_id)").select(
+        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.digest").alias("gone_text"))
+    return without(docs, gone, "jaccard-gone")

@@ -7,7 +7,8 @@ tasks that had not been committed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayfare.session import scratch_path
 
@@ -26,3 +27,19 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def text_digest(text: Column) -> Column:
+    """64-bit digest of a text; null for null."""
+    return F.when(text.isNotNull(), F.xxhash64(text))
+
+
+def without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text digest are not in ``gone`` (gone_id, gone_text).
+
+    ``gone`` is staged with 16 bytes a row: its size on disk lets Spark choose the
+    join, and the texts of ``docs`` are not shuffled while it can be broadcast.
+    """
+    gone = stage(gone.distinct(), name)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"])
+                     & (text_digest(docs["text"].cast("string")) == gone["gone_text"]), "left_anti")
