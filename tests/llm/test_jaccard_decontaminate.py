@@ -1,10 +1,14 @@
 import random
 import re
+import tracemalloc
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
-from wayfare.llm import decontaminate, fm_index, jaccard_join
+from wayfare.llm import decontaminate, fm_index, jaccard_join, wordscan
 from wayfare.llm.components import connected_components
 
 from .helpers import DOCS, awkward, documents, with_clashes, words
@@ -264,3 +268,50 @@ def test_phrases_of_many_windows_are_small():
     items = [(str(k), " ".join(words(random.Random(k), 100, 20_000))) for k in range(500)]
     phrases = decontaminate.Phrases(items, 13)
     assert len(phrases.rows) == 500 * 88 and len(pickle.dumps(phrases)) < 90 * len(phrases.rows)
+
+
+class Unplanned:
+    """Stands for documents: mapInArrow gives the function that a task would run."""
+
+    schema = {"doc_id": types.SimpleNamespace(dataType=T.LongType())}
+    sparkSession = types.SimpleNamespace(sparkContext=types.SimpleNamespace(
+        broadcast=lambda value: types.SimpleNamespace(value=value)))
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, task, schema):
+        return task
+
+
+@pytest.mark.parametrize("vocabulary", [50, 100_000])
+def test_a_task_needs_memory_for_pieces_of_its_texts(monkeypatch, vocabulary):
+    """19 or 34 MB of texts, all of benchmark words or few: the work beside them stays small, and cuts change no result."""
+    rng = random.Random(13)
+    items = [(str(k), " ".join(words(rng, 20, 50))) for k in range(40)]
+    texts = [" ".join([*words(rng, 400, vocabulary), *(items[k % 40][1].split()[3:] if k % 3 else [])]) for k in range(300)]
+    batch = pa.record_batch({"doc_id": np.arange(12_000), "text": texts * 40})
+    task = decontaminate._scan(Unplanned(), decontaminate.Phrases(items, 13))
+    tracemalloc.start()
+    found = [(part.num_rows, part.slice(0, 300)) for part in task([batch])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, _ in found) == 12_000 and peak < 100e6
+    monkeypatch.setattr(decontaminate, "PIECE_BYTES", 3000, raising=False)
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 5000, raising=False)
+    small = pa.Table.from_batches(task([batch.slice(0, 300)])).to_pylist()
+    assert small == found[0][1].to_pylist() and sum(len(r["items"]) > 0 for r in small) >= 200
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_text_slices_of_cut_columns_with_nulls(kind):
+    texts = ["äb", None, "", "cdef", None, "g" * 9, "h"] * 5
+    column = pa.array(["before", *texts, "after"], kind).slice(1, len(texts))
+    for size in (1, 4, 10, 1000):
+        got, last = [], 0
+        for row, end, data, offsets in wordscan.text_slices(column, size):
+            assert row == last and end > row and (len(data) <= size or end == row + 1)
+            got += [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])]
+            last = end
+        assert got == [t or "" for t in texts]
+    assert list(wordscan.text_slices(column.slice(0, 0))) == []

@@ -1,8 +1,9 @@
 """Benchmark passages in documents, found with an FM-index of each training shard.
 
 Windows of a benchmark item's words are the test phrases.  Each task cuts its
-documents into shards, numbers the words that occur in the benchmark, leaves
-out the stretches that are too short to hold a phrase, and indexes the rest.
+documents into shards, numbers the words that occur in the benchmark, a piece of
+a shard at a time, leaves out the stretches that are too short to hold a phrase,
+and indexes the rest.
 All phrases are searched backward at once; their places give the spans of words
 to remove, merged per document.  Documents are not shuffled.
 """
@@ -23,7 +24,9 @@ from .fm_index import FMIndex
 from .staging import stage, text_digest, without
 
 WINDOW = 13
-SHARD_BYTES = 8 << 20            # text of one indexed shard
+SHARD_BYTES = 8 << 20            # a shard is full with so much text,
+SHARD_WORDS = 1 << 19            # or so many words to index (some 70 MB while it is built)
+PIECE_BYTES = 1 << 20            # text that is cut into words at a time
 BLOCK_BYTES = 4 << 20            # benchmark text that is searched in one scan: some 600,000 windows, 40 MB
 
 
@@ -91,14 +94,34 @@ def _long_runs(numbers: np.ndarray, breaks: np.ndarray, shortest: int) -> tuple[
     return text, words
 
 
-def _search(phrases: Phrases, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list, set]]:
-    """For each document of a shard: words, merged spans [start, end) of words, items."""
+def _known_words(phrases: Phrases, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a piece of text: each row's first word (rows + 1 entries), and what _long_runs gives."""
     starts, ends, word_at = ws.find_words(data, offsets, ws.ALPHANUMERIC)
     numbers = phrases.numbers(ws.hash_words(data, starts, ends))
     breaks = np.zeros(len(numbers) + 1, bool)
     breaks[word_at] = True
-    text, word_of = _long_runs(numbers, breaks[:-1], phrases.shortest)
-    hits = np.zeros(len(numbers) + 1, np.int64)
+    return word_at, *_long_runs(numbers, breaks[:-1], phrases.shortest)
+
+
+def _shards(phrases: Phrases, column: pa.Array) -> Iterator[tuple[int, list[tuple]]]:
+    """End row and pieces (see _known_words) of each shard of a text column."""
+    pieces, size, symbols = [], 0, 0
+    for _, end, data, offsets in ws.text_slices(column, PIECE_BYTES):
+        pieces.append(_known_words(phrases, data, offsets))
+        size += len(data)
+        symbols += len(pieces[-1][1])
+        if size >= SHARD_BYTES or symbols >= SHARD_WORDS or end == len(column):
+            yield end, pieces
+            pieces, size, symbols = [], 0, 0
+
+
+def _search(phrases: Phrases, pieces: list[tuple]) -> Iterator[tuple[int, list, set]]:
+    """For each document of a shard: words, merged spans [start, end) of words, items."""
+    before = np.cumsum([0] + [word_at[-1] for word_at, _, _ in pieces])
+    word_at = np.concatenate([p[0][:-1] + b for p, b in zip(pieces, before, strict=False)] + [before[-1:]])
+    text = np.concatenate([p[1] for p in pieces])
+    word_of = np.concatenate([p[2] + b for p, b in zip(pieces, before, strict=False)])
+    hits = np.zeros(before[-1] + 1, np.int32)
     items: dict[int, set] = defaultdict(set)
     if len(text) and len(phrases.rows):
         index = FMIndex(text)
@@ -112,8 +135,8 @@ def _search(phrases: Phrases, data: np.ndarray, offsets: np.ndarray) -> Iterator
         docs = np.searchsorted(word_at, at, side="right") - 1
         for doc, k in np.unique(np.stack([docs, phrase]), axis=1).T:
             items[int(doc)].update(phrases.owned_by(k))
-    covered = np.cumsum(hits[:-1]) > 0
-    for doc in range(len(offsets) - 1):
+    covered = np.cumsum(hits[:-1], dtype=np.int32) > 0
+    for doc in range(len(word_at) - 1):
         own = covered[word_at[doc]:word_at[doc + 1]]
         spans: list = []
         if own.any():
@@ -129,14 +152,16 @@ def _scan(docs: DataFrame, phrases: Phrases) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            for row, end, data, offsets in ws.text_slices(batch.column(1), SHARD_BYTES):
-                found = list(_search(shared.value, data, offsets))
+            row = 0
+            for end, pieces in _shards(shared.value, batch.column(1)):
+                found = list(_search(shared.value, pieces))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, end - row),
                      pa.array([f[0] for f in found], pa.int64()),
                      pa.array([[{"start": a, "end": b} for a, b in f[1]] for f in found], pa.list_(span)),
                      pa.array([sorted(f[2]) for f in found], pa.list_(pa.string()))],
                     names=["doc_id", "n_words", "spans", "items"])
+                row = end
 
     return docs.select("doc_id", "text").mapInArrow(
         scan, f"doc_id {id_type}, n_words long, spans array<struct<start:long,end:long>>, items array<string>")

@@ -40,9 +40,10 @@ class WaveletMatrix:
         self.bits, self.size = bits, len(symbols)
         self.ones: list[np.ndarray] = []   # ones before each place, by plane
         self.zeros: list[int] = []
+        place = np.int32 if self.size < 1 << 31 else np.int64
         for level in range(bits - 1, -1, -1):
             bit = (symbols >> level & 1).astype(bool)
-            self.ones.append(np.concatenate([[0], np.cumsum(bit)]))
+            self.ones.append(np.concatenate([np.zeros(1, place), np.cumsum(bit, dtype=place)]))
             self.zeros.append(int(len(bit) - bit.sum()))
             symbols = np.concatenate([symbols[~bit], symbols[bit]])
 

@@ -31,6 +31,7 @@ from . import wordscan as ws
 from .components import connected_components
 from .staging import stage, text_digest, without
 
+SLICE_BYTES = 1 << 20    # text that is cut into n-grams at a time
 FREQUENCY_BITS = 20      # hash buckets of the corpus-wide n-gram counts: 2**20
 FREQUENCY_SLICES = 256   # the counts travel in so many slices
 CANDIDATE_BITS = 26      # bits of the candidate filter (8 MB)
@@ -46,7 +47,7 @@ LIST_CLASSES = 1000      # classes of a list that a part compares with all of it
 
 def _sets(batch: pa.RecordBatch, text_at: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct n-gram hashes) of a batch."""
-    for row, end, data, offsets in ws.text_slices(batch.column(text_at)):
+    for row, end, data, offsets in ws.text_slices(batch.column(text_at), SLICE_BYTES):
         starts, ends, word_at = ws.find_words(data, offsets, ws.SPACE_SEPARATED)
         words = ws.hash_words(data, starts, ends)
         for k in range(end - row):

@@ -33,7 +33,7 @@ from .staging import stage
 
 ORDER = 4                   # symbols of an n-gram; 16 bits each
 PIECE_ENTRIES = 1 << 20     # entries of a piece of a language's arrays
-SLICE_BYTES = 1 << 20       # text that a task turns into arrays at a time
+SLICE_BYTES = 1 << 19       # text that a task turns into arrays at a time
 REJECT_DEVIATIONS = 10.0     # standard deviations above the mean cross-entropy
 KEPT_SHARE = 0.999          # of a language's own texts of a length class at least so many are accepted
 CLASS_TEXTS = 100           # a limit is set by at least so many texts, of near length classes if need be

@@ -48,19 +48,21 @@ def text_slices(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[in
     """Cut a text column into runs of rows of about ``max_bytes``.
 
     Yields (first row, end row, UTF-8 bytes, row offsets into them); null texts
-    count as empty.  A single longer text makes a run of its own.
+    count as empty.  A single longer text makes a run of its own.  The column is
+    not copied; only a run with nulls is.
     """
-    column = pc.fill_null(column, "").cast(pa.large_string())
-    if not len(column):
-        return
-    _, off_buf, data_buf = column.buffers()
-    offsets = np.frombuffer(off_buf, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(data_buf, dtype=np.uint8) if data_buf is not None else np.empty(0, np.uint8)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     row = 0
     while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + max_bytes, side="right")) - 1
+        end = int(np.searchsorted(before, before[row] + max_bytes, side="right")) - 1
         end = min(max(end, row + 1), len(column))
-        yield row, end, data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
+        run = column.slice(row, end - row)
+        run = (pc.fill_null(run, "") if run.null_count else run).cast(pa.large_string())
+        _, off_buf, data_buf = run.buffers()
+        offsets = np.frombuffer(off_buf, dtype=np.int64)[run.offset:run.offset + len(run) + 1]
+        data = np.frombuffer(data_buf, dtype=np.uint8) if data_buf is not None else np.empty(0, np.uint8)
+        yield row, end, data[offsets[0]:offsets[-1]], offsets - offsets[0]
         row = end
 
 
