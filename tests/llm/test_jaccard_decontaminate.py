@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from wayfare.llm import decontaminate, fm_index, jaccard_join, wordscan
+from wayfare.llm import components, decontaminate, fm_index, jaccard_join, wordscan
 from wayfare.llm.components import connected_components
 
 from .helpers import DOCS, awkward, documents, with_clashes, words
@@ -170,6 +170,42 @@ def test_connected_components_of_a_path_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_that_are_stars_cost_no_step(spark, monkeypatch):
+    steps, star = [], components._star
+    monkeypatch.setattr(components, "_star", lambda edges, larger: (steps.append(larger), star(edges, larger))[1])
+    edges = [(1, 5), (6, 1), (7, 2), (None, 1), (3, None), (4, 4)]
+    got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {1: 1, 5: 1, 6: 1, 2: 2, 7: 2} and not steps
+    got = dict(connected_components(spark.createDataFrame([*edges, (5, 6)], "a long, b long")).collect())
+    assert got == {1: 1, 5: 1, 6: 1, 2: 2, 7: 2} and steps == [True, False]
+
+
+def test_few_rows_are_dealt_out_few_times(spark):
+    """Every shuffle runs as many tasks as there are partitions, however small the lists of a few groups are."""
+    rng, partitions = random.Random(12), 30
+    rows = near_misses(rng, 150)
+    rows += [(1000 + k, " ".join(words(rng, 60, 10_000))) for k in range(100)]
+    rows += [(2000 + k, f"{text} more") for k, text in rows[-100:]]
+    docs = documents(spark, rows).repartition(3)
+    held = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("dealt out", "")
+        got = jaccard_join.jaccard_components(docs, n=4, percent=85).collect()
+        jobs = [tracker.getJobInfo(k) for k in tracker.getJobIdsForGroup("dealt out")]
+        stages = [tracker.getStageInfo(k) for k in {k for job in jobs for k in job.stageIds}]
+        tasks = sum(stage.numCompletedTasks for stage in stages if stage)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got), key=str) == brute_components(rows, 4, 85)
+    assert tasks < 36 * partitions
+
+
 def test_fm_index_finds_every_place():
     rng = np.random.default_rng(1)
     for _ in range(25):

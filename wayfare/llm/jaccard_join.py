@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import wordscan as ws
-from .components import connected_components
+from .components import component_stars
 from .staging import stage, text_digest, without
 
 SLICE_BYTES = 1 << 20    # text that is cut into n-grams at a time
@@ -234,28 +234,17 @@ def _candidate_sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
     other texts are cut into n-grams and a class comes from one of its copies,
     however many it has; the join leaves exactly the wanted classes.
     """
-    width = 1 << 12  # bytes a slice
+    width = 1 << 12  # bytes a slice: those of one of Spark's bitmaps
 
     def bit(doc_id: str) -> Column:
         return F.shiftrightunsigned(F.xxhash64(doc_id), 64 - CANDIDATE_BITS).cast("int")
 
-    def bits(batches):
-        slices: dict[int, np.ndarray] = {}
-        for batch in batches:
-            at = batch.column(0).to_numpy()
-            for s in np.unique(at // (width * 8)):
-                table = slices.setdefault(int(s), np.zeros(width, np.uint8))
-                own = at[at // (width * 8) == s] % (width * 8)
-                np.bitwise_or.at(table, own >> 3, (1 << (own & 7)).astype(np.uint8))
-        if slices:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slices.keys(), pa.int32()), pa.array([v.tobytes() for v in slices.values()], pa.binary())],
-                names=["slice", "bits"])
-
     table = np.zeros(((1 << CANDIDATE_BITS) // 8 // width, width), np.uint8)
-    marked = wanted.select(bit("first_id").alias("bit")).distinct().repartition((F.col("bit") / (width * 8)).cast("int"))
-    for row in marked.mapInArrow(bits, "slice int, bits binary").collect():
-        table[row["slice"]] |= np.frombuffer(row["bits"], np.uint8)
+    marked = wanted.select(bit("first_id").alias("bit"))
+    at = F.col("bit") % (width * 8)
+    for row in marked.groupBy((F.col("bit") / (width * 8)).cast("int").alias("slice")).agg(
+            F.bitmap_construct_agg(at).alias("bits")).collect():
+        table[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
 
     def scan(batches):
@@ -292,15 +281,12 @@ def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _sets_of(docs: DataFrame, n: int, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """N-gram sets of the classes in ``ids`` (cid)."""
-    return stage(_candidate_sets(docs, n, stage(classes.join(ids, "cid"), "jaccard-wanted")), "jaccard-sets")
+    """N-gram sets of the classes in ``ids`` (cid, repeated or not)."""
+    return stage(_candidate_sets(docs, n, stage(classes.join(ids, "cid", "left_semi"), "jaccard-wanted")), "jaccard-sets")
 
 
-def _verified(docs: DataFrame, n: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class ids that link; each is verified once."""
-    pairs = stage(_may_overlap(pairs, classes, percent), "jaccard-pairs")
-    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    return _checked(pairs, _sets_of(docs, n, classes, ids), percent)
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid"))
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -330,24 +316,20 @@ def _postings(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFra
     # N-grams that one class alone holds go; hot ones stay unasked, and their rows are spread by the salt.
     same_token = Window.partitionBy("token", "salt")
     met = (prefixes.withColumn("x", F.min("lo").over(same_token)).withColumn("y", F.max("lo").over(same_token))
-           .filter("x <> y or salt > 0").drop("x", "y"))
+           .filter("x <> y or salt > 0").drop("x", "y").distinct())
     postings = stage(met.join(classes.select("hi", "lo", "cid"), ["hi", "lo"])
-                     .select("token", "cid", "size", "pos").distinct(), "jaccard-postings")
+                     .select("token", "cid", "size", "pos"), "jaccard-postings")
     return rows, classes, postings
 
 
-def _families(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes that are met in the same large lists, and what most of them have in common.
+def _families(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """What most members (family, cid, size) of a family have in common.
 
-    The lists of one group of texts hold nearly the same classes, so they are taken
-    together by the one with the smallest hash: a family.  Returns the members
-    (family, cid, size) and, by family, ``union`` (the n-grams that a sample of it
-    has more than once or mostly), ``core`` (which of them most have) and ``odd``
-    (how many of the sample differ from the core at an n-gram).  The sample is
-    bounded; it decides the speed, not the result.
+    By family, ``union`` (the n-grams that a sample of it has more than once or
+    mostly), ``core`` (which of them most have) and ``odd`` (how many of the sample
+    differ from the core at an n-gram).  The sample is bounded; it decides the
+    speed, not the result.
     """
-    of_list = large.groupBy("token").agg(F.min_by("cid", F.struct(F.xxhash64("cid"), "cid")).alias("family"))
-    members = stage(large.join(of_list, "token").select("family", "cid", "size").distinct(), "jaccard-members")
     by_hash = Window.partitionBy("family").orderBy(F.xxhash64("cid"), "cid")
     sample = (members.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= FAMILY_SAMPLE)
               .withColumn("grams_so_far", F.sum("size").over(by_hash))
@@ -364,7 +346,7 @@ def _families(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
                          **{name: pa.array([values.tobytes()], pa.binary())
                             for name, values in (("union", union), ("core", core), ("odd", odd))}})
 
-    return members, stage(sample.join(sets, "cid").select("family", "grams").groupBy("family").applyInArrow(
+    return stage(sample.join(sets, "cid").select("family", "grams").groupBy("family").applyInArrow(
         common, "family long, union binary, core binary, odd binary"), "jaccard-families")
 
 
@@ -374,6 +356,8 @@ def _differences(members: DataFrame, percent: int) -> DataFrame:
     A row per class (w null) with the number ``d`` of n-grams that only one of the
     two has, and a row for each of the first of them, the rarest in the sample first.
     """
+    own = {"family": pa.int64(), "cid": pa.int64(), "size": pa.int32(), "root": pa.int64()}
+
     def scan(batches):
         for batch in batches:
             for k in range(batch.num_rows):
@@ -388,12 +372,12 @@ def _differences(members: DataFrame, percent: int) -> DataFrame:
                 first = differs[np.lexsort((differs, often))][:row["size"] * (100 - percent) // percent + 1].view(np.int64)
                 rows = len(first) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[c]] * rows, t) for c, t in (("family", pa.int64()), ("cid", pa.int64()), ("size", pa.int32()))]
+                    [pa.array([row[c]] * rows, t) for c, t in own.items()]
                     + [pa.array([len(differs)] * rows, pa.int32()), pa.array([None, *first.tolist()], pa.int64()),
                        pa.array([None, *range(len(first))], pa.int32())],
-                    names=["family", "cid", "size", "d", "w", "at"])
+                    names=[*own, "d", "w", "at"])
 
-    return stage(members.mapInArrow(scan, "family long, cid long, size int, d int, w long, at int"), "jaccard-differences")
+    return stage(members.mapInArrow(scan, "family long, cid long, size int, root long, d int, w long, at int"), "jaccard-differences")
 
 
 def _may_meet(percent: int, size_a, d_a, at_a, size_b, d_b, at_b) -> Column:
@@ -409,16 +393,22 @@ def _may_meet(percent: int, size_a, d_a, at_a, size_b, d_b, at_b) -> Column:
             & (at_a <= d_a - shared) & (at_b <= d_b - shared))
 
 
+def _labelled(df: DataFrame, roots: DataFrame) -> DataFrame:
+    """``df`` (cid) with the component of each class: ``root``, the class itself where it has no link."""
+    return (df.join(roots, df["cid"] == roots["node"], "left").drop("node")
+            .withColumn("root", F.coalesce("root", "cid")))
+
+
 def _joined(links: DataFrame, roots: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All links, and the components that they make; these stay as they are where no link is new."""
+    """All links, and the components that they make (node, root); these stay as they are where no link is new."""
     if more.isEmpty():
         return links, roots
     links = links.unionByName(more)
-    return links, stage(connected_components(links), "jaccard-roots")
+    return links, component_stars(links)
 
 
-def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, classes: DataFrame, links: DataFrame,
-                  roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _family_links(members: DataFrame, further: DataFrame, sets: DataFrame, classes: DataFrame, percent: int,
+                  links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Join the components left in large lists, without comparing all their pairs: all links, and the components.
 
     Texts of a large list are mostly one another's near misses: they share almost
@@ -428,19 +418,13 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     with the one that differs least: a star.  All others that link have a
     difference in common, so they meet on differences, rarest first.  There, too,
     a star of each list comes first, and only components left apart are compared
-    pair by pair.
+    pair by pair.  The pairs in ``further`` are verified with the stars.
     """
-    sets = _sets_of(docs, n, classes, large.select("cid").distinct())
-    members, common = _families(large, sets)
-    differing = _differences(members.join(common, "family").join(sets, "cid"), percent)
-
-    def apart(df: DataFrame, known: DataFrame) -> DataFrame:
-        return df.join(known, df["cid"] == known["node"], "left").drop("node").withColumn("root", F.coalesce("root", "cid"))
+    labelled = _differences(members.join(_families(members, sets), "family").join(sets, "cid"), percent)
 
     def pair(x: str, y: str) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    labelled = stage(apart(differing, roots), "jaccard-labelled")
     spare = F.col("size") * (100 - percent) - F.col("d") * (100 + percent)     # below 0: too far from the common set
     members = labelled.filter("w is null").withColumn("spare", spare)
     least = members.groupBy("family").agg(F.max(F.struct("spare", "cid", "root")).alias("m"))
@@ -450,9 +434,11 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     star = listed.join(first, ["family", "w"]).filter(F.col("root") != F.col("m.root")).filter(_may_meet(
         percent, F.col("size"), F.col("d"), F.col("at"), F.col("m.size"), F.col("m.d"), F.col("m.at"))).select(*pair("cid", "m.cid"))
     compared = stage(certain.unionByName(star).distinct(), "jaccard-further")
-    links, roots = _joined(links, roots, stage(_checked(compared, sets, percent), "jaccard-links"))
+    links, now = _joined(links, roots, stage(_checked(compared.unionByName(further), sets, percent), "jaccard-links"))
 
-    listed = stage(apart(listed.drop("root"), roots), "jaccard-labelled")
+    if now is not roots:
+        roots = now
+        listed = stage(_labelled(listed.drop("root"), roots), "jaccard-labelled")
     mixed = listed.groupBy("family", "w").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     rest = stage(listed.join(mixed.drop("x", "y"), ["family", "w"], "left_semi"), "jaccard-apart")
     l, r = rest.alias("l"), rest.alias("r")
@@ -460,7 +446,7 @@ def _family_links(docs: DataFrame, n: int, percent: int, large: DataFrame, class
     pairs = (l.join(r, same & (F.col("l.root") < F.col("r.root")) & _may_meet(
         percent, F.col("l.size"), F.col("l.d"), F.col("l.at"), F.col("r.size"), F.col("r.d"), F.col("r.at")))
         .select(*pair("l.cid", "r.cid")).distinct().join(compared, ["a", "b"], "left_anti"))
-    pairs = stage(_may_overlap(stage(pairs, "jaccard-further"), classes, percent), "jaccard-pairs")
+    pairs = stage(_may_overlap(pairs, classes, percent), "jaccard-pairs")
     return _joined(links, roots, stage(_checked(pairs, sets, percent), "jaccard-links"))
 
 
@@ -488,7 +474,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     & (F.col("l.cid") < F.col("r.cid"))
                     & _may_link(percent, F.col("l.size"), F.col("l.pos"), F.col("r.size"), F.col("r.pos")))
              .select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b")).distinct())
-    links = stage(_verified(docs, n, percent, stage(pairs, "jaccard-met"), classes), "jaccard-links")
+    pairs = stage(_may_overlap(pairs, classes, percent), "jaccard-pairs")
+    links = stage(_checked(pairs, _sets_of(docs, n, classes, _ends(pairs)), percent), "jaccard-links")
     members = rows.join(classes.select("hi", "lo", F.col("cid").alias("class_id")), ["hi", "lo"], "left")
     return links.toDF("left_class", "right_class"), members.select("doc_id", "class_id")
 
@@ -516,31 +503,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     star = (postings.join(first, "token").filter("cid <> p.cid")
             .filter(_may_link(percent, F.col("size"), F.col("pos"), F.col("p.size"), F.col("p.pos")))
             .select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct())
-    star = stage(star, "jaccard-star")
-    links = stage(_verified(docs, n, percent, star, classes), "jaccard-links")
-
-    roots = stage(connected_components(links), "jaccard-roots")
-    labelled = stage(postings.join(roots, postings["cid"] == roots["node"], "left")
-                     .select("token", "cid", "size", "pos", F.coalesce("root", "cid").alias("root")),
-                     "jaccard-labelled")
-    mixed = (labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-             .filter("x <> y").select("token"))
-    apart = stage(labelled.join(mixed, "token", "left_semi"), "jaccard-apart")
-    # A list is large if its pairs are more than the n-grams of its classes, which is what families move.
+    star = stage(_may_overlap(star, classes, percent), "jaccard-pairs")
+    links = stage(_checked(star, _sets_of(docs, n, classes, _ends(star)), percent), "jaccard-links")
+
+    roots = component_stars(links)
+    labelled = stage(_labelled(postings, roots), "jaccard-labelled")
+    # A list is large if its pairs are more than the n-grams of its classes, which is what families move.  The lists of
+    # one group of texts hold nearly the same classes: those with the same smallest hash are one family.
     listed, pairs = F.count("*"), F.count("*") * (F.count("*") - 1) / 2
-    lists = stage(apart.groupBy("token").agg(
-        ((listed > FAMILY_CLASSES) & (pairs > FAMILY_COST * F.sum("size"))).alias("large")), "jaccard-lists")
-    small = apart.join(lists.filter("not large"), "token", "left_semi")
+    lists = labelled.groupBy("token").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.min(F.xxhash64("cid")).alias("family"),
+        ((listed > FAMILY_CLASSES) & (pairs > FAMILY_COST * F.sum("size"))).alias("large")).filter("x <> y").drop("x", "y")
+    apart = stage(labelled.join(lists, "token"), "jaccard-apart")
+    small = apart.filter("not large")
     l, r = small.alias("l"), small.alias("r")
     further = (l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.root") < F.col("r.root"))
                       & _may_link(percent, F.col("l.size"), F.col("l.pos"), F.col("r.size"), F.col("r.pos")))
                .select(F.least("l.cid", "r.cid").alias("a"), F.greatest("l.cid", "r.cid").alias("b")).distinct()
                .join(star, ["a", "b"], "left_anti"))
-    further = stage(further, "jaccard-further")
-    links, roots = _joined(links, roots, stage(_verified(docs, n, percent, further, classes), "jaccard-links"))
-    if not lists.filter("large").isEmpty():
-        large = apart.join(lists.filter("large"), "token", "left_semi").select("token", "cid", "size")
-        links, roots = _family_links(docs, n, percent, large, classes, links, roots)
+    further = stage(_may_overlap(further, classes, percent), "jaccard-pairs")
+    large = apart.filter("large").select("family", "cid", "size", "root")
+    if large.isEmpty():
+        sets = _sets_of(docs, n, classes, _ends(further))
+        links, roots = _joined(links, roots, stage(_checked(further, sets, percent), "jaccard-links"))
+    else:
+        members = stage(large.distinct(), "jaccard-members")
+        sets = _sets_of(docs, n, classes, members.select("cid").unionByName(_ends(further)))
+        links, roots = _family_links(members, further, sets, classes, percent, links, roots)
 
     in_groups = classes.drop("n", "parts").join(roots, classes["cid"] == roots["node"], "left").select(
         "hi", "lo", "first_id", F.coalesce("root", "cid").alias("root"))
